@@ -1,3 +1,4 @@
 """Registered queries over the driver's tables."""
 
 from studyloom.catalog import study_queries  # noqa: F401
+from studyloom.catalog import consolidate_queries  # noqa: F401

@@ -9,10 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from studyloom.operators import skew
+from studyloom.session import durable
+from studyloom.sources.tables import read_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
+# Column to spread a single-file table by.
+SPREAD_BY = {"lineitem": "l_partkey", "orders": "o_orderkey", "documents": "doc_id",
+             "pages": "page_id"}
+
 # View name -> (SQL text, views and tables it reads).
 VIEWS: dict[str, tuple[str, list[str]]] = {}
 
@@ -128,10 +134,15 @@ class Tables:
 
     def _build(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder.rstrip('/')}/{name}.parquet")
+            return read_table(self.spark, f"{self.folder.rstrip('/')}/{name}.parquet",
+                              SPREAD_BY.get(name))
+        if name == "both_sites":
+            sites = F.when(F.col("study_no") % 3 == 0, F.array(F.lit("site_a"), F.lit("site_b"))) \
+                .otherwise(F.array(F.lit("site_a")))
+            return self.studies.withColumn("source_folder", F.explode(sites))
         if name == "consolidated":
-            return skew.number_rows(self.both_sites, "source_folder", "study_no",
-                                    "unique_number", start=10001)
+            return durable(skew.number_rows(self.both_sites, "source_folder", "study_no",
+                                            "unique_number", start=10001))
         sql, reads = VIEWS[name]
         return self.sql(sql, *reads)
 

@@ -10,6 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from studyloom.session import durable
+
 # Rows of one group that a single task may sort.
 SECTION_ROWS = 1_000_000
 # Entries of one collected list.
@@ -84,9 +86,10 @@ def number_rows(df: DataFrame, group: str, position: str, alias: str, start: int
     """`start + row_number() - 1` over (group, position) without one global sort task.
 
     Counts per section give the offsets; only that small table is ordered as a
-    whole (one row per group, plus one per section of a large group).
+    whole (one row per group, plus one per section of a large group). The input is
+    written out first as it is read for sizes, for offsets and for the rows.
     """
-    cut = add_sections(df, [group], position, rows)
+    cut = add_sections(durable(df), [group], position, rows)
     before = Window.orderBy(group, "_section").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(group, "_section").agg(F.count(F.lit(1)).alias("_n"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,24 +25,26 @@ def build_session(app_name: str = "studyloom", master: str | None = None,
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by the cluster; make one only for a local master."""
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by the cluster; a new one only for a local master."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="spark-studyloom-")
-    context.setCheckpointDir(configured)
+    if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            configured = tempfile.mkdtemp(prefix="spark-studyloom-")
+        context.setCheckpointDir(configured)
+    return context.getCheckpointDir()
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared checkpoint folder and return it with its lineage cut.
+    """Write `df` as a table in the shared checkpoint folder and read it back.
 
-    Used where a table is read again by later rounds of a loop, so that a lost
-    executor never forces the earlier rounds to run again.
+    Used where later steps read a result more than once. It is computed once, a
+    lost executor never forces the earlier steps to run again, and later steps see
+    its real size and read only the columns they use.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
