@@ -3,3 +3,4 @@
 from studyloom.catalog import study_queries  # noqa: F401
 from studyloom.catalog import consolidate_queries  # noqa: F401
 from studyloom.catalog import series_queries  # noqa: F401
+from studyloom.catalog import label_queries  # noqa: F401
