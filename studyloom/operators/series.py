@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from studyloom.functions import geometry as geo, privacy
+from studyloom.functions.staging import computed_once
 from studyloom.operators.skew import match_keys, previous_value
 from studyloom.session import durable
 
@@ -32,13 +33,6 @@ def series_key(c: Column) -> Column:
     return F.coalesce(c, F.lit("unknown"))
 
 
-def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns through a generator, so that later filters and joins use their values
-    instead of repeating the parsing expression in every condition."""
-    made = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select("*", F.inline(F.array(made)))
-
-
 def slice_positions(slices: DataFrame) -> DataFrame:
     """Add `slice_position` and `has_orientation`; null where the position is unreadable."""
     parsed = computed_once(
