@@ -5,3 +5,4 @@ from studyloom.catalog import consolidate_queries  # noqa: F401
 from studyloom.catalog import series_queries  # noqa: F401
 from studyloom.catalog import label_queries  # noqa: F401
 from studyloom.catalog import report_queries  # noqa: F401
+from studyloom.catalog import mapping_queries  # noqa: F401

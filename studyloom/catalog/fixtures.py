@@ -64,7 +64,7 @@ select concat('/', source, '/', cast(doc_id as string), case doc_id % 3 when 0 t
 """)
 
 view("new_db", ["consolidated"], r"""
-select unique_number as new_id, institution_name as hospital, case when source_folder = 'site_b' and study_no % 2 = 0 then '' else patient_id end as patient_id, study_date,
+select unique_number as new_id, institution_name as hospital, case when source_folder = 'site_b' and study_no % 2 = 0 then '' else patient_id end as patient_id, case when source_folder = 'site_b' and study_no % 4 = 0 then '19000101' else study_date end as study_date,
  case when source_folder = 'site_b' and study_no % 2 = 0 then cast(null as string) else concat('E:', chr(92), 'Data', chr(92), patient_id, chr(92), cast(study_no as string)) end as dicom_folder_path
 from consolidated
 """)
