@@ -1,0 +1 @@
+"""Writers."""
