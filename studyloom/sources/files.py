@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from studyloom.functions import text
 from studyloom.schemas import SLICE_SCHEMA, SLICE_TAGS
+from studyloom.session import durable
 
 # Files that are never slice records.
 SKIP_FILES = [
@@ -35,7 +38,10 @@ def plain_path(c: Column) -> Column:
 
 
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, length, modification_time) of all files below `root`; contents are not read."""
+    """(path, length, modification_time) of the files below `root` that are not empty.
+
+    Contents are not read; `walk` also finds empty files and folders.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -44,6 +50,61 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
         F.col("modificationTime").alias("modification_time"))
 
 
+WALK_SCHEMA = ("folder string, path string, is_folder boolean, length bigint, "
+               "modification_time timestamp, error string")
+
+
+def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Entries of each folder, or one row with the error that kept it from being read."""
+    columns = ["folder", "path", "is_folder", "length", "modification_time", "error"]
+    for batch in batches:
+        for folder in batch["folder"]:
+            try:
+                system, inside = fs.FileSystem.from_uri(folder)
+                found = system.get_file_info(fs.FileSelector(inside, recursive=False))
+            except OSError as problem:
+                yield pd.DataFrame([(folder, None, False, None, None, str(problem))],
+                                   columns=columns)
+                continue
+            for start in range(0, len(found), 10_000):
+                yield pd.DataFrame(
+                    [(folder, f"{folder.rstrip('/')}/{f.base_name}",
+                      f.type == fs.FileType.Directory,
+                      None if f.size is None else int(f.size), f.mtime, None)
+                     for f in found[start:start + 10_000]], columns=columns)
+
+
+def walk(spark: SparkSession, root: str) -> DataFrame:
+    """All folders and files below `root`, empty files and unreadable folders included.
+
+    One level of the tree per round, its folders spread over the tasks; the number of
+    rounds is the depth of the tree. Spark's own file reader leaves out empty files.
+    """
+    level = spark.createDataFrame([(root.rstrip("/") or "/",)], "folder string")
+    levels = []
+    while not level.isEmpty():
+        entries = durable(level.repartition(spark.sparkContext.defaultParallelism, "folder")
+                          .mapInPandas(_scan, WALK_SCHEMA))
+        levels.append(entries)
+        level = entries.filter("is_folder").select(F.col("path").alias("folder"))
+    found = levels[0]
+    for more in levels[1:]:
+        found = found.unionByName(more)
+    return found
+
+
+def folder_status(walked: DataFrame, root: str) -> DataFrame:
+    """One row per folder: key, whether it could be read, and the error."""
+    every = walked.filter("is_folder").select(F.col("path").alias("folder")).unionByName(
+        walked.select("folder")).distinct()
+    failed = walked.filter(F.col("error").isNotNull()).select("folder", "error")
+    relative = F.btrim(F.substr("folder", F.lit(len(root.rstrip("/")) + 1)), F.lit("/"))
+    return every.join(failed, "folder", "left").select(
+        text.folder_key(relative).alias("folder_key"), F.col("folder").alias("path"),
+        F.when(F.col("error").isNull(), "files_done").otherwise("error").alias("status"),
+        F.coalesce("error", F.lit("")).alias("error"))
+
+
 def skip_listed(df: DataFrame, skip: Sequence[str], file_name: str = "source_file") -> DataFrame:
     return df.filter(~F.col(file_name).isin(list(skip))) if skip else df
 
@@ -82,11 +143,17 @@ def bad_line_counts(records: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("bad_lines"))
 
 
+def _pattern(glob: str) -> str:
+    """Regular expression of a file name pattern with `*` and `?`."""
+    return "^" + re.escape(glob).replace(r"\*", ".*").replace(r"\?", ".") + "$"
+
+
 def line_counts(spark: SparkSession, folder: str, skip: Sequence[str] = SKIP_FILES,
                 glob: str = "*.jsonl") -> DataFrame:
     """All lines per file, blank ones included; a file without lines counts 0."""
-    files = list_files(spark, folder, glob).select(
-        text.base_name(F.col("path")).alias("source_file"))
+    files = walk(spark, folder).filter(~F.col("is_folder")).select(
+        text.base_name(F.col("path")).alias("source_file")).filter(
+        F.col("source_file").rlike(_pattern(glob)))
     lines = (
         spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
         .text(folder).groupBy(F.col("_metadata.file_name").alias("source_file"))
