@@ -1,12 +1,13 @@
 """Helpers that keep a group holding a large share of all rows out of a single task.
 
-Everything here is decided from exact counts, minima and maxima, so a recomputed
-task sees the same split.
+Groups are found by exact counts. What a split depends on is a value of the row or
+is written out first, so a recomputed task sees the same split.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -14,6 +15,8 @@ from studyloom.session import durable
 
 # Rows of one group that a single task may sort.
 SECTION_ROWS = 1_000_000
+# Most stretches one group is cut into.
+MOST_SECTIONS = 5_000
 # Entries of one collected list.
 LIST_ITEMS = 1_000
 
@@ -32,29 +35,26 @@ def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 
 def add_sections(df: DataFrame, keys: Sequence[str], position: str,
-                 rows: int = SECTION_ROWS) -> DataFrame:
-    """Number equal-width stretches of `position` inside groups larger than `rows`.
+                 rows: int = SECTION_ROWS) -> DataFrame | None:
+    """Number stretches of `position` inside groups larger than `rows`; None if there are none.
 
-    Adds `_sections` (null for ordinary groups) and `_section` (0 there). Sections
-    follow the order of `position`.
+    Adds `_section`, which follows the order of `position` and is null in ordinary
+    groups. The cut points are quantiles, written out so that every later reading of
+    them is the same. `df` is read several times.
     """
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(position).cast("double").alias("_low"),
-             F.max(position).cast("double").alias("_high"))
-        .filter((F.col("_n") > rows) & (F.col("_high") > F.col("_low")))
-        .select(*keys, F.ceil(F.col("_n") / rows).cast("int").alias("_sections"),
-                "_low", "_high")
-    )
-    share = ((F.col(position).cast("double") - F.col("_low"))
-             / (F.col("_high") - F.col("_low")))
-    return (
-        match_keys(df, large, keys)
-        .withColumn("_section", F.coalesce(
-            F.least(F.floor(share * F.col("_sections")).cast("int"),
-                    F.col("_sections") - 1), F.lit(0)))
-        .drop("_low", "_high")
-    )
+    sizes = durable(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                    .filter(F.col("_n") > rows))
+    largest = sizes.agg(F.max("_n")).first()[0]
+    if largest is None:
+        return None
+    parts = min(ceil(largest / rows), MOST_SECTIONS)
+    shares = [i / parts for i in range(1, parts)]
+    cuts = durable(
+        match_keys(df, sizes, keys, "inner").groupBy(*keys)
+        .agg(F.percentile_approx(position, shares, 10 * MOST_SECTIONS).alias("_cuts")))
+    return match_keys(df, cuts, keys).withColumn(
+        "_section", F.size(F.filter("_cuts", lambda c: c < F.col(position)))).withColumn(
+        "_section", F.when(F.col("_cuts").isNotNull(), F.col("_section"))).drop("_cuts")
 
 
 def previous_value(df: DataFrame, keys: Sequence[str], position: str, alias: str,
@@ -65,10 +65,13 @@ def previous_value(df: DataFrame, keys: Sequence[str], position: str, alias: str
     the end of the section before it.
     """
     cut = add_sections(df, keys, position, rows)
+    if cut is None:
+        return df.withColumn(alias, F.lag(position).over(
+            Window.partitionBy(*keys).orderBy(position)))
     inside = Window.partitionBy(*keys, "_section").orderBy(position)
     along = Window.partitionBy(*keys).orderBy("_section")
     carried = (
-        cut.filter(F.col("_sections").isNotNull())
+        cut.filter(F.col("_section").isNotNull())
         .groupBy(*keys, "_section").agg(F.max(position).alias("_last"))
         .withColumn("_carried", F.lag("_last").over(along))
         .drop("_last")
@@ -77,7 +80,7 @@ def previous_value(df: DataFrame, keys: Sequence[str], position: str, alias: str
     return (
         match_keys(lagged, carried, [*keys, "_section"])
         .withColumn(alias, F.coalesce("_before", "_carried"))
-        .drop("_before", "_carried", "_section", "_sections")
+        .drop("_before", "_carried", "_section")
     )
 
 
@@ -89,7 +92,10 @@ def number_rows(df: DataFrame, group: str, position: str, alias: str, start: int
     whole (one row per group, plus one per section of a large group). The input is
     written out first as it is read for sizes, for offsets and for the rows.
     """
-    cut = add_sections(durable(df), [group], position, rows)
+    stored = durable(df)
+    cut = add_sections(stored, [group], position, rows)
+    if cut is None:
+        cut = stored.withColumn("_section", F.lit(None).cast("int"))
     before = Window.orderBy(group, "_section").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         cut.groupBy(group, "_section").agg(F.count(F.lit(1)).alias("_n"))
@@ -101,7 +107,7 @@ def number_rows(df: DataFrame, group: str, position: str, alias: str, start: int
         match_keys(cut.withColumn("_rn", F.row_number().over(inside)), offsets,
                    [group, "_section"])
         .withColumn(alias, F.col("_offset") + F.col("_rn") + F.lit(start - 1))
-        .drop("_rn", "_offset", "_section", "_sections")
+        .drop("_rn", "_offset", "_section")
     )
 
 
