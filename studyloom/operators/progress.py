@@ -159,3 +159,41 @@ def archive_decision(archives: DataFrame, ledger: DataFrame, listing: DataFrame,
         .otherwise("done: recorded"))
     return joined.withColumn("decision", decision).drop(
         "_mtime", "_checksum", "_ok", "_files", "_filled", "_gone")
+
+
+def studies_to_archive(studies: DataFrame, ledger: DataFrame, archives: DataFrame,
+                       key: str = "study") -> DataFrame:
+    """Studies whose archive is not done: completed in the ledger, present and readable.
+
+    `archives(study, readable)` lists the archives there are; failures are tried again.
+    """
+    completed = latest(ledger, ["key"]).filter(F.col("status").isin(DONE)).select(
+        F.col("key").alias(key))
+    present = archives.filter("readable").select(key)
+    return studies.join(completed.join(present, key, "left_semi"), key, "left_anti")
+
+
+def series_outputs(listing: DataFrame) -> DataFrame:
+    """Hashes of series folders that hold an image, the public and the protected document.
+
+    The folder is named by the hash, or `Er_` and the hash; `listing(path)` has the files.
+    """
+    folder = F.element_at(F.split("path", "/"), -2)
+    name = F.element_at(F.split("path", "/"), -1)
+    found = listing.select(folder.alias("_folder"), name.alias("_name")).groupBy("_folder").agg(
+        F.bool_or(F.col("_name").rlike(r"\.nii(\.gz)?$")).alias("_image"),
+        F.bool_or(F.col("_name") == F.concat("_folder", F.lit(".json"))).alias("_public"),
+        F.bool_or(F.col("_name") == F.concat(F.lit("PATIENT_DATA_"), "_folder", F.lit(".zip")))
+        .alias("_protected"))
+    return found.filter("_image and _public and _protected").select(
+        F.regexp_replace("_folder", "^Er_", "").alias("hash_id")).distinct()
+
+
+def series_to_convert(tracker: DataFrame, ledger: DataFrame, listing: DataFrame) -> DataFrame:
+    """Series neither in the ledger nor with all their output files.
+
+    A failed series is in the ledger under `Er_<hash>`, so it is tried again.
+    """
+    noted = ledger.filter(F.col("status") != "pending").select(F.col("key").alias("hash_id"))
+    return tracker.join(noted, "hash_id", "left_anti").join(
+        series_outputs(listing), "hash_id", "left_anti")

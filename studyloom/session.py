@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,6 +36,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             configured = tempfile.mkdtemp(prefix="spark-studyloom-")
+            atexit.register(shutil.rmtree, configured, ignore_errors=True)
         context.setCheckpointDir(configured)
     return context.getCheckpointDir()
 

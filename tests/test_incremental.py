@@ -75,3 +75,25 @@ def test_stream_of_records_with_transform(spark, tmp_path):
 
     inc.run_available(inc.new_lines(spark, str(source)), out, checkpoint, parse)
     assert spark.read.parquet(out).first().patient_id == "P1"
+
+
+def test_archives_are_done_when_noted_present_and_readable(spark):
+    studies = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "study string")
+    ledger = spark.createDataFrame([("a", "ok", 1), ("b", "ok", 1), ("c", "ok", 1),
+                                    ("c", "failed", 2)], "key string, status string, ts int")
+    archives = spark.createDataFrame([("a", True), ("b", False), ("c", True)],
+                                     "study string, readable boolean")
+    got = {r.study for r in progress.studies_to_archive(studies, ledger, archives).collect()}
+    assert got == {"b", "c", "d"}
+
+
+def test_series_are_done_by_ledger_or_output_files(spark):
+    tracker = spark.createDataFrame([("h1",), ("h2",), ("h3",), ("h4",)], "hash_id string")
+    ledger = spark.createDataFrame([("h1", "ok"), ("Er_h2", "failed")],
+                                   "key string, status string")
+    files = [f"/o/{d}/{n}" for d, names in {
+        "h3": ["x.nii.gz", "h3.json", "PATIENT_DATA_h3.zip"], "h4": ["x.nii", "h4.json"]}.items()
+        for n in names]
+    listing = spark.createDataFrame([(f,) for f in files], "path string")
+    got = {r.hash_id for r in progress.series_to_convert(tracker, ledger, listing).collect()}
+    assert got == {"h2", "h4"}
