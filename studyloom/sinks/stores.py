@@ -85,8 +85,9 @@ def write_study_archives(slices: DataFrame, listing: DataFrame, folder: str,
 
     A study larger than `part_bytes` or `part_files` becomes several numbered archives,
     so that no task holds more than about that much. Each is written under a temporary
-    name and then moved. Returns one row per archive; missing files are counted by
-    `existence_counts`.
+    name and then moved; a task that runs again replaces its own archive. `folder` and
+    the files must be on a mount all executors share. Returns one row per archive;
+    missing files are counted by `existence_counts`.
     """
     sizes = listing.select(F.col("path").alias("file_path"), "length").distinct()
     found = slices.join(sizes, "file_path")
