@@ -81,3 +81,10 @@ def heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from studyloom.llm.token_counts import token_counts
 
     return token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op6_hyperminhash_near_dedup")
+def hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from studyloom.llm.near_dedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=75, size=5)

@@ -151,3 +151,13 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> list[np.ndarray]:
         else:
             out.append(np.empty(0, np.uint64))
     return out
+
+
+def slices(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20):
+    """Parts of an Arrow batch with at most about `size` bytes of text, one row at least."""
+    begin = text_bytes(batch.column(column))[1]
+    at = 0
+    while at < len(batch):
+        to = max(at + 1, int(np.searchsorted(begin, begin[at] + size, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
