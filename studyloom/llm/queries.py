@@ -88,3 +88,28 @@ def hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from studyloom.llm.near_dedup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), threshold=75, size=5)
+
+
+TOP_K_SQL = """
+with whole as (
+  select vec_id, [cast(floor(64 * x::double) as bigint) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and len([1 for x in embedding if x is null or not isfinite(x::double)]) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+         cast(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) as bigint) as score
+  from whole q join whole c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0)
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+  from scored) where rank <= 20
+"""
+
+
+@query("op2_branch_and_bound_top_k", TOP_K_SQL)
+def branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from studyloom.llm.topk import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
