@@ -134,7 +134,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) ->
     repeated = queries.select(
         "block", F.col("ids").alias("q_ids"), F.col("dims").alias("q_dims"),
         F.col("data").alias("q_data"),
-        F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).cast("long").alias("share"))
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long")))
+        .alias("share"))
     paired = candidates.join(repeated, ["block", "share"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
