@@ -113,3 +113,10 @@ def branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from studyloom.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+@query("op8_marginal_unigram_language")
+def marginal_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from studyloom.llm.language_id import identify
+
+    return identify(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
