@@ -120,3 +120,10 @@ def marginal_unigram_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from studyloom.llm.language_id import identify
 
     return identify(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@query("op10_suffix_automaton_dedup")
+def suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from studyloom.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), span=50).drop("removed")
