@@ -127,3 +127,54 @@ def suffix_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from studyloom.llm.substring_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"), span=50).drop("removed")
+
+
+BACKOFF_SQL = r"""
+with texts as (
+  select doc_id, row_number() over () as d, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+words as (select d, unnest(w) as w3, unnest(range(1, len(w) + 1)) as i from texts),
+grams as (
+  select d, i, w3, case when i > 1 then lag(w3) over (partition by d order by i) || ' ' || w3 end as g2,
+         case when i > 2 then lag(w3, 2) over (partition by d order by i) || ' '
+              || lag(w3) over (partition by d order by i) || ' ' || w3 end as g3 from words),
+own1 as (select d, w3 as g, count(*) as n from grams group by all),
+own2 as (select d, g2 as g, count(*) as n from grams where g2 is not null group by all),
+own3 as (select d, g3 as g, count(*) as n from grams where g3 is not null group by all),
+left1 as (select d, g, sum(n) over (partition by g) - n as c from own1),
+left2 as (select d, g, sum(n) over (partition by g) - n as c from own2),
+left3 as (select d, g, sum(n) over (partition by g) - n as c from own3),
+size as (select d, len(w) as n, (select sum(len(w)) from texts) as total from texts),
+counted as (
+  select x.d, x.i, a.c as c1, b.c as c2, e.c as c3, lag(a.c) over o as h1, lag(b.c) over o as h2,
+         greatest(s.total - s.n, 1) as rest
+  from grams x join size s on s.d = x.d join left1 a on a.d = x.d and a.g = x.w3
+  left join left2 b on b.d = x.d and b.g = x.g2 left join left3 e on e.d = x.d and e.g = x.g3
+  window o as (partition by x.d order by x.i)),
+one as (select *, (case when c1 > 0 then c1 else 0.5 end) / rest::double as s1 from counted),
+two as (select *, case when i = 1 then s1 when c2 > 0 then c2 / h1::double else 0.4 * s1 end as s2
+        from one),
+three as (select *, case when i < 3 then s2 when c3 > 0 then c3 / h2::double else 0.4 * s2 end as s3
+          from two),
+summed as (select d, sum(ln(s3)) as score, count(*) filter (where i > 2 and c3 = 0) as backed
+           from three group by d)
+select t.doc_id, cast(len(t.w) as bigint) as n_words,
+       cast(coalesce(m.backed, 0) as bigint) as n_backed_off,
+       round(coalesce(m.score, 0), 3) as log_score,
+       round(m.score / len(t.w), 6) as mean_log_score
+from texts t left join summed m on m.d = t.d
+"""
+
+
+@query("op1_stupid_backoff_scores", BACKOFF_SQL)
+def stupid_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from studyloom.llm.backoff import score_documents
+
+    scores = score_documents(table(spark, sf_dir, "documents"), order=3, alpha=0.4)
+    return scores.select(
+        "doc_id", "n_words", "n_backed_off", F.round("log_score", 3).alias("log_score"),
+        F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 6))
+        .alias("mean_log_score"))
