@@ -202,7 +202,7 @@ def _scores(row: dict, totals: dict[int, list[np.ndarray]], order: int, alpha: f
     """Log score per document of a block, and how many words backed off from the longest history."""
     hashes, places, document = _words_of(row)
     lengths = np.asarray(row["n_words"], dtype=np.int64)
-    rest = np.maximum(all_words - (lengths if leave_out else 0), 1)[document].astype(np.float64)
+    rest = np.maximum(all_words - lengths * leave_out, 1)[document].astype(np.float64)
     score, before, backed = None, None, np.zeros(len(hashes), dtype=bool)
     for level in range(1, order + 1):
         grams = _Grams(hashes, places, level, buckets)

@@ -76,11 +76,11 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     if index.exists():
         held = index.read().select("digest", F.col("keep_id").alias("held_id"))
         groups = durable(groups)
-        index_rows = groups.join(held.select("digest"), "digest", "left_anti")
-        known = groups.join(held, "digest").select(
+        # both are written before the index changes
+        fresh = durable(groups.join(held.select("digest"), "digest", "left_anti"))
+        known = durable(groups.join(held, "digest").select(
             "digest", F.col("held_id").alias("keep_id"), "group_size",
-            F.lit(None).cast("long").alias("keep_row"))
-        fresh = durable(index_rows)
+            F.lit(None).cast("long").alias("keep_row")))
         index.append(fresh)
         groups = fresh.unionByName(known)
     else:
@@ -96,13 +96,13 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
 def keep_distinct(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """The rows of `docs` that `deduplicate` keeps, all columns."""
     kept = durable(deduplicate(docs, index).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest")))
-    marked = docs.withColumn("_digest", text_digest(F.col("text")))
+        F.col("doc_id").alias("_exact_id"), F.col("text_sha256").alias("_exact_kept")))
+    marked = docs.withColumn("_exact_digest", text_digest(F.col("text")))
     staying = marked.join(
-        kept, marked["doc_id"].cast("long").eqNullSafe(F.col("_kept_id"))
-        & (F.col("_digest") == F.col("_kept_digest")), "left_semi")
+        kept, marked["doc_id"].cast("long").eqNullSafe(F.col("_exact_id"))
+        & (F.col("_exact_digest") == F.col("_exact_kept")), "left_semi")
     repeated = (docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
                 .count())
     if repeated:  # rows equal in doc_id and text: the join keeps all of them
-        staying = staying.dropDuplicates(["doc_id", "_digest"])
-    return staying.drop("_digest")
+        staying = staying.dropDuplicates(["doc_id", "_exact_digest"])
+    return staying.drop("_exact_digest")

@@ -193,7 +193,7 @@ def fit(docs: DataFrame, vocabulary_path: str, per_language: int = FIT_DOCUMENTS
             uses = sum(lattice.expected(p, n) for lattice, n in chunks)
             p = (uses + 0.05) / (uses.sum() + 0.05 * len(uses))
         pieces.append(p)
-    return Model(languages, vocabulary, np.array(pieces).reshape(len(languages), -1))
+    return Model(languages, vocabulary, np.array(pieces).reshape(len(languages), len(vocabulary) + 1))
 
 
 class Scorer:
@@ -241,23 +241,23 @@ def _scorer(model: Model) -> Scorer:
 
 
 def predict(docs: DataFrame, model: Model, *columns: Column, rows: int = 1000) -> DataFrame:
-    """`columns` of `docs`, _pred (language) and _score.
+    """`columns` of `docs`, _lid_pred (language) and _lid_score.
 
-    _score is the probability of the language given the text, all languages alike beforehand and
+    _lid_score is the probability of the language given the text, all languages alike beforehand and
     the words weighted down to the square root of their number, or it would always be 1.
     A text without letters, or null, is `und` with score 0; so is every text if the model has
     no language. Ties go to the language that sorts first. Texts are scored whole.
     """
-    kept = docs.select(*columns, F.col("text").alias("_text"))
+    kept = docs.select(*columns, F.col("text").alias("_lid_text"))
     names = kept.columns[:-1]
-    schema = kept.drop("_text").schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    schema = kept.drop("_lid_text").schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _scorer(model) if model.languages else None
         for whole in batches:
             for at in range(0, len(whole), rows):
                 batch = whole.slice(at, rows)
-                texts = batch.column("_text").to_pylist()
+                texts = batch.column("_lid_text").to_pylist()
                 if tool is None:
                     lang, score = [UNDECIDED] * len(texts), np.zeros(len(texts))
                 else:
@@ -271,9 +271,9 @@ def predict(docs: DataFrame, model: Model, *columns: Column, rows: int = 1000) -
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c) for c in names]
                     + [pa.array(lang, pa.string()), pa.array(score)],
-                    names=[*names, "_pred", "_score"])
+                    names=[*names, "_lid_pred", "_lid_score"])
 
-    return kept.mapInArrow(run, f"{schema}, _pred string, _score double")
+    return kept.mapInArrow(run, f"{schema}, _lid_pred string, _lid_score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -289,12 +289,12 @@ def identify(docs: DataFrame, vocabulary_path: str, **limits: int) -> DataFrame:
     model = fit(docs.filter(~held_out(F.col("doc_id"))), vocabulary_path, **limits)
     return predict(docs, model, F.col("doc_id").cast("long").alias("doc_id"),
                    held_out(F.col("doc_id")).alias("held_out")).withColumnsRenamed(
-        {"_pred": "lang_pred", "_score": "score"})
+        {"_lid_pred": "lang_pred", "_lid_score": "score"})
 
 
 def keep_identified(docs: DataFrame, vocabulary_path: str, least: float = 0.5) -> DataFrame:
     """Rows of `docs` with letters whose language is found with a score of `least` or more."""
     model = fit(docs.filter(~held_out(F.col("doc_id"))), vocabulary_path)
     found = predict(docs, model, *[F.col(c) for c in docs.columns])
-    return found.filter((F.col("_pred") != UNDECIDED) & (F.col("_score") >= least)).select(
+    return found.filter((F.col("_lid_pred") != UNDECIDED) & (F.col("_lid_score") >= least)).select(
         *docs.columns)

@@ -195,10 +195,10 @@ def repeat_rows(docs: DataFrame, taken: DataFrame, copies: Column | None = None)
     `taken` holds doc_id, size and taken; a doc_id that occurs several times is matched with
     the largest of its rows. Documents without words stay as one row.
     """
-    per_id = taken.groupBy(F.col("doc_id").alias("_id")).agg(
-        F.max("size").alias("_size"), F.max("taken").alias("_taken"))
-    times = F.when(F.col("_size") > 0, F.floor(
-        (F.col("_taken") + F.col("_size") / 2) / F.col("_size"))).otherwise(F.lit(1))
-    joined = docs.join(per_id, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")))
-    return (joined.withColumn("_copy", F.explode(F.sequence(
-        F.lit(0), times.cast("int")))).filter(F.col("_copy") > 0).select(*docs.columns))
+    per_id = taken.groupBy(F.col("doc_id").alias("_mix_id")).agg(
+        F.max("size").alias("_mix_size"), F.max("taken").alias("_mix_taken"))
+    times = F.when(F.col("_mix_size") > 0, F.floor(
+        (F.col("_mix_taken") + F.col("_mix_size") / 2) / F.col("_mix_size"))).otherwise(F.lit(1))
+    joined = docs.join(per_id, docs["doc_id"].cast("long").eqNullSafe(F.col("_mix_id")))
+    return (joined.withColumn("_mix_copy", F.explode(F.sequence(
+        F.lit(0), times.cast("int")))).filter(F.col("_mix_copy") > 0).select(*docs.columns))

@@ -239,5 +239,5 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, size: int = SHINGLE) -
 def keep_one_of_each(docs: DataFrame, threshold: int = 75) -> DataFrame:
     """The rows of `docs` without those that `near_duplicates` does not keep."""
     dropped = near_duplicates(docs, threshold).filter("not kept").select(
-        F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["_dropped"], "left_anti")
+        F.col("doc_id").alias("_near_dropped")).distinct()
+    return docs.join(dropped, docs["doc_id"].cast("long") == dropped["_near_dropped"], "left_anti")
