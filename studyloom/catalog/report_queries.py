@@ -211,28 +211,31 @@ def document_fields(t: Tables) -> DataFrame:
 
 
 @query("json_clean", "", r"""
-select event_id, regexp_replace(regexp_replace(regexp_replace(trim(raw), ',\s*\}', '}', 'g'), ',\s*\]', ']', 'g'), '([{,]\s*\w+):', '"\1":', 'g') as cleaned
-from (select event_id, concat(' ', left(props, length(props) - 1), ', "t": [1, 2, ], note: 3, }') as raw from events) x
+select event_id, concat(left(props, length(props) - 1), ', "s": "a, b: {c: 1, }", "t": [1, 2], "note": 3}') as cleaned
+from events
 """)
 def json_clean(t: Tables) -> DataFrame:
     raw = F.concat(F.lit(" "), F.expr("left(props, length(props) - 1)"),
-                   F.lit(', "t": [1, 2, ], note: 3, }'))
+                   F.lit(', "s": "a, b: {c: 1, }", "t": [1, 2, ], note: 3, }'))
     return t.events.select("event_id", jsontext.clean_json(raw).alias("cleaned"))
 
 
 @query("json_salvage", "", r"""
-select event_id, regexp_extract(props, '"k"\s*:\s*(\d+)', 1) as k, event_type as gender, '1' as number_of_studies, 'CT' as modality, 'Chest' as body_part
+select event_id, regexp_extract(props, '"k"\s*:\s*(\d+)', 1) as k, event_type as gender, '1' as number_of_studies, 'CT' as modality, 'Chest' as body_part,
+ case when event_id % 2 = 0 then 'null' end as impression
 from events
 """)
 def json_salvage(t: Tables) -> DataFrame:
+    missing = F.when(F.col("event_id") % 2 == 0, F.lit('"null"')).otherwise(F.lit("null"))
     broken = F.concat(F.lit("a ct of the chest: "), F.expr("left(props, length(props) - 1)"),
+                      F.lit(', "impression": '), missing,
                       F.lit(', "gender" : "'), "event_type", F.lit('" , "x'))
     paired = computed_once(t.events.withColumn("raw", broken),
                            pairs=jsontext.salvage_pairs(F.col("raw")))
     hinted = computed_once(paired, hinted=jsontext.add_hints(F.col("pairs"), F.col("raw")))
     return hinted.select("event_id", *[
         F.try_element_at("hinted", F.lit(k)).alias(k)
-        for k in ("k", "gender", "number_of_studies", "modality", "body_part")])
+        for k in ("k", "gender", "number_of_studies", "modality", "body_part", "impression")])
 
 
 @query("json_fence", "", r"""
@@ -248,23 +251,26 @@ def json_fence(t: Tables) -> DataFrame:
 @query("response_ladder", "", r"""
 select event_id, case when event_id % 4 = 0 then 'structured' when event_id % 4 = 1 then 'content_json' when event_id % 4 = 2 then 'reasoning_json' when value > 50 then 'intelligent_parsing' end as method,
  case when event_id % 4 in (0, 1, 2) then user_id::integer when value > 50 then 3 end as number_of_studies,
- case when event_id % 4 in (0, 1) then 'MRI' when event_id % 4 = 2 then 'Unknown' when value > 50 then 'CT' end as imaging_modality
+ case when event_id % 4 in (0, 1) then 'MRI' when event_id % 4 = 2 then 'Unknown' when value > 50 then 'CT' end as imaging_modality,
+ case when event_id % 4 = 0 then 'a, b: c' when event_id % 4 = 2 then 'null' end as findings_summary
 from events
 """)
 def response_ladder(t: Tables) -> DataFrame:
     count = F.col("user_id").cast("string")
     kind = F.col("event_id") % 4
     whole = F.concat(F.lit('{"number_of_studies": '), count,
-                     F.lit(', "imaging_modality": "MRI", "current_disease_list": []}'))
-    cut = F.concat(F.lit('so "number_of_studies": '), count, F.lit(', "imaging_modality": "MRI" ,'))
-    reasoned = F.concat(F.lit('"number_of_studies" : '), count, F.lit(" then"))
+                     F.lit(', "imaging_modality": "MRI", "findings_summary": "a, b: c", '
+                           '"current_disease_list": []}'))
+    cut = F.concat(F.lit('so "number_of_studies": '), count, F.lit(', "imaging_modality": "MRI" , "findings_summary": null,'))
+    reasoned = F.concat(F.lit('"number_of_studies" : '), count, F.lit(' then "findings_summary": "null"'))
     prose = F.when(F.col("value") > 50, F.lit("3 studies, CT scan")).otherwise(F.lit("none"))
     answers = t.events.select(
         "event_id", F.when(kind == 0, whole).when(kind == 1, cut).when(kind == 3, prose)
         .alias("content"), F.when(kind == 2, reasoned).alias("reasoning"))
     parsed = report_fields.parse_responses(answers)
     return parsed.select("event_id", F.col("parsing_method").alias("method"),
-                         "extraction_data.number_of_studies", "extraction_data.imaging_modality")
+                         "extraction_data.number_of_studies", "extraction_data.imaging_modality",
+                         "extraction_data.findings_summary")
 
 
 HTML_SQL = r"""trim(regexp_replace(replace(replace(replace(replace(replace(replace(

@@ -226,6 +226,21 @@ def minimal(text: Column) -> Column:
             "Unable to extract detailed findings - model returned empty response")))
 
 
+def converts(candidate: Column) -> Column:
+    """Whether a JSON object has a countable number of studies and lists where lists belong."""
+    keys = F.json_object_keys(candidate)
+
+    def member(key: str, good: Column) -> Column:
+        return ~F.array_contains(keys, key) | F.coalesce(good, F.lit(False))
+
+    count = F.get_json_object(candidate, "$.number_of_studies").try_cast("double")
+    fits = member("number_of_studies", count.isNotNull())
+    for key in LIST_FIELDS:
+        opening = "{" if key == "patient_info" else "["
+        fits = fits & member(key, F.get_json_object(candidate, f"$.{key}").startswith(opening))
+    return fits
+
+
 def _with_json_extraction(df: DataFrame, text: Column, alias: str, when: Column) -> DataFrame:
     """Add the extraction from salvaged pairs, else from the first JSON object that parses."""
     paired = computed_once(df, _pairs=F.when(when, jsontext.salvage_pairs(text)))
@@ -234,7 +249,7 @@ def _with_json_extraction(df: DataFrame, text: Column, alias: str, when: Column)
     salvaged = computed_once(hinted, _salvaged=from_pairs(F.col("_hinted")))
     parsed = computed_once(salvaged, _parsed=F.when(
         when & F.col("_salvaged").isNull(),
-        F.from_json(jsontext.first_valid_json(text), EXTRACTION_SCHEMA)))
+        F.from_json(jsontext.first_valid_json(text, converts), EXTRACTION_SCHEMA)))
     return computed_once(parsed, **{alias: F.coalesce(
         "_salvaged", from_parsed(F.col("_parsed")))}).drop(
         "_pairs", "_hinted", "_salvaged", "_parsed")

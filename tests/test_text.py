@@ -90,6 +90,24 @@ def test_json_text(one):
     assert one(jsontext.salvage_pairs(F.col("c")), c='"a": "x", "a": 3, "l": [1,2]') == {
         "a": "3", "l": "1,2"}
     assert one(jsontext.salvage_pairs(F.col("c")), c="nothing") is None
+    assert one(jsontext.clean_json(F.col("c")), c='{number: 2, "x": "a, b: c\\" , }", y : [1,]}') == (
+        '{"number": 2, "x": "a, b: c\\" , }", "y" : [1]}')
+    assert one(jsontext.salvage_pairs(F.col("c")), c='"a": null, "b": "null", "c": 1, "c": 2') == {
+        "a": None, "b": "null", "c": "2"}
+    assert one(jsontext.strip_fence(F.col("c")), c='```\n{"a": 1}') == '{"a": 1}'
+
+
+def test_next_candidate_when_one_does_not_convert(one):
+    from studyloom.functions.report_fields import converts
+
+    def chosen(text):
+        return one(jsontext.first_valid_json(F.col("c"), converts), c=text)
+
+    assert chosen('{"number_of_studies": "two"} {"number_of_studies": "2"}') == (
+        '{"number_of_studies": "2"}')
+    assert chosen('{"current_disease_list": "x"} or {"current_disease_list": ["x"]}') == (
+        '{"current_disease_list": ["x"]}')
+    assert chosen('{"number_of_studies": null}') is None
 
 
 def test_shift_is_constant_and_bounded(spark):
