@@ -128,7 +128,7 @@ select m.unique_number, m.is_duplicate, count(l.l) as has_other_studies,
 from marked m left join links l on m.unique_number = l.l group by 1, 2
 """)
 def other_studies(t: Tables) -> DataFrame:
-    return ops.consolidate(t.consolidated).select(
+    return ops.consolidate(t.consolidated, texts=True).select(
         "unique_number", "is_duplicate", "has_other_studies", "Patient_other_image",
         "other_studies_details")
 
@@ -139,8 +139,20 @@ groups as (
  select 'ID_match' as rule, good_id as link_key, study_date, unique_number from tokens2 where good_id is not null
  union all
  select 'Name_age_match', concat(patient_age, '|', array_to_string(list_sort(words), ' ')), study_date, unique_number from tokens2)
-select rule, link_key, study_date, 0 as part, string_agg(unique_number::varchar, ',' order by unique_number) as members from groups group by 1, 2, 3
+select rule, link_key, study_date, unique_number from groups
 """)
 def link_members(t: Tables) -> DataFrame:
-    return ops.link_members(ops.mark_duplicates(t.consolidated)).withColumn(
-        "members", F.array_join("members", ","))
+    return ops.link_members(ops.mark_duplicates(t.consolidated))
+
+
+@query("similar_name_links", "consolidated", f"""
+with {LINKS_SQL.strip()},
+names as (select distinct patient_age, list_sort(words) as words from tokens2)
+select concat(a.patient_age, '|', array_to_string(a.words, ' ')) as link_key, concat(b.patient_age, '|', array_to_string(b.words, ' ')) as other_key,
+ round(len(list_intersect(a.words, b.words))::double / len(list_distinct(list_concat(a.words, b.words))), 6) as similarity
+from names a join names b on a.patient_age = b.patient_age and a.words <> b.words
+where len(list_intersect(a.words, b.words))::double / len(list_distinct(list_concat(a.words, b.words))) >= 0.8
+""")
+def similar_name_links(t: Tables) -> DataFrame:
+    return ops.similar_name_links(ops.mark_duplicates(t.consolidated)).withColumn(
+        "similarity", F.round("similarity", 6))

@@ -42,11 +42,10 @@ def folder_index(t: Tables) -> DataFrame:
 @query("folder_files", "slices", f"""
 with paths as (select file_path as path from slices),
 kinds as (select *, replace(trim(regexp_replace(path, '/[^/]*$', ''), '/'), '/', '_._') as folder_key, {KIND} as kind from paths)
-select folder_key, kind, 0 as part, string_agg(path, ',' order by path) as files from kinds where kind is not null group by 1, 2
+select folder_key, kind, path from kinds where kind is not null
 """)
 def folder_files(t: Tables) -> DataFrame:
-    return files.folder_files(t.slices.select(F.col("file_path").alias("path"))).withColumn(
-        "files", F.array_join("files", ","))
+    return files.folder_files(t.slices.select(F.col("file_path").alias("path")))
 
 
 @query("folder_contents", "slices", f"""

@@ -98,10 +98,10 @@ def match_class_counts(t: Tables) -> DataFrame:
 
 
 @query("conflict_log", "consolidated new_db old_db", f"""with {DUP_SQL}
-select match_class, entry, side, 0 as part, string_agg(member::varchar, ',' order by member) as members from members where match_class <> 'one_to_one' group by 1, 2, 3
+select match_class, entry, side, member from members where match_class <> 'one_to_one'
 """)
 def conflict_log(t: Tables) -> DataFrame:
-    return ops.conflict_log(matched(t)).withColumn("members", F.array_join("members", ","))
+    return ops.conflict_log(matched(t))
 
 
 @query("merged_outer", "consolidated new_db old_db", f"""with {DUP_SQL}

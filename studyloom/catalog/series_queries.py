@@ -237,26 +237,24 @@ def affine_matrix(t: Tables) -> DataFrame:
 
 @query("rescale_stack", "", """
 with scaled as (select label, vec_id, list_transform(embedding, lambda x: x::double * 2.0 - 1024.0) as image from embeddings)
-select label, (vec_id // 64)::int as slab, count(*) as n, round(sum(list_sum(image)), 3) as total, min(vec_id) as first_at, round(arg_min(image[1], vec_id), 4) as first_pixel from scaled group by 1, 2
+select label, row_number() over (partition by label order by vec_id) as place, vec_id as position, round(list_sum(image), 3) as total, round(image[1], 4) as first_pixel from scaled
 """)
 def rescale_stack(t: Tables) -> DataFrame:
     volumes = ops.stack_volumes(t.pixel_rows(), ["label"], "vec_id", slope=2.0, intercept=-1024.0)
-    total = F.aggregate(F.flatten("volume"), F.lit(0.0), lambda s, x: s + x)
-    return volumes.select(
-        "label", "slab", F.size("positions").cast("bigint").alias("n"),
-        F.round(total, 3).alias("total"), F.get("positions", 0).alias("first_at"),
-        F.round(F.get(F.get("volume", 0), 0), 4).alias("first_pixel"))
+    total = F.aggregate("image", F.lit(0.0), lambda s, x: s + x)
+    return volumes.select("label", "place", "position", F.round(total, 3).alias("total"),
+                          F.round(F.get("image", 0), 4).alias("first_pixel"))
 
 
 @query("slice_sort", "slices", """
 select file_path, line_no, study_no, series_number, substr(image_position_patient, 8, length(image_position_patient) - 8)::double as slice_position
-from slices order by study_no, series_number, slice_position, line_no, file_path limit 1000
+from slices order by study_no, series_number, slice_position
 """)
 def slice_sort(t: Tables) -> DataFrame:
     placed = ops.slice_positions(t.slices).select(
         "file_path", "line_no", "study_no", "series_number", "slice_position")
     return placed.orderBy("study_no", "series_number", "slice_position", "line_no",
-                          "file_path").limit(1000)
+                          "file_path")
 
 
 @query("series_order", "slices", f"""with {STATS_SQL}

@@ -161,11 +161,11 @@ with names as (
  select concat(p_name, ':', p_brand, '*', p_type, '?.jsonl') as raw from part
  union all select url as raw from pages),
 safe as (select raw, regexp_replace(raw, '[\\/:*?"<>|]', '_', 'g') as s from names),
-capped as (select raw, case when length(s) > 40 and contains(s, '.')
+capped as (select raw, case when length(s) > 255 and contains(s, '.')
    then concat(case when room >= 0 then left(stem, room) else left(stem, greatest(length(stem) + room, 0)) end, '.', ext)
-   else left(s, 40) end as c
+   else left(s, 255) end as c
   from (select *, regexp_replace(s, '\.[^.]*$', '') as stem, regexp_extract(s, '([^.]*)$', 1) as ext,
-   39 - length(regexp_extract(s, '([^.]*)$', 1)) as room from safe) x)
+   254 - length(regexp_extract(s, '([^.]*)$', 1)) as room from safe) x)
 select raw, coalesce(nullif(trim(c, ' .'), ''), 'unnamed_file') as safe_name,
  regexp_replace(concat('S3_processForStore_', coalesce(nullif(trim(c, ' .'), ''), 'unnamed_file')), '^S3_processForStore_', '') as same_name
 from capped
@@ -174,7 +174,7 @@ def study_name_sanitise(t: Tables) -> DataFrame:
     raw = t.part.select(F.concat("p_name", F.lit(":"), "p_brand", F.lit("*"), "p_type",
                                  F.lit("?.jsonl")).alias("raw")).unionByName(
         t.pages.select(F.col("url").alias("raw")))
-    safe = text.safe_file_name(F.col("raw"), longest=40)
+    safe = text.safe_file_name(F.col("raw"), longest=255)
     return raw.select(
         "raw", safe.alias("safe_name"),
         text.study_name(F.concat(F.lit("S3_processForStore_"), safe, F.lit(".zip")))

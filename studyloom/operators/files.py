@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from studyloom.functions import text
-from studyloom.operators.skew import LIST_ITEMS, bounded_lists
 
 # Kinds of files by extension; other files are left out.
 KINDS = {
@@ -46,10 +45,9 @@ def folder_index(listing: DataFrame, root: str = "") -> DataFrame:
         *[F.count_if(F.col("kind") == k).alias(f"{k}_files") for k in KINDS])
 
 
-def folder_files(listing: DataFrame, root: str = "", items: int = LIST_ITEMS) -> DataFrame:
-    """File lists per folder and kind, in parts of bounded size."""
-    return bounded_lists(classified(listing, root), ["folder_key", "kind"], F.col("path"),
-                         "files", items)
+def folder_files(listing: DataFrame, root: str = "") -> DataFrame:
+    """Files per folder and kind, one row per file whatever the size of a folder."""
+    return classified(listing, root).select("folder_key", "kind", "path")
 
 
 def folder_contents(listing: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from studyloom.functions import text
 from studyloom.operators.leaders import first_come_leaders
-from studyloom.operators.skew import LIST_ITEMS, bounded_lists, match_keys
+from studyloom.operators.skew import match_keys
 from studyloom.session import durable
 
 NEW_IDS = ["ID_fromCT", "DONOTPUBLISH_ID_fromCT", "patient_id"]
@@ -24,9 +24,15 @@ NEW_IDS = ["ID_fromCT", "DONOTPUBLISH_ID_fromCT", "patient_id"]
 
 def apply_hospitals(studies: DataFrame, hospitals: DataFrame,
                     source: str = "source_folder") -> DataFrame:
-    """Add `Hospital` from a (source_folder, hospital) map; '' where there is none."""
-    named = hospitals.select(F.col("source_folder").alias("_source"),
-                             F.col("hospital").alias("_hospital"))
+    """Add `Hospital` from a (source_folder, hospital) map; '' where there is none.
+
+    A source may be listed again with the same hospital; with another one the job fails.
+    """
+    named = hospitals.groupBy(F.col("source_folder").alias("_source")).agg(
+        F.min("hospital").alias("_hospital"), F.max("hospital").alias("_other")).select(
+        "_source", F.when(F.col("_hospital") == F.col("_other"), F.col("_hospital")).otherwise(
+            F.when(F.col("_hospital").isNotNull(), F.raise_error(F.concat(
+                F.lit("two hospitals for "), "_source")).cast("string"))).alias("_hospital"))
     return (studies.join(named, F.col(source) == F.col("_source"), "left")
             .withColumn("Hospital", F.coalesce("_hospital", F.lit("")))
             .drop("_source", "_hospital"))
@@ -341,10 +347,9 @@ def match_class_counts(m: Matches) -> DataFrame:
         "match_class").agg(F.count(F.lit(1)).alias("entries"))
 
 
-def conflict_log(m: Matches, items: int = LIST_ITEMS) -> DataFrame:
-    """Conflicts with their old and new rows as sorted lists, in parts of bounded size."""
-    conflicts = conflict_members(m).filter(F.col("match_class") != "one_to_one")
-    return bounded_lists(conflicts, ["match_class", "entry", "side"], F.col("member"), "members",
-                         items)
+def conflict_log(m: Matches) -> DataFrame:
+    """Conflicts, one row per old or new row that takes part."""
+    return conflict_members(m).filter(F.col("match_class") != "one_to_one").select(
+        "match_class", "entry", "side", "member")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from studyloom.functions import jsontext, privacy
 from studyloom.operators.series import ORDER, geometry_flags
-from studyloom.operators.skew import LIST_ITEMS, bounded_lists, match_keys
+from studyloom.operators.skew import match_keys
 
 PUBLIC_SPATIAL = ["slice_thickness", "pixel_spacing", "image_orientation_patient",
                   "image_position_patient"]
@@ -95,9 +95,9 @@ def with_protected_document(heads: DataFrame, salt: str, key: str | Column) -> D
     return wide.withColumn("protected", F.aes_encrypt(F.to_json(document), secret))
 
 
-def series_files(slices: DataFrame, keys: Sequence[str], items: int = LIST_ITEMS) -> DataFrame:
-    """File paths of a series, in parts of bounded size."""
-    return bounded_lists(slices, keys, F.col("file_path"), "file_paths", items)
+def series_files(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """File paths of each series, one row per file."""
+    return slices.select(*keys, "file_path")
 
 
 def reidentification_table(heads: DataFrame, salt: str) -> DataFrame:

@@ -113,12 +113,11 @@ def write_back(package: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def assemble_pages(tokens: DataFrame, document: str = "doc_id",
-                   threshold: float = TOKEN_CONFIDENCE, part_pages: int = 10_000) -> DataFrame:
+                   threshold: float = TOKEN_CONFIDENCE) -> DataFrame:
     """Recognised tokens to the text of each document, with the mean confidence of kept tokens.
 
     `tokens(document, page, seq, token, confidence)`; tokens of a page are joined by
-    spaces, pages by an empty line. A document of more than `part_pages` pages comes in
-    several parts, each with its own figures; `document_totals` adds them up.
+    spaces, pages by an empty line. A document is one row, however long.
     """
     keep = F.col("confidence") >= threshold
     pages = tokens.groupBy(document, "page").agg(
@@ -126,31 +125,19 @@ def assemble_pages(tokens: DataFrame, document: str = "doc_id",
         F.count_if(keep).alias("_kept"),
         F.sum(F.when(keep, F.col("confidence"))).alias("_confidence"))
     words = F.array_join(F.transform("_tokens", lambda t: t["token"]), " ")
-    part = F.floor(F.col("page") / part_pages).cast("int").alias("part")
-    parts = pages.withColumn("_text", words).groupBy(document, part).agg(
+    whole = pages.withColumn("_text", words).groupBy(document).agg(
         F.array_sort(F.collect_list(F.when(F.col("_kept") > 0, F.struct("page", "_text"))))
         .alias("_pages"),
         F.sum("_kept").alias("_kept"), F.sum("_confidence").alias("_total"),
         F.count(F.lit(1)).alias("_page_count"))
     full = text.strip(F.array_join(F.transform("_pages", lambda p: p["_text"]), "\n\n"))
-    return parts.select(
-        document, "part", full.alias("text"), F.col("_kept").alias("kept_tokens"),
+    return whole.select(
+        document, full.alias("text"), F.col("_kept").alias("kept_tokens"),
         F.col("_page_count").alias("page_count"),
         F.when(F.col("_kept") > 0, F.col("_total") / F.col("_kept"))
         .otherwise(F.lit(0.0)).alias("confidence"))
 
 
-def document_totals(parts: DataFrame, document: str = "doc_id") -> DataFrame:
-    """Kept tokens, pages and mean confidence of whole documents from their parts."""
-    summed = parts.groupBy(document).agg(
-        F.sum("kept_tokens").alias("kept_tokens"), F.sum("page_count").alias("page_count"),
-        F.sum(F.col("confidence") * F.col("kept_tokens")).alias("_total"))
-    return summed.select(
-        document, "kept_tokens", "page_count",
-        F.when(F.col("kept_tokens") > 0, F.col("_total") / F.col("kept_tokens"))
-        .otherwise(F.lit(0.0)).alias("confidence"))
-
-
 def file_type(path: Column) -> Column:
     extension = text.file_extension(path)
     kinds = None

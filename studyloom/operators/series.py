@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from studyloom.functions import geometry as geo, privacy
 from studyloom.functions.staging import computed_once
@@ -330,23 +330,17 @@ def series_tracker(studies: DataFrame, slices: DataFrame, study_keys: Sequence[s
 
 
 def stack_volumes(pixels: DataFrame, keys: Sequence[str], position: str, image: str = "pixels",
-                  slope: str | float = 1.0, intercept: str | float = 0.0,
-                  slab: int = 64) -> DataFrame:
-    """Rescaled slices stacked in order of position, in slabs of at most `slab` positions.
+                  slope: str | float = 1.0, intercept: str | float = 0.0) -> DataFrame:
+    """Rescaled slices of each volume in order: keys, place (from 1), position, image.
 
-    A volume is as large as its series, so it is emitted as numbered slabs; a series
-    that fits one slab gives one row.
+    A volume is as large as its series, so it stays one row per slice, numbered by position. Only
+    keys and positions go through the numbering, not the images; positions of a series must differ.
     """
     def value(v: str | float) -> Column:
         return F.col(v) if isinstance(v, str) else F.lit(float(v))
 
-    scaled = pixels.withColumn("_image", geo.rescale(F.col(image), value(slope),
-                                                     value(intercept)))
-    return (
-        scaled.withColumn("slab", F.floor(F.col(position) / slab).cast("int"))
-        .groupBy(*keys, "slab")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(position).alias("at"), "_image")))
-             .alias("_stack"))
-        .select(*keys, "slab", F.transform("_stack", lambda s: s["at"]).alias("positions"),
-                F.transform("_stack", lambda s: s["_image"]).alias("volume"))
-    )
+    order = Window.partitionBy(*keys).orderBy(position)
+    places = pixels.select(*keys, position, F.row_number().over(order).alias("place"))
+    return pixels.join(places, [*keys, position]).select(
+        *keys, "place", F.col(position).alias("position"),
+        geo.rescale(F.col(image), value(slope), value(intercept)).alias("image"))

@@ -17,8 +17,6 @@ from studyloom.session import durable
 SECTION_ROWS = 1_000_000
 # Most stretches one group is cut into.
 MOST_SECTIONS = 5_000
-# Entries of one collected list.
-LIST_ITEMS = 1_000
 
 
 def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
@@ -109,24 +107,3 @@ def number_rows(df: DataFrame, group: str, position: str, alias: str, start: int
         .withColumn(alias, F.col("_offset") + F.col("_rn") + F.lit(start - 1))
         .drop("_rn", "_offset", "_section")
     )
-
-
-def bounded_lists(df: DataFrame, keys: Sequence[str], item: Column, alias: str,
-                  items: int = LIST_ITEMS) -> DataFrame:
-    """Sorted lists of `item` per group, in parts of about `items` entries.
-
-    An ordinary group is one row with `part` 0; a larger one is spread over as many
-    rows as it needs, so no list grows with the data and none is cut short.
-    """
-    listed = df.select(*keys, item.alias("_item"))
-    large = (
-        listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > items)
-        .select(*keys, F.ceil(F.col("_n") / items).alias("_parts"))
-    )
-    part = F.coalesce(F.pmod(F.xxhash64("_item"), F.col("_parts")), F.lit(0)).cast("int")
-    return (
-        match_keys(listed, large, keys)
-        .groupBy(*keys, part.alias("part"))
-        .agg(F.array_sort(F.collect_list("_item")).alias(alias))
-    )

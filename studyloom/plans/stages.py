@@ -55,10 +55,10 @@ def consolidate_sites(spark: SparkSession, root: str | Sequence[str]) -> DataFra
 
 def label_and_map(consolidated: DataFrame, hospitals: DataFrame, old: DataFrame) -> DataFrame:
     """Hospital labels, then the merge with the old database."""
-    gaps = mapping.mapping_gaps(consolidated, hospitals).limit(20).collect()
-    if gaps:
-        raise ValueError("hospital map is incomplete: " + ", ".join(
-            f"{g.source_folder} ({g.problem})" for g in gaps))
+    gaps = durable(mapping.mapping_gaps(consolidated, hospitals))
+    if found := gaps.count():
+        raise ValueError(f"hospital map is incomplete: {found} gaps, listed in "
+                         f"{gaps.inputFiles()[0].rpartition('/')[0]}")
     labelled = mapping.apply_hospitals(consolidated, hospitals).withColumnRenamed(
         "Hospital", "hospital")
     new = labelled.withColumn("new_id", F.col("unique_number"))

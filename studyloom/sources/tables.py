@@ -9,13 +9,12 @@ def read_table(spark: SparkSession, path: str, spread_by: str | None = None) ->
     """Read a Parquet table.
 
     A small table in one file arrives as one split and would keep all later row-wise
-    work on one core. `spread_by` names a column to spread such a table by; a table
-    with at least as many splits as cores is left as it is.
+    work on one core. `spread_by` names a column to spread such a table by; a table of several
+    splits is left as it is.
     """
     df = spark.read.parquet(path)
     if spread_by is None:
         return df
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() > 1:
         return df
-    return df.repartition(cores, spread_by)
+    return df.repartition(spark.sparkContext.defaultParallelism, spread_by)

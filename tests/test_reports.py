@@ -57,12 +57,14 @@ def test_pages_without_kept_tokens_are_left_out(spark):
     got = {r.doc_id: (r.text, r.kept_tokens, round(r.confidence, 6)) for r in
            ops.assemble_pages(tokens).collect()}
     assert got == {1: ("a\n\nd", 2, 0.7), 2: ("", 0, 0.0)}
-    parts = ops.assemble_pages(tokens, part_pages=2)
-    assert sorted((r.doc_id, r.part, r.text) for r in parts.collect()) == [
-        (1, 0, "a"), (1, 1, "d"), (2, 0, "")]
-    totals = {r.doc_id: (r.kept_tokens, r.page_count, round(r.confidence, 6)) for r in
-              ops.document_totals(parts).collect()}
-    assert totals == {1: (2, 3, 0.7), 2: (0, 1, 0.0)}
+
+
+def test_long_documents_stay_whole(spark):
+    tokens = spark.range(12_000).select(
+        F.lit(1).alias("doc_id"), F.col("id").alias("page"), F.lit(0).alias("seq"),
+        F.lit("w").alias("token"), F.lit(0.9).alias("confidence"))
+    row, = ops.assemble_pages(tokens).collect()
+    assert row.page_count == row.kept_tokens == 12_000 and row.text.count("\n\n") == 11_999
 
 
 @pytest.mark.parametrize("kind, native, read, error, expected", [

@@ -89,12 +89,12 @@ def test_analysis_readiness_and_texts(spark):
     assert loose.first().is_ready_for_nifti and not strict.first().is_ready_for_nifti
 
 
-def test_volume_slabs_and_flip(spark, one):
-    frame = spark.createDataFrame([("v", i, [float(i), 1.0]) for i in (2, 0, 1)],
-                                  "series string, at int, pixels array<double>")
-    got = ops.stack_volumes(frame, ["series"], "at", slope=2.0, intercept=-1.0, slab=2).orderBy(
-        "slab").collect()
-    assert [r.positions for r in got] == [[0, 1], [2]]
-    assert got[0].volume == [[-1.0, 1.0], [1.0, 1.0]]
+def test_volume_order_and_flip(spark, one):
+    frame = spark.createDataFrame([("v", i / 2, [float(i), 1.0]) for i in (2, 0, 1)],
+                                  "series string, at double, pixels array<double>")
+    got = ops.stack_volumes(frame, ["series"], "at", slope=2.0, intercept=-1.0).orderBy(
+        "place").collect()
+    assert [(r.place, r.position) for r in got] == [(1, 0.0), (2, 0.5), (3, 1.0)]
+    assert [r.image for r in got] == [[-1.0, 1.0], [1.0, 1.0], [3.0, 1.0]]
     image = F.array(F.array(F.lit(1), F.lit(2)), F.array(F.lit(3), F.lit(4)))
     assert one(geo.flip_rows(image)) == [[4, 3], [2, 1]]

@@ -23,12 +23,3 @@ def test_previous_value_with_sections_equals_lag(spark):
     want = df.withColumn("prev", F.lag("p").over(Window.partitionBy("g").orderBy("p")))
     assert set(map(tuple, got.select("g", "p", "prev").collect())) == set(
         map(tuple, want.collect()))
-
-
-def test_bounded_lists_keep_every_item(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 900, "hot").otherwise("cold").alias("g"),
-                                  "id")
-    parts = skew.bounded_lists(df, ["g"], F.col("id"), "ids", items=100).collect()
-    assert sorted(x for p in parts for x in p.ids) == list(range(1000))
-    assert sum(p.g == "cold" for p in parts) == 1
-    assert max(len(p.ids) for p in parts if p.g == "hot") < 250
