@@ -18,24 +18,32 @@ def with_study_key(slices: DataFrame, alias: str = "source_file") -> DataFrame:
     return slices.withColumn(alias, text.safe_file_name(key))
 
 
-def exact_dedup(slices: DataFrame, study: str, record: Sequence[str],
+def key_columns(study: str | Sequence[str]) -> list[str]:
+    """A study's key is one column or several, as (source_folder, source_file)."""
+    return [study] if isinstance(study, str) else list(study)
+
+
+def exact_dedup(slices: DataFrame, study: str | Sequence[str], record: Sequence[str],
                 order: str = "line_no") -> DataFrame:
     """One row per distinct record of a study, keeping the earliest position.
 
     The aggregation combines copies before the shuffle, so a record repeated many
     times costs one row per map task.
     """
-    keys = [study, *[c for c in record if c != study]]
+    by = key_columns(study)
+    keys = [*by, *[c for c in record if c not in by]]
     return slices.groupBy(*keys).agg(F.min(order).alias(order))
 
 
-def dedup_counts(slices: DataFrame, study: str, record: Sequence[str]) -> DataFrame:
+def dedup_counts(slices: DataFrame, study: str | Sequence[str],
+                 record: Sequence[str]) -> DataFrame:
     """Records per study before and after exact dedup, with the reason text."""
-    keys = [study, *[c for c in record if c != study]]
+    by = key_columns(study)
+    keys = [*by, *[c for c in record if c not in by]]
     counts = (
         slices.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
-        .groupBy(study).agg(F.sum("_copies").alias("original_records"),
-                            F.count(F.lit(1)).alias("after_dedup"))
+        .groupBy(*by).agg(F.sum("_copies").alias("original_records"),
+                          F.count(F.lit(1)).alias("after_dedup"))
     )
     removed = F.col("original_records") - F.col("after_dedup")
     return counts.withColumn("dedup_reason", F.format_string(
@@ -48,26 +56,28 @@ def first_record(fields: Sequence[str], order: Sequence[str]) -> Column:
     return F.min_by(F.struct(*fields), F.struct(*order))
 
 
-def study_summary(slices: DataFrame, study: str = "source_file",
+def study_summary(slices: DataFrame, study: str | Sequence[str] = "source_file",
                   order: Sequence[str] = ("line_no", "file_path"),
                   fields: Sequence[str] = SUMMARY_FIELDS,
                   count: Column | None = None) -> DataFrame:
     """One row per study: fields of its first slice, slice count, folder of that slice."""
     head = [*fields, *[c for c in ("file_path",) if c not in fields]]
     counted = count if count is not None else F.count(F.lit(1))
+    by = key_columns(study)
     return (
-        slices.groupBy(study)
+        slices.groupBy(*by)
         .agg(first_record(head, order).alias("_first"), counted.alias("ct_objects_count"))
-        .select(*[F.col(f"_first.{f}").alias(f) for f in fields], F.col(study),
+        .select(*[F.col(f"_first.{f}").alias(f) for f in fields], *by,
                 F.col("ct_objects_count"),
                 text.parent_folder(F.col("_first.file_path")).alias("dicom_folder_path"))
     )
 
 
 def keep_listed_files(summary: DataFrame, listed: DataFrame,
-                      study: str = "source_file") -> DataFrame:
+                      study: str | Sequence[str] = "source_file") -> DataFrame:
     """Empty or unreadable study files stay in the summary with null fields and count 0."""
-    return match_keys(listed.select(study).distinct(), summary, [study]).withColumn(
+    by = key_columns(study)
+    return match_keys(listed.select(*by).distinct(), summary, by).withColumn(
         "ct_objects_count", F.coalesce("ct_objects_count", F.lit(0)))
 
 
@@ -135,9 +145,11 @@ def filter_statistics(studies: DataFrame, skipped: Column | None = None,
     )
 
 
-def filtered_slices(slices: DataFrame, passed: DataFrame, study: str) -> DataFrame:
+def filtered_slices(slices: DataFrame, passed: DataFrame,
+                    study: str | Sequence[str]) -> DataFrame:
     """Slices of the studies that passed."""
-    return slices.join(passed.select(study), study, "left_semi")
+    by = key_columns(study)
+    return slices.join(passed.select(*by), by, "left_semi")
 
 
 def source_counts(df: DataFrame, source: str, alias: str = "patient_count") -> DataFrame:

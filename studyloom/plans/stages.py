@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -25,24 +26,29 @@ class Indexed:
     statistics: DataFrame
 
 
-def index_and_filter(spark: SparkSession, folder: str, min_files: int = 10,
+def index_and_filter(spark: SparkSession, folder: str | Sequence[str], min_files: int = 10,
                      skip: Sequence[str] = files.SKIP_FILES) -> Indexed:
-    """Record files to study summary and to the studies that pass the filters.
+    """Record files of one or several locations to study summary and to the studies that pass.
 
-    The parsed records are written once; everything after groups by study.
+    A study is (source_folder, source_file). The parsed records are written once; everything
+    after groups by study.
     """
-    raw = durable(files.read_records(spark, folder, skip=skip))
+    study = files.STUDY_KEY
+    locations = [folder] if isinstance(folder, str) else list(folder)
+    raw = durable(reduce(DataFrame.unionByName, [
+        files.read_records(spark, each, skip=skip) for each in locations]))
     records = files.good_records(raw)
-    counts = files.line_counts(spark, folder, skip)
-    first = studies.study_summary(records, order=["line_no"]).drop("ct_objects_count")
-    summary = counts.join(first, "source_file", "left")
-    per_study = counts.select("source_file").join(
-        studies.dedup_counts(records, "source_file", SLICE_FIELDS), "source_file", "left")
+    counts = durable(reduce(DataFrame.unionByName, [
+        files.line_counts(spark, each, skip) for each in locations]))
+    first = studies.study_summary(records, study, order=["line_no"]).drop("ct_objects_count")
+    summary = counts.join(first, study, "left")
+    per_study = counts.select(*study).join(
+        studies.dedup_counts(records, study, SLICE_FIELDS), study, "left")
     per_study = per_study.fillna({"original_records": 0, "after_dedup": 0})
     checked = studies.apply_filters(
         per_study, [studies.minimum_files(F.col("after_dedup"), min_files)])
-    deduped = studies.exact_dedup(records, "source_file", SLICE_FIELDS)
-    kept = studies.filtered_slices(deduped, checked.filter("passed"), "source_file")
+    deduped = studies.exact_dedup(records, study, SLICE_FIELDS)
+    kept = studies.filtered_slices(deduped, checked.filter("passed"), study)
     return Indexed(records, summary, checked, kept, studies.filter_statistics(checked))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -41,6 +42,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+# Tables written by `durable`, per session.
+_WRITTEN: dict[str, list[str]] = {}
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that `durable` has written in this session; their number.
+
+    Runs by itself when the driver ends; a long-lived session calls it once its results are
+    written. Data frames that still read such a table cannot be used afterwards.
+    """
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
+
+
+def _release_at_exit(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None:  # not stopped
+        with contextlib.suppress(Exception):
+            release(spark)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared checkpoint folder and read it back.
 
@@ -48,6 +72,12 @@ def durable(df: DataFrame) -> DataFrame:
     lost executor never forces the earlier steps to run again, and later steps see
     its real size and read only the columns they use.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    session = spark.sparkContext.applicationId
+    if session not in _WRITTEN:
+        _WRITTEN[session] = []
+        atexit.register(_release_at_exit, spark)
+    _WRITTEN[session].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

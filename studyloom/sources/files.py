@@ -105,15 +105,20 @@ def folder_status(walked: DataFrame, root: str) -> DataFrame:
         F.coalesce("error", F.lit("")).alias("error"))
 
 
+# A study file: its folder and its name.
+STUDY_KEY = ["source_folder", "source_file"]
+
+
 def skip_listed(df: DataFrame, skip: Sequence[str], file_name: str = "source_file") -> DataFrame:
     return df.filter(~F.col(file_name).isin(list(skip))) if skip else df
 
 
 def read_records(spark: SparkSession, folder: str, schema: T.StructType = SLICE_SCHEMA,
                  skip: Sequence[str] = SKIP_FILES, glob: str = "*.jsonl") -> DataFrame:
-    """JSON-lines records with file name, line number and a flag for bad lines.
+    """JSON-lines records with folder, file name, line number and a flag for bad lines.
 
-    Blank lines are dropped. `line_no` grows along the file: split offset, then row
+    A study file is (source_folder, source_file): equal names in different folders are
+    different studies. Blank lines are dropped. `line_no` grows along the file: split offset, then row
     in the split, so it orders lines without being a plain count.
     """
     lines = (
@@ -121,6 +126,8 @@ def read_records(spark: SparkSession, folder: str, schema: T.StructType = SLICE_
         .text(folder)
         .select("value", F.col("_metadata.file_name").alias("source_file"),
                 plain_path(F.col("_metadata.file_path")).alias("record_path"),
+                text.parent_folder(plain_path(F.col("_metadata.file_path")))
+                .alias("source_folder"),
                 F.col("_metadata.file_block_start").alias("_block"),
                 (F.monotonically_increasing_id() % (1 << 33)).alias("_row"))
     )
@@ -130,7 +137,8 @@ def read_records(spark: SparkSession, folder: str, schema: T.StructType = SLICE_
     parsed = kept.withColumn("_r", F.from_json("value", with_bad, {
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}))
     return parsed.select(
-        *[F.col(f"_r.{f}").alias(f) for f in schema.names], "source_file", "record_path",
+        *[F.col(f"_r.{f}").alias(f) for f in schema.names if f not in STUDY_KEY], *STUDY_KEY,
+        "record_path",
         F.struct("_block", "_row").alias("line_no"), F.col("_r._bad").alias("bad_line"))
 
 
@@ -139,7 +147,7 @@ def good_records(records: DataFrame) -> DataFrame:
 
 
 def bad_line_counts(records: DataFrame) -> DataFrame:
-    return records.filter(F.col("bad_line").isNotNull()).groupBy("source_file").agg(
+    return records.filter(F.col("bad_line").isNotNull()).groupBy(*STUDY_KEY).agg(
         F.count(F.lit(1)).alias("bad_lines"))
 
 
@@ -152,14 +160,17 @@ def line_counts(spark: SparkSession, folder: str, skip: Sequence[str] = SKIP_FIL
                 glob: str = "*.jsonl") -> DataFrame:
     """All lines per file, blank ones included; a file without lines counts 0."""
     files = walk(spark, folder).filter(~F.col("is_folder")).select(
+        text.parent_folder(F.col("path")).alias("source_folder"),
         text.base_name(F.col("path")).alias("source_file")).filter(
         F.col("source_file").rlike(_pattern(glob)))
     lines = (
         spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-        .text(folder).groupBy(F.col("_metadata.file_name").alias("source_file"))
+        .text(folder).groupBy(
+            text.parent_folder(plain_path(F.col("_metadata.file_path"))).alias("source_folder"),
+            F.col("_metadata.file_name").alias("source_file"))
         .agg(F.count(F.lit(1)).alias("_lines"))
     )
-    return skip_listed(files.join(lines, "source_file", "left").withColumn(
+    return skip_listed(files.join(lines, STUDY_KEY, "left").withColumn(
         "ct_objects_count", F.coalesce("_lines", F.lit(0))).drop("_lines"), skip)
 
 

@@ -23,3 +23,15 @@ def test_previous_value_with_sections_equals_lag(spark):
     want = df.withColumn("prev", F.lag("p").over(Window.partitionBy("g").orderBy("p")))
     assert set(map(tuple, got.select("g", "p", "prev").collect())) == set(
         map(tuple, want.collect()))
+
+
+def test_release_deletes_what_durable_wrote(spark):
+    from pathlib import Path
+
+    from studyloom import session
+
+    session.release(spark)
+    kept = session.durable(spark.range(3))
+    folder = Path(kept.inputFiles()[0].removeprefix("file://")).parent
+    assert folder.exists() and session.release(spark) == 1
+    assert not folder.exists() and session.release(spark) == 0
