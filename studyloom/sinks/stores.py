@@ -10,6 +10,8 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from studyloom.sources.documents import SUMMARY_FILE, SUMMARY_SCHEMA
+
 from studyloom.operators.skew import match_keys
 
 
@@ -45,6 +47,14 @@ def write_json(df: DataFrame, path: str, keep_nulls: bool = True,
     writer.json(path)
 
 
+def write_site_summary(summary: DataFrame, site: str) -> str:
+    """A site's study summary as JSON lines where `documents.read_site_summaries` looks for it."""
+    path = f"{site.rstrip('/')}/{SUMMARY_FILE}"
+    names = [part.split()[0] for part in SUMMARY_SCHEMA.split(", ")]
+    write_json(summary.select(*[c for c in names if c in summary.columns]), path)
+    return path
+
+
 def last_wins(chunks: DataFrame, key: str, chunk: str = "chunk") -> DataFrame:
     """Merge chunks in order: the last chunk of a key counts."""
     rest = [c for c in chunks.columns if c not in (key, chunk)]

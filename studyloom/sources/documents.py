@@ -52,24 +52,44 @@ def read_site_documents(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_site_summaries(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Study summaries of several sites with `source_folder` and `position` in the file.
+    """Study summaries of several sites with `source_folder` and `position` in the site.
 
-    `paths` is a root holding site folders, or a list of site folders. A broken file
-    gives one row with `load_error`.
+    `paths` is a root holding site folders, or a list of site folders. A site's summary is one
+    file with a JSON list, or a folder of JSON lines as `stores.write_site_summary` writes it; lines
+    are read in splits, only a list is one row. A file that is no list, or a line that is no
+    object, gives a row with `load_error`.
     """
-    targets = (f"{paths.rstrip('/')}/*/{SUMMARY_FILE}" if isinstance(paths, str)
+    targets = ([f"{paths.rstrip('/')}/*/{SUMMARY_FILE}"] if isinstance(paths, str)
                else [f"{p.rstrip('/')}/{SUMMARY_FILE}" for p in paths])
-    files = _whole_files(spark, targets).withColumn(
-        "source_folder", F.element_at(F.split("source_json_file", "/"), -3))
-    whole = F.try_parse_json("value").isNotNull() & text.strip(F.col("value")).startswith("[")
-    rows = F.from_json("value", f"array<struct<{_inner(SUMMARY_SCHEMA)}>>")
-    good = files.filter(whole).select(
-        "source_folder", F.posexplode(rows).alias("position", "_r")).select(
+    site = F.regexp_extract(F.col("_metadata.file_path"), f"([^/]+)/{SUMMARY_FILE}", 1)
+    record = f"struct<{_inner(SUMMARY_SCHEMA)}>"
+    body = text.strip(F.col("value"))
+
+    def texts(names: str, whole: bool) -> DataFrame:
+        return spark.read.option("wholetext", str(whole).lower()).option(
+            "pathGlobFilter", names).text(targets).select(
+            "value", F.url_decode(site).alias("source_folder"),
+            F.monotonically_increasing_id().alias("position"))
+
+    lists = texts(SUMMARY_FILE.rpartition("/")[2], True)
+    is_list = F.try_parse_json("value").isNotNull() & body.startswith("[")
+    from_lists = lists.filter(is_list).select(
+        "source_folder", F.posexplode(F.from_json("value", f"array<{record}>"))
+        .alias("position", "_r")).withColumn("position", F.col("position").cast("long"))
+    lines = texts("part-*", False).filter(body != "")
+    is_object = F.try_parse_json("value").isNotNull() & body.startswith("{")
+    from_lines = lines.filter(is_object).select(
+        "source_folder", "position", F.from_json("value", record).alias("_r"))
+    good = from_lists.unionByName(from_lines).select(
         "_r.*", "source_folder", "position", F.lit(None).cast("string").alias("load_error"))
-    bad = files.filter(~whole).select(
-        "source_folder", F.lit(-1).alias("position"),
-        F.lit("not a JSON list").alias("load_error"))
-    return good.unionByName(bad, allowMissingColumns=True)
+
+    def bad(rows: DataFrame, message: str) -> DataFrame:
+        return rows.select("source_folder", F.lit(-1).cast("long").alias("position"),
+                           F.lit(message).alias("load_error"))
+
+    return good.unionByName(
+        bad(lists.filter(~is_list), "not a JSON list").unionByName(
+            bad(lines.filter(~is_object), "not a JSON object")), allowMissingColumns=True)
 
 
 def _inner(ddl: str) -> str:

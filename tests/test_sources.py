@@ -81,6 +81,29 @@ def test_records_keep_order_and_report_bad_lines(spark, site):
     assert counts == {"good.jsonl": 6, "bad.jsonl": 2, "empty.jsonl": 0}
 
 
+def test_records_to_consolidated_table_over_two_sites(spark, tmp_path):
+    for site, patients in (("one", ["P0001", "P0002"]), ("two", ["P0001"])):
+        folder = tmp_path / "records" / site
+        folder.mkdir(parents=True)
+        for patient in patients:
+            (folder / f"{patient}.jsonl").write_text("".join(json.dumps({
+                "file_path": f"/{site}/{patient}/{k}.dcm", "patient_id": patient,
+                "study_date": "20200101", "study_modality": "CT"}) + "\n" for k in range(3)))
+        done = stages.index_and_filter(spark, str(folder), min_files=2)
+        stores.write_site_summary(done.summary, str(tmp_path / "processed" / site))
+    broken = tmp_path / "processed" / "three" / documents.SUMMARY_FILE
+    broken.parent.mkdir(parents=True)
+    broken.write_text("{not json")
+    table = stages.consolidate_sites(spark, str(tmp_path / "processed"))
+    got = sorted((r.source_folder, r.patient_id, r.ct_objects_count, r.is_duplicate)
+                 for r in table.collect())
+    assert got == [("one", "P0001", 3, "first_occurrence"), ("one", "P0002", 3, "unique"),
+                   ("two", "P0001", 3, "duplicate")]
+    status = {r.source_folder: (r.patient_count, r.has_error) for r in documents.site_status(
+        documents.read_site_summaries(spark, str(tmp_path / "processed"))).collect()}
+    assert status == {"one": (2, False), "two": (1, False), "three": (0, True)}
+
+
 def test_equal_file_names_are_different_studies(spark, tmp_path):
     for name, patient, n in (("a", "P1", 2), ("b", "P2", 3)):
         (tmp_path / name).mkdir()
