@@ -65,12 +65,27 @@ def _release_at_exit(spark: SparkSession) -> None:
             release(spark)
 
 
+# Removes the shuffle files of a query when it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def _shuffle_files_removed(spark: SparkSession):
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Write `df` as a table in the shared checkpoint folder and read it back.
 
     Used where later steps read a result more than once. It is computed once, a
     lost executor never forces the earlier steps to run again, and later steps see
-    its real size and read only the columns they use.
+    its real size and read only the columns they use. The shuffle files behind it go as soon as
+    it is written.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
@@ -79,5 +94,6 @@ def durable(df: DataFrame) -> DataFrame:
         _WRITTEN[session] = []
         atexit.register(_release_at_exit, spark)
     _WRITTEN[session].append(path)
-    df.write.parquet(path)
+    with _shuffle_files_removed(spark):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
