@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from studyloom.catalog.fixtures import Tables
 from studyloom.catalog.registry import query
-from studyloom.functions import text
+from studyloom.functions import privacy, text
 from studyloom.operators import files, progress, series
 from studyloom.operators.top import first_rows
 
@@ -176,7 +176,7 @@ def tracked(t: Tables) -> DataFrame:
     tracker = series.series_tracker(studies, slices, ["study_no"])
     failed = F.col("study_no") % 3 == 0
     ledger = tracker.filter(F.col("study_no") % 2 == 0).select(
-        progress.failed_key(F.col("hash_id"), failed).alias("key"),
+        privacy.error_key(F.col("hash_id"), failed).alias("key"),
         F.when(failed, "failed").otherwise("ok").alias("status"), F.lit("2024-01-01").alias("ts"),
         failed.cast("int").alias("attempt"),
         F.when(failed, "unreadable").alias("error"))

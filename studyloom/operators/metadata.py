@@ -54,6 +54,7 @@ def with_sharing_document(heads: DataFrame, salt: str | None = None) -> DataFram
 
     With a salt the shifted date and age are part of it, as in the older layout.
     """
+    # Keys of the document.
     parts = {
         "hash_id": F.col("hash_id"),
         "spatial_parameters": F.struct(
@@ -77,6 +78,7 @@ def with_protected_document(heads: DataFrame, salt: str, key: str | Column) -> D
     wide = with_shifts(heads, salt)
     record = F.create_map(*[c for f in heads.columns if heads.schema[f].dataType.simpleString()
                             == "string" for c in (F.lit(f), F.col(f))])
+    # Keys of the document.
     document = F.struct(
         "hash_id",
         F.struct("patient_id", "patient_name", "patient_age", "shifted_study_date",

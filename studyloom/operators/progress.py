@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from studyloom.functions import privacy
 
 DONE = ["ok", "completed", "success", "extracted", "skipped"]
 
@@ -56,10 +55,6 @@ def track_series(tracker: DataFrame, ledger: DataFrame) -> DataFrame:
     }).drop("_success", "_ts", "_error")
 
 
-def failed_key(key: Column, failed: Column) -> Column:
-    return privacy.error_key(key, failed)
-
-
 def percent(part: Column, whole: Column) -> Column:
     """Share with one decimal and a percent sign, `0%` of nothing."""
     return F.when(whole > 0, F.format_string("%.1f%%", F.bround(part / whole * 100, 1))) \

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import shutil
 import zipfile
 from pathlib import Path
 
@@ -136,14 +135,3 @@ def write_study_archives(slices: DataFrame, listing: DataFrame, folder: str,
             "error": error}])
 
     return rows.groupBy("study", "part").applyInPandas(build, ARCHIVE_SCHEMA)
-
-
-def copy_package_files(package: DataFrame, folder: str) -> None:
-    """Copy the resolved files of a manual-check package under their new names."""
-    def copy(rows) -> None:
-        Path(folder).mkdir(parents=True, exist_ok=True)
-        for row in rows:
-            shutil.copy2(row["resolved_path"], Path(folder) / row["_copied_filename"])
-
-    package.filter(F.col("resolved_path").isNotNull()).select(
-        "resolved_path", "_copied_filename").foreachPartition(copy)

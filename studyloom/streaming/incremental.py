@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,10 +27,18 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ledger_entries(results: DataFrame, job: str, key: Column, ok: Column,
-                   error: Column | None = None) -> DataFrame:
-    return results.select(
-        F.lit(job).alias("job"), key.cast("string").alias("key"),
-        F.when(ok, "ok").otherwise("failed").alias("status"), F.lit(1).alias("attempt"),
+                   error: Column | None = None, before: DataFrame | None = None) -> DataFrame:
+    """Ledger rows of `results`; with the ledger so far, `before`, attempts are counted on."""
+    named = results.withColumn("_key", key.cast("string"))
+    attempt = F.lit(1)
+    if before is not None:
+        tried = before.filter(F.col("job") == job).groupBy(F.col("key").alias("_key")).agg(
+            F.max("attempt").alias("_tried"))
+        named = named.join(tried, "_key", "left")
+        attempt = F.coalesce("_tried", F.lit(0)) + 1
+    return named.select(
+        F.lit(job).alias("job"), F.col("_key").alias("key"),
+        F.when(ok, "ok").otherwise("failed").alias("status"), attempt.alias("attempt"),
         F.current_timestamp().alias("ts"),
         (error if error is not None else F.lit(None)).cast("string").alias("error"))
 
@@ -43,16 +53,17 @@ def run_pending(work: DataFrame, ledger_path: str, job: str, key: str,
     """Process what the ledger does not settle, store the results, then note the outcome.
 
     `process` returns one row per key with `ok` and `error`. Results are written before
-    the ledger, under a run name made of the job and the ledger's size, so a run that
-    died in between repeats into the same place. Returns the results of this run.
+    the ledger, under a run name of their own that sorts by time: two runs at once do not
+    meet, and of a run that died in between `latest_results` takes the repeated keys from the
+    later one. Returns the results of this run.
     """
     spark = work.sparkSession
     ledger = read_ledger(spark, ledger_path).filter(F.col("job") == job)
-    run_name = f"{job}-{ledger.count():012d}"
+    run_name = f"{job}-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     todo = progress.pending(work, ledger, key, retry_failed)
     results = durable(process(todo))
     overwrite_batch(results, output, run_name)
-    append_ledger(ledger_entries(results, job, F.col(key), F.col("ok"), F.col("error")),
+    append_ledger(ledger_entries(results, job, F.col(key), F.col("ok"), F.col("error"), ledger),
                   ledger_path)
     return results
 

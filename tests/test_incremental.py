@@ -28,6 +28,8 @@ def test_runs_process_each_key_once_and_retry_failures(spark, tmp_path):
     once = process(work("k1", "k2", "k3")).select("key", "ok", "value")
     total = inc.latest_results(spark.read.parquet(output), "key").select("key", "ok", "value")
     assert total.exceptAll(once).isEmpty() and once.exceptAll(total).isEmpty()
+    tries = {(r.key, r.attempt, r.status) for r in inc.read_ledger(spark, ledger).collect()}
+    assert tries == {("k1", 1, "ok"), ("k2", 1, "failed"), ("k2", 2, "ok"), ("k3", 1, "ok")}
 
 
 def test_failures_may_be_settled(spark):
