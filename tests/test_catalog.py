@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as entry
 from studyloom.catalog.fixtures import TABLES
+from studyloom.catalog.registry import ORACLES, QUERIES
 from tools.compare import rows_of
 
 duckdb = pytest.importorskip("duckdb")
@@ -18,7 +19,7 @@ FOLDER = "/root/testdata/sf0.001"
 SHORT = ["min_files_filter", "filter_reasons", "unique_number", "duplicate_stars",
          "spacing_stats", "series_analysis", "label_all", "report_fields", "token_assembly",
          "match_classes", "merged_outer", "metadata_split", "folder_index", "tracker_update"]
-NAMES = sorted(entry.queries()) if os.environ.get("STUDYLOOM_ALL") else SHORT
+NAMES = sorted(QUERIES) if os.environ.get("STUDYLOOM_ALL") else SHORT
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
 
@@ -32,7 +33,7 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", NAMES)

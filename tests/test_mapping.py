@@ -140,12 +140,14 @@ def test_hospital_map_gaps_and_template(spark):
     assert ops.hospital_distribution(labelled).first().rows == 2
 
 
-def test_conflict_log_parts(spark):
-    new = [(i, "H", "/d/p", None, None, i, "unique", "") for i in range(50)]
+@pytest.mark.parametrize("n", [3, 1100])
+def test_conflict_log_has_one_shape_for_all_sizes(spark, n):
+    new = [(i, "H", "/d/p", None, None, i, "unique", "") for i in range(n)]
     old = [(500, "H", "/d", None, None, None)]
     m = ops.match_databases(spark.createDataFrame(new, NEW), spark.createDataFrame(old, OLD))
-    log = ops.conflict_log(m, items=10).collect()
-    assert len(log) > 1 and sorted(x for r in log for x in r.members) == list(range(50))
+    log = ops.conflict_log(m).collect()
+    assert {r.side for r in log} == {"new", "old"} and len(log) == n + 1
+    assert sorted(r.member for r in log if r.side == "new") == list(range(n))
     counts = {r.match_class: r.entries for r in ops.match_class_counts(m).collect()}
     assert counts == {"one_to_many": 1}
-    assert ops.highlight_counts(ops.merged_table(m)).filter(F.col("highlight") == "yellow").first().rows == 50
+    assert ops.highlight_counts(ops.merged_table(m)).filter(F.col("highlight") == "yellow").first().rows == n
