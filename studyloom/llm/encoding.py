@@ -10,16 +10,20 @@ from __future__ import annotations
 
 import os
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from studyloom.llm.words import kept, slices
+
 #: Words kept per worker; others are encoded again when they come up in a later batch.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 300_000
+#: Bytes of text encoded together: words that repeat there are encoded once.
+TOGETHER = 3 << 20
 END_ID = 0
-_ENCODERS: dict[str, "WordEncoder"] = {}
 _ODD_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029"
                         "\\u202f\\u205f\\u3000]")
 
@@ -50,13 +54,16 @@ class WordEncoder:
             return None
         if "\n" in text and ("\n\n" in text or " \n" in text or "\n " in text):
             return None
-        if _ODD_SPACE.search(text) or any(t in text for t in self.added):
+        lines = text.split("\n")
+        if not "".join(lines).isprintable() and _ODD_SPACE.search(text):
+            return None
+        if any(t in text for t in self.added):
             return None
-        return [line.split(" ") for line in text.split("\n")]
+        return [line.split(" ") for line in lines]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        waiting, new_inside, new_opening = [], set(), set()
+        waiting, new_inside, new_opening = [], [], []
         inside, opening = self.inside.get, self.opening.get
         for k, text in enumerate(texts):
             if not text:
@@ -73,8 +80,8 @@ class WordEncoder:
                 if None in ids:
                     complete = False
                     if first is None:
-                        new_opening.add(words[0])
-                    new_inside.update(w for w, x in zip(words[1:], ids[1:]) if x is None)
+                        new_opening.append(words[0])
+                    new_inside += [w for w, x in zip(words[1:], ids[1:]) if x is None]
                 elif complete:
                     got.append(b"".join(ids))
             if complete:
@@ -82,8 +89,8 @@ class WordEncoder:
             else:
                 waiting.append((k, lines))
         if waiting:
-            inside_ids = self._learn(self.inside, list(new_inside), " ")
-            opening_ids = self._learn(self.opening, list(new_opening), "\n")
+            inside_ids = self._learn(self.inside, new_inside, " ")
+            opening_ids = self._learn(self.opening, new_opening, "\n")
             for k, lines in waiting:
                 got = []
                 for words in lines:
@@ -92,9 +99,14 @@ class WordEncoder:
                 out[k] = self.line.join(got)
         return out
 
-    def _learn(self, table: dict[str, bytes], words: list[str], mark: str) -> dict[str, bytes]:
-        """Ids of words that each follow `mark`, many per call of the library."""
+    def _learn(self, table: dict[str, bytes], unknown: list[str], mark: str) -> dict[str, bytes]:
+        """Ids of words that each follow `mark`, many per call of the library.
+
+        Words that came up more than once are kept; the others only while the table is half empty.
+        """
         found: dict[str, bytes] = {}
+        times = Counter(unknown)
+        words = list(times)
         step = 20_000
         for at in range(0, len(words), step):
             chunk = words[at:at + step]
@@ -106,30 +118,26 @@ class WordEncoder:
             if ends[-1] != reach[-1] or (ends[cut[1:] - 1] != reach).any():
                 raise ValueError("a token goes over the end of a word")
             raw, skip = ids.tobytes(), 4 if mark == "\n" else 0
-            for w, a, b in zip(chunk, cut[:-1].tolist(), cut[1:].tolist()):
-                found[w] = raw[4 * a + skip:4 * b]
-        room = KEPT_WORDS - len(table)
-        if room > 0:
-            for w in list(found)[:room]:
-                if len(w) < 64:
-                    table[w] = found[w]
+            starts, stops = (4 * cut[:-1] + skip).tolist(), (4 * cut[1:]).tolist()
+            found.update(zip(chunk, [raw[a:b] for a, b in zip(starts, stops)]))
+        if len(table) < KEPT_WORDS:
+            often = KEPT_WORDS // 2 <= len(table)
+            table.update((w, found[w]) for w, n in times.items()
+                         if (n > 1 or not often) and len(w) < 64)
         return found
 
 
 def encoder(path: str) -> WordEncoder:
     """One encoder per worker and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return kept("encoder", path, lambda: WordEncoder(path))
 
 
-def encode_batches(batches: Iterator[pa.RecordBatch], vocabulary: str,
-                   rows: int = 512) -> Iterator[tuple[list, list[bytes]]]:
+def encode_batches(batches: Iterator[pa.RecordBatch],
+                   vocabulary: str) -> Iterator[tuple[list, list[bytes]]]:
     """(doc_ids, ids of each document with the end id) for slices of Arrow batches."""
     tool, end = encoder(vocabulary), np.array([END_ID], dtype="<u4").tobytes()
     for batch in batches:
-        for at in range(0, len(batch), rows):
-            part = batch.slice(at, rows)
+        for part in slices(batch, size=TOGETHER):
             encoded = tool.encode(part.column("text").to_pylist())
             yield part.column("doc_id").to_pylist(), [x + end for x in encoded]
 

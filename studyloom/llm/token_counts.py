@@ -19,12 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from studyloom.llm.words import text_bytes
+from studyloom.llm.words import kept, text_bytes
 
 MARK = "▁"
 #: Words kept per worker; others are merged again when they come up in a later batch.
 KEPT_WORDS = 600_000
-_COUNTERS: dict[str, "PieceCounter"] = {}
 
 
 def _merges_of(symbols: list[str], rank: dict[str, int]) -> int:
@@ -158,9 +157,7 @@ class PieceCounter:
 
 def counter(path: str) -> PieceCounter:
     """One counter per worker and file."""
-    if path not in _COUNTERS:
-        _COUNTERS[path] = PieceCounter(path)
-    return _COUNTERS[path]
+    return kept("counter", path, lambda: PieceCounter(path))
 
 
 def token_counts(docs: DataFrame, vocabulary: str, limit: int = 4096) -> DataFrame:

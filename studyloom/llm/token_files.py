@@ -117,7 +117,7 @@ def write_store(docs: DataFrame, vocabulary: str, path: str | None = None,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, doc_ids, ids, held = 0, [], [], 0
-        for more_docs, more_ids in encode_batches(batches, vocabulary, rows=256):
+        for more_docs, more_ids in encode_batches(batches, vocabulary):
             doc_ids += more_docs
             ids += more_ids
             held += sum(len(x) // 4 for x in more_ids)

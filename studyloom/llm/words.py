@@ -153,6 +153,22 @@ def shingle_sets(texts: pa.Array, size: int = 5) -> list[np.ndarray]:
     return out
 
 
+_KEPT: dict[tuple, object] = {}
+
+
+def kept(kind: str, key: object, make):
+    """What a Python worker keeps between tasks: one table at a time, as memory is shared."""
+    if (kind, key) not in _KEPT:
+        _KEPT.clear()
+        _KEPT[kind, key] = make()
+    return _KEPT[kind, key]
+
+
+def drop_kept() -> None:
+    """Give up what earlier tasks of this worker have kept."""
+    _KEPT.clear()
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20):
     """Parts of an Arrow batch with at most about `size` bytes of text, one row at least."""
     begin = text_bytes(batch.column(column))[1]
