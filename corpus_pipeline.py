@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from studyloom.llm.encoding import encode_documents
 from studyloom.llm.exact_dedup import DigestIndex, keep_distinct
 from studyloom.llm.language_id import keep_identified
 from studyloom.llm.mixing import mix, repeat_rows
 from studyloom.llm.near_dedup import keep_one_of_each
-from studyloom.llm.packing import pack
+from studyloom.llm.packing import pack_texts
 from studyloom.llm.queries import vocabulary
 from studyloom.session import durable
 
@@ -47,7 +46,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences; a repeated document is packed as often as it is there."""
-    return pack(encode_documents(docs, vocabulary("byte_bpe_50k.json")))
+    return pack_texts(docs, vocabulary("byte_bpe_50k.json"))
 
 
 STAGES = [

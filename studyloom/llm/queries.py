@@ -32,12 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op3_cost_balanced_packing")
 def cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from studyloom.llm.encoding import encode_documents
-    from studyloom.llm.packing import pack
+    from studyloom.llm.packing import pack_texts
 
-    encoded = encode_documents(table(spark, sf_dir, "documents"),
-                               vocabulary("byte_bpe_50k.json"))
-    return pack(encoded).drop("ids")
+    pieces = pack_texts(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return pieces.drop("ids")
 
 
 #: DuckDB has no ASCII-only lower; its translate does the same as Spark's.

@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from studyloom.llm.backoff import score_documents
 from studyloom.llm.encoding import WordEncoder, encode_documents
 from studyloom.llm.language_id import identify, keep_identified
-from studyloom.llm.packing import assign, pack
+from studyloom.llm.packing import assign, pack, pack_texts
 from studyloom.llm.token_counts import PieceCounter, token_counts
 from studyloom.llm.token_files import EliasFano, document_digests, write_store
 from studyloom.llm.topk import top_k
@@ -112,6 +112,8 @@ def check_packing(pieces, documents, size):
 
 def test_packing(docs, rows, no_docs):
     pieces = pack(encode_documents(docs, BYTES), block_tokens=3000).collect()
+    assert sorted(map(tuple, pieces), key=str) == sorted(
+        map(tuple, pack_texts(docs, BYTES, block_tokens=3000).collect()), key=str)
     documents = ids_of(rows)
     check_packing(pieces, [x for _, x in documents], 1024)
     by_doc = collections.defaultdict(list)
