@@ -25,11 +25,13 @@ EXACT = float(1 << 52)
 
 
 def best_of_block(query: np.ndarray, own: int, ids: np.ndarray, columns: np.ndarray,
-                  tails: np.ndarray, order: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+                  tails: np.ndarray, order: np.ndarray, k: int,
+                  least: float = -np.inf) -> tuple[np.ndarray, np.ndarray]:
     """(ids, scores) of a query's k best in a block, ties to the smaller id, itself left out.
 
     `columns` is dimensions x candidates, ids ascending; `tails[s]` holds each candidate's norm
-    over the dimensions from step s on, in the order `order`.
+    over the dimensions from step s on, in the order `order`. Scores below `least`, the k-th best
+    of other blocks, are not needed.
     """
     alive = np.flatnonzero(ids != own)
     part = np.zeros(len(alive), dtype=columns.dtype)
@@ -40,12 +42,14 @@ def best_of_block(query: np.ndarray, own: int, ids: np.ndarray, columns: np.ndar
         block = columns[dims][:, alive] if len(alive) < columns.shape[1] else columns[dims]
         part = part + query[dims] @ block
         rest = at + STEP
-        if rest >= len(order) or len(alive) <= k:
+        if rest >= len(order) or not len(alive):
             continue
         # a hair more than the norms allow, so that rounding never drops a candidate
         slack = q_tail[rest] * tails[s + 1][alive] * (1 + 1e-9) + (1 if exact else 0.5)
-        low = part - slack
-        floor = np.partition(low, len(low) - k)[len(low) - k]
+        floor = least
+        if len(alive) > k:
+            low = part - slack
+            floor = max(floor, np.partition(low, len(low) - k)[len(low) - k])
         stay = np.flatnonzero(part + slack >= floor)
         if len(stay) < len(alive):
             alive, part = alive[stay], part[stay]
@@ -139,39 +143,63 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64) ->
     paired = candidates.join(repeated, ["block", "share"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, best = None, None
         for batch in batches:
             for i in range(len(batch)):
-                yield from _search(*(batch.column(c)[i].as_py() for c in (
-                    "ids", "dims", "data", "q_ids", "q_dims", "q_data")), k)
-
-    found = paired.select("ids", "dims", "data", "q_ids", "q_dims", "q_data").mapInArrow(
-        search, "query_id long, vec_id long, score long")
+                row = batch.slice(i, 1).to_pylist()[0]
+                if row["block"] != current:
+                    if best is not None:
+                        yield best.rows()
+                    current, best = row["block"], _Best(row, k)
+                best.add(row)
+        if best is not None:
+            yield best.rows()
+
+    found = paired.select("block", "ids", "dims", "data", "q_ids", "q_dims", "q_data") \
+        .sortWithinPartitions("block").mapInArrow(
+            search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(
         F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(ids: bytes, dims: int, data: bytes, q_ids: bytes, q_dims: int, q_data: bytes,
-            k: int) -> Iterator[pa.RecordBatch]:
-    ids, q_ids = np.frombuffer(ids, np.int64), np.frombuffer(q_ids, np.int64)
-    columns = np.frombuffer(data, np.int64).reshape(dims, -1)
-    queries = np.frombuffer(q_data, np.int64).reshape(q_dims, -1)
-    dims = min(dims, q_dims)
-    columns, queries = columns[:dims], np.ascontiguousarray(queries[:dims].T)
-    # dimensions with the most mass first
-    order = np.argsort(-(columns.astype(np.float64) ** 2).sum(axis=1), kind="stable")
-    squares = columns[order].astype(np.float64) ** 2
-    tails = np.sqrt([squares[at:].sum(axis=0) for at in range(0, max(dims, 1), STEP)])
-    largest = float(np.abs(columns).max(initial=0)) * float(np.abs(queries).max(initial=0)) * dims
-    if largest < EXACT:  # floating point is exact here, and faster
-        columns, queries = columns.astype(np.float64), queries.astype(np.float64)
-    out_q, out_id, out_score = [], [], []
-    for q, own in zip(queries, q_ids.tolist()):
-        got, score = best_of_block(q, own, ids, columns, tails, order, k)
-        out_q.append(np.full(len(got), own))
-        out_id.append(got)
-        out_score.append(score.astype(np.int64))
-    if out_q:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(x).astype(np.int64)) for x in (out_q, out_id, out_score)],
+class _Best:
+    """The best candidates so far of a block of queries."""
+
+    def __init__(self, row: dict, k: int):
+        self.k, self.ids = k, np.frombuffer(row["q_ids"], np.int64)
+        self.queries = np.frombuffer(row["q_data"], np.int64).reshape(row["q_dims"], -1)
+        none = np.empty(0, np.int64)
+        self.found = [(none, none)] * len(self.ids)
+
+    def add(self, row: dict) -> None:
+        """Search one block of candidates."""
+        ids = np.frombuffer(row["ids"], np.int64)
+        columns = np.frombuffer(row["data"], np.int64).reshape(row["dims"], -1)
+        dims = min(len(columns), len(self.queries))
+        columns, queries = columns[:dims], np.ascontiguousarray(self.queries[:dims].T)
+        # dimensions with the most mass first
+        order = np.argsort(-(columns.astype(np.float64) ** 2).sum(axis=1), kind="stable")
+        squares = columns[order].astype(np.float64) ** 2
+        tails = np.sqrt([squares[at:].sum(axis=0) for at in range(0, max(dims, 1), STEP)])
+        largest = float(np.abs(columns).max(initial=0)) * float(
+            np.abs(queries).max(initial=0)) * dims
+        if largest < EXACT:  # floating point is exact here, and faster
+            columns, queries = columns.astype(np.float64), queries.astype(np.float64)
+        for q, own in enumerate(self.ids.tolist()):
+            had, score = self.found[q]
+            least = float(score[-1]) if len(had) == self.k else -np.inf
+            more, gained = best_of_block(queries[q], own, ids, columns, tails, order, self.k, least)
+            if len(more):
+                every = np.concatenate([had, more])
+                scores = np.concatenate([score, gained.astype(np.int64)])
+                top = np.lexsort((every, -scores))[:self.k]
+                self.found[q] = every[top], scores[top]
+
+    def rows(self) -> pa.RecordBatch:
+        counts = [len(x) for x, _ in self.found]
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.repeat(self.ids, counts)),
+            pa.array(np.concatenate([x for x, _ in self.found])),
+            pa.array(np.concatenate([x for _, x in self.found]))],
             names=["query_id", "vec_id", "score"])
