@@ -19,7 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from studyloom.llm.words import mix
+from studyloom.llm.words import drop_kept, kept, mix
+from studyloom.session import durable
 
 MARK = "▁"
 #: Letters of a piece considered, and of a word scored at once; a longer word is scored in stretches.
@@ -29,12 +30,13 @@ FIT_DOCUMENTS = 500
 #: ... and on at most so many distinct words of these, the most frequent first.
 FIT_WORDS = 60_000
 ROUNDS = 3
+#: A sample of so many documents may be sent to every executor.
+SMALL_SAMPLE = 100_000
 #: Words kept per worker; others are scored again when they come up in a later batch.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 250_000
 UNDECIDED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_SCORERS: dict[bytes, "Scorer"] = {}
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -154,17 +156,26 @@ def fit(docs: DataFrame, vocabulary_path: str, per_language: int = FIT_DOCUMENTS
         most_words: int = FIT_WORDS, rounds: int = ROUNDS) -> Model:
     """Learn piece probabilities from `docs` (doc_id, text, lang).
 
-    Uses at most `per_language` documents of each non-null lang, those with the smallest hash
-    of doc_id, and their most frequent `most_words` distinct words. Without labelled text the
-    model has no language.
+    Uses at most `per_language` doc_ids of each non-null lang, those with the smallest hash,
+    and their most frequent `most_words` distinct words. Rows without a doc_id are not used.
+    Without labelled text the model has no language.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        "text").withColumn("place", F.row_number().over(order)).filter(
-        F.col("place") <= per_language)
+    order = Window.partitionBy("_lid_lang").orderBy("_lid_hash", "_lid_id")
+    labelled = docs.dropna(subset=["doc_id", "lang", "text"]).select(
+        F.col("doc_id").cast("long").alias("_lid_id"), F.col("lang").cast("string")
+        .alias("_lid_lang"), F.xxhash64("doc_id").alias("_lid_hash"), "text")
+    # chosen by narrow rows, so that no text but those of the sample leaves its task
+    chosen = durable(labelled.drop("text").withColumn(
+        "_lid_place", F.row_number().over(order)).filter(F.col("_lid_place") <= per_language)
+        .select("_lid_id", "_lid_lang", "_lid_hash").distinct())
+    sample = labelled.join(
+        F.broadcast(chosen) if chosen.count() <= SMALL_SAMPLE else chosen,
+        (labelled["_lid_id"] == chosen["_lid_id"])
+        & (labelled["_lid_lang"] == chosen["_lid_lang"]), "left_semi").select(
+        F.col("_lid_lang").alias("lang"), "text")
 
     def count(key: tuple, table: pa.Table) -> pa.Table:
+        drop_kept()
         words = Counter()
         for text in table.column("text").to_pylist():
             words.update(letters_of(text))
@@ -234,13 +245,10 @@ class Scorer:
 
 def _scorer(model: Model) -> Scorer:
     key = hashlib.blake2b(model.pieces.tobytes() + repr(model.languages).encode()).digest()
-    if key not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[key] = Scorer(model)
-    return _SCORERS[key]
+    return kept("scorer", key, lambda: Scorer(model))
 
 
-def predict(docs: DataFrame, model: Model, *columns: Column, rows: int = 1000) -> DataFrame:
+def predict(docs: DataFrame, model: Model, *columns: Column, rows: int = 600) -> DataFrame:
     """`columns` of `docs`, _lid_pred (language) and _lid_score.
 
     _lid_score is the probability of the language given the text, all languages alike beforehand and
@@ -248,9 +256,9 @@ def predict(docs: DataFrame, model: Model, *columns: Column, rows: int = 1000) -
     A text without letters, or null, is `und` with score 0; so is every text if the model has
     no language. Ties go to the language that sorts first. Texts are scored whole.
     """
-    kept = docs.select(*columns, F.col("text").alias("_lid_text"))
-    names = kept.columns[:-1]
-    schema = kept.drop("_lid_text").schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    rows_in = docs.select(*columns, F.col("text").alias("_lid_text"))
+    names = rows_in.columns[:-1]
+    schema = rows_in.drop("_lid_text").schema.simpleString()[len("struct<"):-1].replace(":", " ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = _scorer(model) if model.languages else None
@@ -273,7 +281,7 @@ def predict(docs: DataFrame, model: Model, *columns: Column, rows: int = 1000) -
                     + [pa.array(lang, pa.string()), pa.array(score)],
                     names=[*names, "_lid_pred", "_lid_score"])
 
-    return kept.mapInArrow(run, f"{schema}, _lid_pred string, _lid_score double")
+    return rows_in.mapInArrow(run, f"{schema}, _lid_pred string, _lid_score double")
 
 
 def held_out(doc_id: Column) -> Column:
