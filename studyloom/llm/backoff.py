@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from studyloom.llm.words import Words, slices, window_hashes
+from studyloom.llm.words import Words, drop_kept, slices, window_hashes
 from studyloom.session import durable
 
 ORDER, ALPHA = 3, 0.4
 #: Count of a word that no other document has.
 UNSEEN = 0.5
-BLOCK_WORDS = 2_000_000
-BUCKET_NGRAMS = 3_000_000
+BLOCK_WORDS = 1_000_000
+BUCKET_NGRAMS = 2_000_000
 _LOW = np.uint64((1 << 48) - 1)
 
 
@@ -72,6 +72,7 @@ def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
             [pa.array([v], t) for v, t in zip(values, types)], names=names)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         block = TaskContext.get().partitionId() << 33
         ids, counts, hashes, held = [], [], [], 0
         for batch in batches:
@@ -141,6 +142,7 @@ def _totals(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
     """(block, level, bucket, totals): for each list that a block sent, the sums over all blocks."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             for i in range(len(batch)):
                 row = batch.slice(i, 1).to_pylist()[0]
@@ -172,6 +174,7 @@ def _totals(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
             names=["block", "level", "bucket", "totals"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         current, group = None, []
         for batch in batches:
             for row in batch.to_pylist():
@@ -245,7 +248,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA,
     all_words = int(blocks.agg(F.sum("words")).first()[0] or 0)
     count = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(count, -(-all_words // bucket_ngrams))
-    totals = _totals(blocks, order, buckets)
+    totals = durable(_totals(blocks, order, buckets))
     empty = F.lit(None)
     tokens = blocks.select("block", F.lit(0).alias("level"), F.lit(0).cast("long").alias("bucket"),
                            empty.cast("binary").alias("totals"), "doc_ids", "n_words",
@@ -263,6 +266,7 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA,
             names=["doc_id", "n_words", "n_backed_off", "log_score"])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         current, found = None, {}
         for batch in batches:
             for i in range(len(batch)):
