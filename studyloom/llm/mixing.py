@@ -18,7 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from studyloom.llm.words import Words
+from studyloom.llm.words import Words, drop_kept
 from studyloom.session import durable
 
 BLOCK_WORDS = 64
@@ -70,6 +70,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """doc_id, source, size: the number of words of each text (null: 0)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             sizes = Words(batch.column("text")).counts().astype(np.int64)
             yield pa.RecordBatch.from_arrays(

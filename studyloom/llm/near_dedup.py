@@ -3,10 +3,11 @@
 1. A text's shingle hashes fall into 128 buckets. A bucket keeps, of its smallest hash, the
    number of leading zeros and ten bits of mantissa, 16 bits in all. Four registers make a band, so
    32 longs are both the signature and its band values.
-2. Texts with equal shingle sets become one node. Nodes that share a band value are candidates. A
+2. Texts with equal shingle sets become one node. Nodes that share a band value, and whose set sizes
+   allow the similarity (the same or neighbouring size class), are candidates. A
    pair of similarity 0.75 shares none of 32 bands with a chance of 5 in a million.
-3. Candidates are dealt to blocks of bounded size: a node's home is the smallest node it shares a
-   band value with, a large home is cut by hash. Two blocks meet if they share a band value, and
+3. Candidates are dealt to blocks of bounded size: a node's home is the smallest node of the largest
+   group with a band value of its own, a large home is cut by hash. Two blocks meet if they share a band value, and
    only nodes that do take part. A task holds two blocks at most, whatever the size of a group of
    copies, and a node's full set travels once per block it meets.
 4. Where blocks meet, registers give collision-corrected estimates; pairs that the estimate
@@ -19,6 +20,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from studyloom.llm.components import components
-from studyloom.llm.words import shingle_sets, slices
+from studyloom.llm.words import drop_kept, shingle_sets, slices
 from studyloom.session import durable
 
 SHINGLE = 5
@@ -37,7 +39,7 @@ EMPTY = 0xFFFF
 COLLISION = 2.0 ** -MANTISSA_BITS / 3
 #: Standard deviations below the threshold at which an estimate still leaves a pair open.
 DOUBT = 5.0
-BLOCK_NODES, BLOCK_SHINGLES = 256, 400_000
+BLOCK_NODES, BLOCK_SHINGLES = 2048, 1_500_000
 #: A table of ids below this size may be sent to every executor.
 SMALL_IDS = 4_000_000
 
@@ -70,6 +72,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """Per row: doc_id, n_shingles, set_digest (128 bits, hex), bands (32 longs, null if empty)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             for part in slices(batch):
                 sets = shingle_sets(part.column("text"), size)
@@ -89,6 +92,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, size: int = SHINGLE) -> DataFra
     """(node, shingles as sorted 8-byte hashes) of the documents in `nodes`."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             for part in slices(batch):
                 yield pa.RecordBatch.from_arrays(
@@ -149,17 +153,24 @@ def _block_links(nodes: list[int], sets: list[np.ndarray], side: np.ndarray,
 
 def _meetings(candidates: DataFrame, sizes: DataFrame) -> DataFrame:
     """(group columns, node, side): which nodes of which two blocks have to be compared."""
-    homes = candidates.groupBy("node").agg(F.min("leader").alias("home")).join(sizes, "node")
+    # the largest group of a node decides: its members stay together, and small groups meet few blocks
+    homes = candidates.groupBy("node").agg(
+        F.max(F.struct("n", (-F.col("leader")).alias("back"))).alias("most")).select(
+        "node", (-F.col("most.back")).alias("home")).join(sizes, "node")
     cuts = homes.groupBy("home").agg(F.greatest(
         F.ceil(F.count(F.lit(1)) / BLOCK_NODES),
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).alias("cuts"))
     blocks = durable(homes.join(cuts, "home").select("node", F.struct(
         "home", F.pmod(F.xxhash64("node"), F.col("cuts")).alias("cut")).alias("block")))
     placed = candidates.select("key", "node").join(blocks, "node")
-    by_key = placed.groupBy("key").agg(F.collect_set("block").alias("others"))
-    met = placed.join(by_key, "key").groupBy("node").agg(
-        F.first("block").alias("block"),
-        F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
+    by_key = placed.groupBy("key", "block").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.collect_list(F.struct("block", "n")).alias("there"))
+    # a node meets its own block only if another node of it shares the value
+    others = F.transform(F.filter("there", lambda x: (x["block"] != F.col("block")) | (x["n"] > 1)),
+                         lambda x: x["block"])
+    met = placed.join(by_key, "key").select("node", "block", others.alias("others")).groupBy(
+        "node").agg(F.first("block").alias("block"),
+                    F.array_distinct(F.flatten(F.collect_set("others"))).alias("others"))
     return met.select("node", "block", F.explode("others").alias("other")).select(
         F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "node",
         (F.col("block") <= F.col("other")).cast("int").alias("side"))
@@ -173,15 +184,23 @@ def near_links(docs: DataFrame, signed: DataFrame, threshold: int = 75,
         F.first("bands").alias("bands"))
     members = reps.select("node", "n_shingles", F.posexplode("bands").alias("band", "value")) \
         .filter("value <> -1")  # a band of empty registers
-    shared = members.groupBy("band", "value").agg(
-        F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1").drop("n")
-    candidates = durable(members.join(shared, ["band", "value"]).select(
-        F.xxhash64("band", "value").alias("key"), "node", "n_shingles", "leader"))
+    shared = members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # similar sets have similar sizes: their size classes are the same or neighbours
+    step = math.log(1.0001 * 100 / threshold)
+    size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / step)
+    sized = members.join(shared.select("band", "value"), ["band", "value"]).select(
+        F.xxhash64("band", "value").alias("group"), "node", "n_shingles",
+        F.explode(F.array(size_class, size_class + 1)).alias("class"))
+    sized = durable(sized.select(F.xxhash64("group", "class").alias("key"), "node", "n_shingles"))
+    groups_of = sized.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1")
+    candidates = durable(sized.join(groups_of, "key"))
     sizes = durable(candidates.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")))
     groups = _meetings(candidates, sizes)
     sets = full_sets(docs, sizes, size)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         def out(nodes, sets_, sides) -> pa.RecordBatch:
             links = _block_links(nodes, sets_, np.array(sides), threshold)
             return pa.RecordBatch.from_arrays(

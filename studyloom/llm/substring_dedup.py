@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from studyloom.llm.words import Words, slices, window_hashes
+from studyloom.llm.words import Words, drop_kept, slices, window_hashes
 from studyloom.session import durable
 
 SPAN, GROUP = 50, 16
@@ -118,6 +118,7 @@ def _profiles(docs: DataFrame, span: int, group: int) -> DataFrame:
     """Per row: doc_id, text_key, n_words, sha256 of its words, distinct anchors."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             for part in slices(batch):
                 words = Words(part.column("text"))
@@ -165,6 +166,7 @@ def _passages(docs: DataFrame, owned: DataFrame, span: int, group: int) -> DataF
     types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             for part in slices(batch):
                 words = Words(part.column("text"))
@@ -226,6 +228,7 @@ def _match(passages: DataFrame, span: int) -> DataFrame:
     names = ["doc_id", "text_key", "firsts", "lasts", "places", "hashes"]
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         current, automaton = None, SuffixAutomaton()
         for batch in batches:
             rows = []
@@ -291,6 +294,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, group: int = GROUP) -> Dat
         F.collect_set(F.struct("first", "last")).alias("spans")))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         for batch in batches:
             for part in slices(batch):
                 words = Words(part.column("text"))
