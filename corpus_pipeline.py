@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from studyloom.llm.exact_dedup import DigestIndex, keep_distinct
 from studyloom.llm.language_id import keep_identified
-from studyloom.llm.mixing import mix, repeat_rows
+from studyloom.llm.mixing import mix_whole
 from studyloom.llm.near_dedup import keep_one_of_each
 from studyloom.llm.packing import pack_texts
 from studyloom.llm.queries import vocabulary
@@ -39,9 +39,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them (0 to 2 times, to the nearest whole number)."""
-    taken = durable(mix(docs, WEIGHTS, share=SHARE, most=MOST))
-    return repeat_rows(docs, taken)
+    """Documents as often as the mix takes them: whole ones, 0 to 2 times."""
+    return mix_whole(docs, WEIGHTS, share=SHARE, most=MOST)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ Each source is dealt over shards by a seeded hash of the document id, so many th
 a bounded number of words however large the source is. Within a shard, documents are laid end to
 end in seeded order and cut into blocks of equal size. Highest quotients give every source a whole
 number of blocks, and every shard of a source its part of them; a shard takes all its blocks
-equally often and one time more the first ones of a seeded block order.
+equally often and one time more the first ones of a seeded block order. `mix_whole` fills the same
+quotas with whole documents instead of blocks.
 """
 
 from __future__ import annotations
@@ -66,20 +67,21 @@ def _settled(votes: np.ndarray, seats: np.ndarray) -> np.ndarray:
         seats[lose] -= 1
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size: the number of words of each text (null: 0)."""
+def word_counts(docs: DataFrame, others: list[str] = ()) -> DataFrame:
+    """doc_id, source, size: the number of words of each text (null: 0); `others` are longs."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_kept()
         for batch in batches:
             sizes = Words(batch.column("text")).counts().astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("source"), pa.array(sizes)],
-                names=["doc_id", "source", "size"])
+                [batch.column("doc_id"), batch.column("source"), pa.array(sizes),
+                 *map(batch.column, others)], names=["doc_id", "source", "size", *others])
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.col("source").cast("string").alias("source"), "text")
-    return narrow.mapInArrow(count, "doc_id long, source string, size long")
+                         F.col("source").cast("string").alias("source"), "text", *others)
+    return narrow.mapInArrow(count, "doc_id long, source string, size long"
+                             + "".join(f", {name} long" for name in others))
 
 
 def source_targets(sizes: DataFrame, weights: list[float], share: float, most: float) -> DataFrame:
@@ -118,23 +120,16 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, most: f
         .otherwise(F.least("top", F.col("level") * F.col("weight"))).alias("target"))
 
 
-def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
-        seed: int = 17, block_words: int = BLOCK_WORDS,
-        shard_words: int = SHARD_WORDS) -> DataFrame:
-    """Per row of `docs`: doc_id, source, size, source_size, target, taken.
+def _placed(sizes: DataFrame, weights: list[float], share: float, most: float, seed: int,
+            block_words: int, shard_words: int) -> DataFrame | None:
+    """`sizes` with place, shard, order_key, source_size, target and the quota of the shard.
 
-    `taken` is the number of words the mix takes of the document, repeats counted; it is at
-    most ceil(most) times the size. Needs doc_id, source and text; other columns are ignored. Null
-    text has size 0; null is a source of its own; equal rows are documents of their own; rows
-    without an id are ordered by their size. An empty table gives no rows. The result depends on
-    the rows, the seed and the sizes named here, not on partitions.
+    None if there are no rows.
     """
-    sizes = durable(word_counts(docs))
     targets = source_targets(sizes, weights, share, most)
     frame = targets.toPandas()  # one row per source
     if frame.empty:
-        return sizes.select("doc_id", "source", "size", F.col("size").alias("source_size"),
-                            F.lit(0.0).alias("target"), F.col("size").alias("taken"))
+        return None
     frame = frame.sort_values("place").reset_index(drop=True)
     frame["blocks"] = sainte_lague(frame["target"].to_numpy(),
                                    int(round(frame["target"].sum() / block_words)))
@@ -153,7 +148,25 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
         F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks")))
     quotas = per_shard.groupBy("place").applyInPandas(
         _shard_quotas, "place int, shard long, quota long")
+    return placed.join(quotas, ["place", "shard"])
+
+
+def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
+        seed: int = 17, block_words: int = BLOCK_WORDS,
+        shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Per row of `docs`: doc_id, source, size, source_size, target, taken.
 
+    `taken` is the number of words the mix takes of the document, repeats counted; it is at
+    most ceil(most) times the size. Needs doc_id, source and text; other columns are ignored. Null
+    text has size 0; null is a source of its own; equal rows are documents of their own; rows
+    without an id are ordered by their size. An empty table gives no rows. The result depends on
+    the rows, the seed and the sizes named here, not on partitions.
+    """
+    sizes = durable(word_counts(docs))
+    placed = _placed(sizes, weights, share, most, seed, block_words, shard_words)
+    if placed is None:
+        return sizes.select("doc_id", "source", "size", F.col("size").alias("source_size"),
+                            F.lit(0.0).alias("target"), F.col("size").alias("taken"))
     pieces = max(1, int(most + 0.999999))
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
@@ -176,7 +189,7 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
         rows["taken"] = taken
         return rows[["doc_id", "source", "size", "source_size", "target", "taken"]]
 
-    return (placed.join(quotas, ["place", "shard"])
+    return (placed
             .select("place", "shard", "doc_id", "source", "size", "source_size", "target",
                     "order_key", "quota")
             .groupBy("place", "shard").applyInPandas(
@@ -184,6 +197,82 @@ def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float =
                         "target double, taken long"))
 
 
+def whole_copies(sizes: np.ndarray, quota: int, most: int) -> np.ndarray:
+    """Copies of documents, in their order, whose words come to `quota` as nearly as may be.
+
+    All have quota // total copies, and one more goes to those, first come first served, whose
+    words still fit into the rest; at last the smallest one left has one too if that is nearer.
+    """
+    sizes = np.asarray(sizes, dtype=np.int64)
+    copies = np.zeros(len(sizes), dtype=np.int64)
+    total = int(sizes.sum())
+    if not total:
+        return copies
+    quota = min(quota, most * total)
+    copies[:] = quota // total
+    rest = quota % total
+    first = int(np.searchsorted(np.cumsum(sizes), rest, side="right"))
+    copies[:first] += 1
+    rest -= int(sizes[:first].sum())
+    least = np.minimum.accumulate(sizes[::-1])[::-1]  # of a document and all after it
+    left = first
+    for at in range(first, len(sizes)):
+        if least[at] > rest:
+            break
+        if sizes[at] <= rest:
+            copies[at] += 1
+            rest -= int(sizes[at])
+    if rest and left < len(sizes):
+        open_ = left + np.flatnonzero(copies[left:] == quota // total)
+        if len(open_):
+            at = open_[np.argmin(sizes[open_])]
+            copies[at] += sizes[at] < 2 * rest
+    return copies
+
+
+def _row_keys(docs: DataFrame, seed: int) -> list[Column]:
+    """Two hashes that tell rows of different doc_id, source or text apart."""
+    return [F.xxhash64(F.lit(seed), docs["doc_id"].cast("long"), docs["source"].cast("string"),
+                       docs["text"].isNull()).alias("_mix_row"),
+            F.xxhash64(docs["text"]).alias("_mix_text")]
+
+
+def mix_whole(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
+              seed: int = 17, block_words: int = BLOCK_WORDS,
+              shard_words: int = SHARD_WORDS) -> DataFrame:
+    """Rows of `docs`, each as often as the mix takes it: at most ceil(most) times.
+
+    The words of a source come to its target but for part of its smallest document in each
+    shard. Rows equal in doc_id, source and text are taken equally often. Rows without words stay
+    as they are. Otherwise as `mix`.
+    """
+    keys = ["_mix_row", "_mix_text"]
+    sizes = durable(word_counts(docs.select("doc_id", "source", "text", *_row_keys(docs, seed)),
+                                keys))
+    placed = _placed(sizes, weights, share, most, seed, block_words, shard_words)
+    if placed is None:
+        return docs
+    pieces = max(1, int(most + 0.999999))
+
+    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.groupby(["order_key", *keys], as_index=False, sort=True).agg(
+            size=("size", "sum"), quota=("quota", "first"))
+        rows["copies"] = whole_copies(
+            rows["size"].to_numpy(), int(rows["quota"].iloc[0]) * block_words, pieces)
+        return rows[[*keys, "copies"]]
+
+    taken = durable(
+        placed.filter("size > 0").select("place", "shard", *keys, "size", "order_key", "quota")
+        .groupBy("place", "shard").applyInPandas(
+            choose, "_mix_row long, _mix_text long, copies int")
+        .unionByName(sizes.filter("size = 0").select(*keys, F.lit(1).alias("copies")).distinct())
+        .filter("copies > 0"))
+    keyed = docs.select("*", *_row_keys(docs, seed))
+    return (keyed.join(taken, keys)
+            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select(*docs.columns))
+
+
 def _shard_quotas(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("shard").reset_index(drop=True)
     rows["quota"] = sainte_lague(rows["shard_size"].to_numpy(), int(rows["blocks"].iloc[0]))

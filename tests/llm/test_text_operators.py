@@ -16,6 +16,7 @@ from studyloom.llm.near_dedup import keep_one_of_each, near_duplicates
 from studyloom.llm.substring_dedup import SuffixAutomaton, remove_repeats
 from studyloom.llm.words import Words, shingle_sets
 
+SCHEMA = "doc_id long, text string, lang string, source string"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -245,6 +246,51 @@ def test_repeat_rows(docs):
             assert counts[r.doc_id] == int(r.taken / r["size"] + 0.5)
 
 
+def test_mixing_stage_meets_the_targets(spark):
+    from corpus_pipeline import mixture
+    from studyloom.llm.mixing import source_targets, word_counts
+
+    rows = []
+    for source, length, n in (("a", 40, 60), ("b", 900, 40), ("c", 130, 50), ("d", 300, 60)):
+        rows += [(len(rows) + k, f"{source}{k} " + "w " * (length + k), "en", source)
+                 for k in range(n)]
+    rows += [(None, "no id", "en", "a"), (9000, "", "en", "a"), (9001, None, "en", "d")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    out = mixture(spark, frame, "")
+    assert out.columns == frame.columns
+    words, copies = collections.Counter(), collections.Counter()
+    for row in out.collect():
+        words[row.source] += len(WORD.findall(row.text or ""))
+        copies[row.doc_id] += 1
+    assert max(copies.values()) <= 2 and copies[9000] == copies[9001] == 1
+    longest = {"a": 101, "b": 940, "c": 180, "d": 360}
+    for r in source_targets(word_counts(frame), [3, 1, 2], 1.5, 2.0).collect():
+        # half a document and the rounding to blocks
+        assert abs(words[r.source] - r.target) <= longest[r.source] / 2 + 64, r
+
+
+def test_rows_without_ids_are_mixed_by_their_text(spark):
+    from studyloom.llm.mixing import mix_whole
+
+    rows = [(None if k % 2 else 7, f"t{k} " + "w " * 63, "en", "ab"[k % 4 < 2])
+            for k in range(80)]
+    out = mix_whole(spark.createDataFrame(rows, SCHEMA), [1, 3], share=0.5)
+    counts = collections.Counter((r.source, r.text) for r in out.collect())
+    by_source = collections.Counter(s for s, _ in counts.elements())
+    assert max(counts.values()) == 1 and by_source == {"a": 10, "b": 30}
+
+
+@pytest.mark.parametrize("sizes, quota, words", [
+    ([5, 1000, 5, 5], 12, 10), ([1000, 5, 5, 5], 1015, 1015), ([7] * 10, 72, 70),
+    ([10, 10], 16, 20), ([10, 10], 14, 10), ([3, 4, 5], 24, 24), ([3, 4, 5], 99, 24), ([], 5, 0)])
+def test_whole_copies(sizes, quota, words):
+    from studyloom.llm.mixing import whole_copies
+
+    copies = whole_copies(np.array(sizes, dtype=np.int64), quota, 2)
+    assert int((copies * np.array(sizes, dtype=np.int64)).sum()) == words
+    assert copies.max(initial=0) <= 2 and (not len(copies) or np.ptp(copies) <= 1)
+
+
 def test_empty_tables(no_docs, spark):
     assert deduplicate(no_docs, DigestIndex(spark)).count() == 0
     assert near_duplicates(no_docs).count() == 0
