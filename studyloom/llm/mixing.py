@@ -4,9 +4,10 @@ Targets come from weights by water filling over the per-source totals (one row p
 Each source is dealt over shards by a seeded hash of the document id, so many that a shard holds
 a bounded number of words however large the source is. Within a shard, documents are laid end to
 end in seeded order and cut into blocks of equal size. Highest quotients give every source a whole
-number of blocks, and every shard of a source its part of them; a shard takes all its blocks
-equally often and one time more the first ones of a seeded block order. `mix_whole` fills the same
-quotas with whole documents instead of blocks.
+number of blocks, and every shard of a source its part of them; what a source's blocks lack to its
+target, or have too much, is settled in words over its shards. A shard takes all its words
+equally often and one time more the first blocks of a seeded order, the last of them in part.
+`mix_whole` fills the same quotas with whole documents instead of blocks.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from studyloom.session import durable
 
 BLOCK_WORDS = 64
 SHARD_WORDS = 2_000_000
+#: Rows with words; rows without take no part in the choice.
+SHARD_ROWS = 500_000
 
 
 def sainte_lague(votes: np.ndarray, seats: int) -> np.ndarray:
@@ -85,14 +88,16 @@ def word_counts(docs: DataFrame, others: list[str] = ()) -> DataFrame:
 
 
 def source_targets(sizes: DataFrame, weights: list[float], share: float, most: float) -> DataFrame:
-    """Per source: source_size, weight, target.
+    """Per source: source_size, source_rows (those with words), weight, target.
 
     Sources in code point order, null last, take `weights` in turn. They share `share` times all
     words; a target stops at `most` times its source and the excess goes to the others by
     weight. With sources ordered by capacity per unit of weight, the saturated ones are a prefix,
     so one running sum finds the level of the rest. One row per source goes through the window.
     """
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    totals = sizes.groupBy("source").agg(
+        F.sum("size").alias("source_size"),
+        F.count(F.when(F.col("size") > 0, 1)).alias("source_rows"))
     by_name = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
     table = F.array(*[F.lit(float(w)) for w in weights])
     ranked = totals.withColumn("place", F.row_number().over(by_name) - 1).withColumn(
@@ -115,16 +120,47 @@ def source_targets(sizes: DataFrame, weights: list[float], share: float, most: f
             "ratio", "place", "level"))).over(whole)["level"])
     )
     return leveled.select(
-        "source", "source_size", "weight", "place",
+        "source", "source_size", "source_rows", "weight", "place",
         F.when(F.col("level").isNull(), F.col("top"))
         .otherwise(F.least("top", F.col("level") * F.col("weight"))).alias("target"))
 
 
+def shard_numbers(words: np.ndarray, rows: np.ndarray, shard_words: int,
+                  shard_rows: int) -> np.ndarray:
+    """Shards of sources with so many words, and rows with words."""
+    return np.maximum(1, np.maximum(-(-words // shard_words), -(-rows // shard_rows))).astype(
+        np.int64)
+
+
+def shard_quotas(sizes: np.ndarray, blocks: int, words: int, block_words: int,
+                 most: int) -> np.ndarray:
+    """Words of each shard of a source: its part of the blocks, settled to come to `words`.
+
+    None is above `most` times the shard. The shards farthest from their share settle first, a block
+    at a time.
+    """
+    sizes = np.asarray(sizes, dtype=np.int64)
+    top = most * sizes
+    quota = np.minimum(sainte_lague(sizes, blocks) * block_words, top)
+    share = sizes * (words / max(1, int(sizes.sum())))
+    while rest := min(words, int(top.sum())) - int(quota.sum()):
+        sign = 1 if rest > 0 else -1
+        order = np.argsort(sign * (quota - share), kind="stable")
+        room = (top - quota if rest > 0 else quota)[order]
+        step = np.minimum(room, max(block_words, -(-abs(rest) // len(sizes))))
+        quota[order] += sign * np.clip(abs(rest) - (np.cumsum(step) - step), 0, step)
+    return quota
+
+
+def _pieces(most: float) -> int:
+    return max(1, int(most + 0.999999))
+
+
 def _placed(sizes: DataFrame, weights: list[float], share: float, most: float, seed: int,
-            block_words: int, shard_words: int) -> DataFrame | None:
-    """`sizes` with place, shard, order_key, source_size, target and the quota of the shard.
+            block_words: int, shard_words: int, shard_rows: int) -> DataFrame | None:
+    """`sizes` with place, shard, order_key, source_size, target, and the shard's quota in words.
 
-    None if there are no rows.
+    Rows without words have no quota. None if there are no rows.
     """
     targets = source_targets(sizes, weights, share, most)
     frame = targets.toPandas()  # one row per source
@@ -133,68 +169,81 @@ def _placed(sizes: DataFrame, weights: list[float], share: float, most: float, s
     frame = frame.sort_values("place").reset_index(drop=True)
     frame["blocks"] = sainte_lague(frame["target"].to_numpy(),
                                    int(round(frame["target"].sum() / block_words)))
-    frame["shards"] = np.maximum(
-        1, -(-frame["source_size"].to_numpy() // shard_words)).astype(np.int64)
+    frame["words"] = np.floor(frame["target"].to_numpy() + 0.5).astype(np.int64)
+    frame["shards"] = shard_numbers(frame["source_size"].to_numpy(),
+                                    frame["source_rows"].to_numpy(), shard_words, shard_rows)
     plan = sizes.sparkSession.createDataFrame(
-        frame[["place", "source", "source_size", "target", "blocks", "shards"]].to_dict("records"),
-        "place int, source string, source_size long, target double, blocks long, shards long")
+        frame[["place", "source", "source_size", "target", "blocks", "words", "shards"]]
+        .to_dict("records"), "place int, source string, source_size long, target double, "
+                             "blocks long, words long, shards long")
 
     key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("size"))
     placed = (
         sizes.join(plan, sizes["source"].eqNullSafe(plan["source"])).drop(plan["source"])
         .withColumn("order_key", key)
         .withColumn("shard", F.pmod(F.shiftright("order_key", 20), F.col("shards"))))
-    per_shard = durable(placed.groupBy("place", "shard").agg(
-        F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks")))
-    quotas = per_shard.groupBy("place").applyInPandas(
-        _shard_quotas, "place int, shard long, quota long")
-    return placed.join(quotas, ["place", "shard"])
+    per_shard = durable(placed.filter("size > 0").groupBy("place", "shard").agg(
+        F.sum("size").alias("shard_size"), F.first("blocks").alias("blocks"),
+        F.first("words").alias("words")))
+    pieces = _pieces(most)
+
+    def deal(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("shard").reset_index(drop=True)
+        rows["quota"] = shard_quotas(rows["shard_size"].to_numpy(), int(rows["blocks"].iloc[0]),
+                                     int(rows["words"].iloc[0]), block_words, pieces)
+        return rows[["place", "shard", "quota"]]
+
+    quotas = per_shard.groupBy("place").applyInPandas(deal, "place int, shard long, quota long")
+    return placed.filter("size > 0").join(quotas, ["place", "shard"]).unionByName(
+        placed.filter("size = 0"), allowMissingColumns=True)
 
 
 def mix(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
-        seed: int = 17, block_words: int = BLOCK_WORDS,
-        shard_words: int = SHARD_WORDS) -> DataFrame:
+        seed: int = 17, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
+        shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Per row of `docs`: doc_id, source, size, source_size, target, taken.
 
     `taken` is the number of words the mix takes of the document, repeats counted; it is at
-    most ceil(most) times the size. Needs doc_id, source and text; other columns are ignored. Null
+    most ceil(most) times the size, and of a source it comes to the target rounded half up. Needs doc_id, source and text; other columns are ignored. Null
     text has size 0; null is a source of its own; equal rows are documents of their own; rows
     without an id are ordered by their size. An empty table gives no rows. The result depends on
     the rows, the seed and the sizes named here, not on partitions.
     """
     sizes = durable(word_counts(docs))
-    placed = _placed(sizes, weights, share, most, seed, block_words, shard_words)
+    placed = _placed(sizes, weights, share, most, seed, block_words, shard_words,
+                     shard_rows)
     if placed is None:
         return sizes.select("doc_id", "source", "size", F.col("size").alias("source_size"),
                             F.lit(0.0).alias("target"), F.col("size").alias("taken"))
-    pieces = max(1, int(most + 0.999999))
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["order_key", "doc_id", "size"], kind="stable")
-        size = rows["size"].to_numpy()
-        edges = np.concatenate([[0], np.cumsum(size)])
-        n_blocks = -(-int(edges[-1]) // block_words)
-        taken = np.zeros(len(rows), dtype=np.int64)
-        if n_blocks:
-            quota = min(int(rows["quota"].iloc[0]), pieces * n_blocks)
-            times = np.full(n_blocks, quota // n_blocks, dtype=np.int64)
-            rank = np.random.default_rng(
-                [seed, int(rows["place"].iloc[0]), int(rows["shard"].iloc[0])]
-            ).permutation(n_blocks)
-            times[rank[:quota % n_blocks]] += 1
-            before = np.concatenate([[0], np.cumsum(times)]) * block_words
-            block = np.minimum(edges // block_words, n_blocks - 1)
-            reach = before[block] + (edges - block * block_words) * times[block]
-            taken = np.diff(reach)
-        rows["taken"] = taken
-        return rows[["doc_id", "source", "size", "source_size", "target", "taken"]]
-
-    return (placed
-            .select("place", "shard", "doc_id", "source", "size", "source_size", "target",
-                    "order_key", "quota")
+        edges = np.concatenate([[0], np.cumsum(rows["size"].to_numpy())])
+        rows["taken"] = np.diff(taken_up_to(
+            edges, int(rows["quota"].iloc[0]), block_words,
+            [seed, int(rows["place"].iloc[0]), int(rows["shard"].iloc[0])]))
+        return rows[[*columns, "taken"]]
+
+    columns = ["doc_id", "source", "size", "source_size", "target"]
+    return (placed.filter("size > 0").select("place", "shard", *columns, "order_key", "quota")
             .groupBy("place", "shard").applyInPandas(
                 choose, "doc_id long, source string, size long, source_size long, "
-                        "target double, taken long"))
+                        "target double, taken long")
+            .unionByName(placed.filter("size = 0").select(*columns, F.col("size").alias("taken"))))
+
+
+def taken_up_to(edges: np.ndarray, quota: int, block_words: int, seed: list[int]) -> np.ndarray:
+    """Words taken of a shard up to each of its words `edges` (the last is its size)."""
+    total = int(edges[-1])
+    times, rest = divmod(quota, total)
+    starts = np.arange(0, total, block_words)
+    length = np.minimum(block_words, total - starts)
+    rank = np.random.default_rng(seed).permutation(len(starts))
+    more = np.zeros(len(starts), dtype=np.int64)  # first words of a block taken one time more
+    more[rank] = np.clip(rest - (np.cumsum(length[rank]) - length[rank]), 0, length[rank])
+    before = np.concatenate([[0], np.cumsum(more)])
+    block = np.minimum(edges // block_words, len(starts) - 1)
+    return times * edges + before[block] + np.minimum(edges - starts[block], more[block])
 
 
 def whole_copies(sizes: np.ndarray, quota: int, most: int) -> np.ndarray:
@@ -238,8 +287,8 @@ def _row_keys(docs: DataFrame, seed: int) -> list[Column]:
 
 
 def mix_whole(docs: DataFrame, weights: list[float], share: float = 1.5, most: float = 2.0,
-              seed: int = 17, block_words: int = BLOCK_WORDS,
-              shard_words: int = SHARD_WORDS) -> DataFrame:
+              seed: int = 17, block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
+              shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Rows of `docs`, each as often as the mix takes it: at most ceil(most) times.
 
     The words of a source come to its target but for part of its smallest document in each
@@ -249,16 +298,17 @@ def mix_whole(docs: DataFrame, weights: list[float], share: float = 1.5, most: f
     keys = ["_mix_row", "_mix_text"]
     sizes = durable(word_counts(docs.select("doc_id", "source", "text", *_row_keys(docs, seed)),
                                 keys))
-    placed = _placed(sizes, weights, share, most, seed, block_words, shard_words)
+    placed = _placed(sizes, weights, share, most, seed, block_words, shard_words,
+                     shard_rows)
     if placed is None:
         return docs
-    pieces = max(1, int(most + 0.999999))
+    pieces = _pieces(most)
 
     def choose(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.groupby(["order_key", *keys], as_index=False, sort=True).agg(
             size=("size", "sum"), quota=("quota", "first"))
         rows["copies"] = whole_copies(
-            rows["size"].to_numpy(), int(rows["quota"].iloc[0]) * block_words, pieces)
+            rows["size"].to_numpy(), int(rows["quota"].iloc[0]), pieces)
         return rows[[*keys, "copies"]]
 
     taken = durable(
@@ -273,12 +323,6 @@ def mix_whole(docs: DataFrame, weights: list[float], share: float = 1.5, most: f
             .select(*docs.columns))
 
 
-def _shard_quotas(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.sort_values("shard").reset_index(drop=True)
-    rows["quota"] = sainte_lague(rows["shard_size"].to_numpy(), int(rows["blocks"].iloc[0]))
-    return rows[["place", "shard", "quota"]]
-
-
 def repeat_rows(docs: DataFrame, taken: DataFrame, copies: Column | None = None) -> DataFrame:
     """Rows of `docs` as often as the mix takes them, `taken / size` rounded half up.
 

@@ -269,6 +269,47 @@ def test_mixing_stage_meets_the_targets(spark):
         assert abs(words[r.source] - r.target) <= longest[r.source] / 2 + 64, r
 
 
+@pytest.mark.parametrize("shard_words", [50, 2_000_000])
+def test_small_sources_meet_their_targets(spark, shard_words):
+    rows = [(k, "w " * n, "en", f"s{k:02d}")
+            for k, n in enumerate((10, 15, 40, 100, 130, 33, 64, 65, 1))]
+    rows += [(100 + k, "w " * (k % 9), "en", "x") for k in range(300)]
+    got = mix(spark.createDataFrame(rows, SCHEMA), [1], shard_words=shard_words).toPandas()
+    assert len(got) == len(rows) and (got.taken <= 2 * got["size"]).all()
+    for source, g in got.groupby("source"):
+        assert g.taken.sum() == int(g.target.iloc[0] + 0.5), source
+    assert got[got.source == "s00"].taken.sum() == 20
+
+
+def test_rows_count_for_shards_and_empty_rows_are_in_none(spark, monkeypatch):
+    from studyloom.llm import mixing
+
+    words, rows = np.array([10, 4000, 0]), np.array([10, 4000, 0])
+    assert mixing.shard_numbers(words, rows, 5000, 100).tolist() == [1, 40, 1]
+    many = [(None if k % 2 else k, None if k % 3 else " ", "en", "a") for k in range(400)]
+    frame = spark.createDataFrame([(1000 + k, "w w", "en", "a") for k in range(50)] + many, SCHEMA)
+    placed = mixing._placed(mixing.word_counts(frame), [1], 1.5, 2.0, 17, 64, 10_000, 10).collect()
+    assert len({r.shard for r in placed if r["size"]}) > 2
+    assert len(placed) == 450 and all((r.quota is None) == (r["size"] == 0) for r in placed)
+    got = mix(frame, [1]).toPandas()
+    assert len(got) == 450 and got.taken.sum() == 150
+    assert (got[got["size"] == 0].taken == 0).all()
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 300), min_size=1, max_size=8), st.floats(0, 2),
+       st.integers(0, 60))
+def test_shard_quotas_come_to_the_words(sizes, ratio, blocks):
+    from studyloom.llm.mixing import shard_quotas, taken_up_to
+
+    words = int(ratio * sum(sizes))
+    quota = shard_quotas(np.array(sizes), blocks, words, 64, 2)
+    assert quota.sum() == words and (quota >= 0).all() and (quota <= 2 * np.array(sizes)).all()
+    for size, q in zip(sizes, quota.tolist()):
+        taken = np.diff(taken_up_to(np.arange(size + 1), q, 64, [1, 2, 3]))
+        assert taken.sum() == q and np.ptp(taken) <= 1
+
+
 def test_rows_without_ids_are_mixed_by_their_text(spark):
     from studyloom.llm.mixing import mix_whole
 
