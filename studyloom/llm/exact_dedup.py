@@ -1,9 +1,10 @@
 """Exact dedup against a persistent digest index.
 
 The index is a table bucketed and sorted by digest. A batch is reduced to its distinct digests,
-these are anti-joined (sort-merge, the index side is read in place without a shuffle) and what
-is new is appended. Decisions come from a join of the narrow (row, digest) table with the groups,
-whose large partitions adaptive execution can split, so a text that holds a third of all rows is
+these are anti-joined (sort-merge, the index side is read in place without a shuffle), what
+is new is appended, and the document kept for each digest is read from the index. A new index
+starts as an empty table, so the first batch takes the same path. Decisions come from a join of the
+narrow (row, digest) table with the groups, whose large partitions adaptive execution can split, so a text that holds a third of all rows is
 never gathered in one task.
 """
 
@@ -45,6 +46,11 @@ class DigestIndex:
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
 
+    def create(self) -> None:
+        """An empty table, if there is none."""
+        if not self.exists():
+            self.append(self.spark.createDataFrame([], "digest string, keep_id long"))
+
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
 
@@ -73,19 +79,16 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
     groups = rows.groupBy("digest").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"),
         F.max_by("row_key", F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("keep_row"))
-    if index.exists():
-        held = index.read().select("digest", F.col("keep_id").alias("held_id"))
-        groups = durable(groups)
-        # both are written before the index changes
-        fresh = durable(groups.join(held.select("digest"), "digest", "left_anti"))
-        known = durable(groups.join(held, "digest").select(
-            "digest", F.col("held_id").alias("keep_id"), "group_size",
-            F.lit(None).cast("long").alias("keep_row")))
-        index.append(fresh)
-        groups = fresh.unionByName(known)
-    else:
-        groups = durable(groups)
-        index.append(groups)
+    groups = durable(groups)
+    index.create()
+    # written before the index changes; the hint keeps a small index from being broadcast
+    fresh = durable(groups.join(index.read().select("digest").hint("merge"), "digest",
+                                "left_anti"))
+    index.append(fresh)
+    groups = durable(
+        groups.select("digest", "group_size")
+        .join(index.read().hint("merge"), "digest")
+        .join(fresh.select("digest", "keep_row"), "digest", "left"))
     joined = rows.join(groups, "digest")
     return joined.select(
         "doc_id", "keep_id", "group_size",

@@ -82,6 +82,27 @@ def test_digest_index_stops_later_batches(docs, no_docs, spark):
     assert deduplicate(no_docs, index).count() == 0
 
 
+def test_first_batch_is_joined_with_the_index(docs, spark, monkeypatch):
+    index, joins = DigestIndex(spark, buckets=3), []
+    frame = type(docs)
+    join = frame.join
+
+    def seen(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if index.table in other._jdf.queryExecution().analyzed().toString():
+            joins.append((how, out._jdf.queryExecution().sparkPlan().toString()))
+        return out
+
+    monkeypatch.setattr(frame, "join", seen)
+    deduplicate(docs, index).collect()
+    assert [how for how, _ in joins] == ["left_anti", None]
+    assert all("SortMergeJoin" in plan and "BroadcastHashJoin" not in plan for _, plan in joins)
+    held = {r.digest: r.keep_id for r in index.read().collect()}
+    monkeypatch.undo()
+    assert all(r.keep_id == held[r.text_sha256] and not r.kept
+               for r in deduplicate(docs, index).collect())
+
+
 def test_keep_distinct_keeps_one_row_per_text(docs, rows, spark):
     kept = keep_distinct(docs, DigestIndex(spark))
     assert kept.columns == docs.columns
