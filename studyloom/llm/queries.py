@@ -176,3 +176,17 @@ def stupid_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_backed_off", F.round("log_score", 3).alias("log_score"),
         F.when(F.col("n_words") > 0, F.round(F.col("log_score") / F.col("n_words"), 6))
         .alias("mean_log_score"))
+
+
+@query("op13_backtracking_piece_codec")
+def backtracking_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from studyloom.llm.piece_codec import encode_and_decode
+
+    coded = encode_and_decode(table(spark, sf_dir, "documents"),
+                              vocabulary("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
