@@ -190,3 +190,12 @@ def backtracking_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op12_streamed_conversation_repair")
+def streamed_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from studyloom.llm.conversations import damage, repair_reports
+
+    return repair_reports(damage(table(spark, sf_dir, "conversations")), F.col("here"))
