@@ -199,3 +199,10 @@ def streamed_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     from studyloom.llm.conversations import damage, repair_reports
 
     return repair_reports(damage(table(spark, sf_dir, "conversations")), F.col("here"))
+
+
+@query("op11_count_tree_spelling")
+def count_tree_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from studyloom.llm.spelling import planted_words, spelling_forms
+
+    return spelling_forms(planted_words(table(spark, sf_dir, "documents")))
