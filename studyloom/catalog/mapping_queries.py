@@ -99,6 +99,7 @@ def match_class_counts(t: Tables) -> DataFrame:
 
 @query("conflict_log", "consolidated new_db old_db", f"""with {DUP_SQL}
 select match_class, entry, side, member from members where match_class <> 'one_to_one'
+union all select distinct 'one_to_many', old_id, 'old', old_id from wide where n_new > 1
 """)
 def conflict_log(t: Tables) -> DataFrame:
     return ops.conflict_log(matched(t))

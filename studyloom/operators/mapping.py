@@ -348,8 +348,13 @@ def match_class_counts(m: Matches) -> DataFrame:
 
 
 def conflict_log(m: Matches) -> DataFrame:
-    """Conflicts, one row per old or new row that takes part."""
-    return conflict_members(m).filter(F.col("match_class") != "one_to_one").select(
-        "match_class", "entry", "side", "member")
-
+    """Conflicts, one row per old or new row that takes part.
 
+    The old row of a 1-to-many entry is listed as a member of its own entry.
+    """
+    crowded = m.edges.filter(F.col("n_new") > 1).select("group_id").distinct()
+    shared_old = expand_edges(crowded, m.old).select(
+        F.lit("one_to_many").alias("match_class"), F.col("old_id").alias("entry"),
+        F.lit("old").alias("side"), F.col("old_id").alias("member"))
+    return conflict_members(m).filter(F.col("match_class") != "one_to_one").select(
+        "match_class", "entry", "side", "member").unionByName(shared_old)

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from studyloom.functions import jsontext, privacy
-from studyloom.operators.series import ORDER, geometry_flags
-from studyloom.operators.skew import match_keys
+from studyloom.functions import geometry as geo, jsontext, privacy
+from studyloom.operators.series import ORDER, geometry_figures
 
 PUBLIC_SPATIAL = ["slice_thickness", "pixel_spacing", "image_orientation_patient",
                   "image_position_patient"]
@@ -21,9 +20,10 @@ def _field(df: DataFrame, name: str) -> Column:
 def series_heads(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
     """First slice of every series with the geometry flags of the whole series and its hash."""
     fields = [c for c in slices.columns if c not in keys and c not in ORDER]
-    heads = slices.groupBy(*keys).agg(F.min(F.struct(*ORDER, *fields)).alias("_first"))
-    flat = heads.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in (*ORDER, *fields)])
-    wide = match_keys(flat, geometry_flags(slices, keys), keys)
+    heads = geo.with_geometry(slices).groupBy(*keys).agg(
+        F.min(F.struct(*ORDER, *fields)).alias("_first"), *geometry_figures())
+    flags = [c for c in heads.columns if c not in keys and c != "_first"]
+    wide = heads.select(*keys, *[F.col(f"_first.{c}").alias(c) for c in (*ORDER, *fields)], *flags)
     return wide.withColumn("hash_id", privacy.series_hash(
         F.col("patient_id"), F.col("study_date"), F.col("series_number"),
         F.col("institution_name")))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from studyloom.functions import geometry as geo, privacy
 from studyloom.functions.staging import computed_once
-from studyloom.operators.skew import match_keys, previous_value
+from studyloom.operators.skew import large_groups, match_keys, previous_value
 from studyloom.session import durable
 
 ORDER = ("line_no", "file_path")
@@ -60,42 +60,94 @@ def gap_cells(slices: DataFrame, keys: Sequence[str],
         "gap", F.abs(F.col(position) - F.col("previous_position")))
 
 
-def _spread(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Mean, population deviation, range and number of the gaps between neighbours.
+def _cell_figures(cells: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """As `_gap_figures`, from distinct positions.
 
     A position held by k slices adds k - 1 gaps of zero; their effect on mean and
-    deviation is added in closed form.
+    variance is added in closed form.
     """
     grouped = cells.groupBy(*keys).agg(
-        F.count("gap").alias("_n"), F.avg("gap").alias("_mean"),
+        F.count("gap").alias("_n"), F.coalesce(F.avg("gap"), F.lit(0.0)).alias("_mean"),
         F.coalesce(F.var_pop("gap"), F.lit(0.0)).alias("_var"),
-        F.min("gap").alias("_min"), F.max("gap").alias("_max"),
+        F.min("gap").alias("_min"), F.coalesce(F.max("gap"), F.lit(0.0)).alias("_max"),
         F.sum(F.col("n_slices") - 1).alias("_zeros"))
-    n, zeros = F.col("_n"), F.col("_zeros")
+    n, zeros, mean = F.col("_n"), F.col("_zeros"), F.col("_mean")
     total = n + zeros
-    mean = F.coalesce("_mean", F.lit(0.0))
+    values = {
+        "n": total, "mean": mean * n / total,
+        "var": (n * F.col("_var") + mean * mean * n * zeros / total) / total,
+        "min": F.when(zeros > 0, F.lit(0.0)).otherwise(F.col("_min")), "max": F.col("_max")}
     return grouped.filter(total > 0).select(
-        *keys, total.alias("num_intervals"), (mean * n / total).alias("slice_spacing"),
-        F.sqrt((n * F.col("_var") + mean * mean * n * zeros / total) / total)
-        .alias("std_deviation"),
-        F.when(zeros > 0, F.lit(0.0)).otherwise(F.col("_min")).alias("min_spacing"),
-        F.coalesce("_max", F.lit(0.0)).alias("max_spacing"))
+        *keys, *[v.alias(f"{name}_{k}") for k, v in values.items()])
 
 
-def spacing_statistics(slices: DataFrame, keys: Sequence[str],
-                       repeat_note: bool = False) -> DataFrame:
-    """Spacing of every series from its slice positions.
+def _gap_figures(gap: str, name: str) -> list[Column]:
+    """Number, mean, population variance and range of the gaps between neighbours."""
+    return [f.alias(f"{name}_{k}") for k, f in (
+        ("n", F.count(gap)), ("mean", F.avg(gap)), ("var", F.var_pop(gap)),
+        ("min", F.min(gap)), ("max", F.max(gap)))]
 
-    `spacing_success` needs two readable positions. The note about a slice without
-    orientation is listed once, with the number of such slices in `z_fallbacks`;
-    `repeat_note` lists it once per slice, as long as the series.
+
+def series_facts(slices: DataFrame, keys: Sequence[str],
+                 more: Sequence[str | Column] = ()) -> DataFrame:
+    """Narrow, typed facts of the slices, parsed and written once for all later figures."""
+    return durable(slice_positions(slices).select(
+        *keys, "slice_position", "has_orientation", *more))
+
+
+def series_figures(facts: DataFrame, keys: Sequence[str], positions: dict[str, str],
+                   *figures: Column) -> DataFrame:
+    """One row per series: `figures` and, for each name and column of `positions`, its gaps
+    (`<name>_n`, `_mean`, `_var`, `_min`, `_max`; null or 0 without a gap).
+
+    One exchange by the series key serves the ordering by every position and the figures. Series
+    above a row limit are counted out first: their figures are combined before the exchange, and
+    their ordered step sees distinct positions only, in stretches.
     """
-    placed = slice_positions(slices)
-    totals = placed.groupBy(*keys).agg(
+    large = large_groups(facts, keys)
+    ordinary = facts if large is None else _matching(facts, large, keys, "left_anti")
+    gaps, found = ordinary, []
+    for name, position in positions.items():
+        before = F.lag(position).over(Window.partitionBy(*keys).orderBy(position))
+        gaps = gaps.withColumn(f"_gap_{name}", F.abs(F.col(position) - before))
+        found += _gap_figures(f"_gap_{name}", name)
+    wide = gaps.groupBy(*keys).agg(*figures, *found)
+    if large is None:
+        return wide
+    hot = _matching(facts, large, keys, "left_semi")
+    combined = hot.groupBy(*keys).agg(*figures)
+    for name, position in positions.items():
+        combined = match_keys(
+            combined, _cell_figures(gap_cells(hot, keys, position), keys, name), keys)
+    return wide.unionByName(combined.select(*wide.columns))
+
+
+def _matching(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Rows of groups that are listed (semi) or not (anti), null equal to null."""
+    listed = groups.select(*[F.col(k).alias(f"_l_{k}") for k in keys])
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_l_{k}"))
+    return df.join(listed, condition, how)
+
+
+def _spacing_figures() -> list[Column]:
+    """What `spacing_columns` needs besides the gaps of `slice_position`, named `_pos`."""
+    return [
         F.count(F.lit(1)).alias("_slices"), F.count("slice_position").alias("_placed"),
         F.count_if(F.col("slice_position").isNotNull() & ~F.col("has_orientation"))
-        .alias("z_fallbacks"))
-    stats = match_keys(totals, _spread(gap_cells(placed, keys), keys), keys)
+        .alias("z_fallbacks")]
+
+
+def spacing_columns(figures: DataFrame, repeat_note: bool = False) -> DataFrame:
+    """Spacing of every series from its figures; their helper columns are dropped."""
+    some = F.col("_pos_n") > 0
+    stats = figures.withColumns({
+        "num_intervals": F.when(some, F.col("_pos_n")),
+        "slice_spacing": F.when(some, F.col("_pos_mean")),
+        "std_deviation": F.when(some, F.sqrt("_pos_var")),
+        "min_spacing": F.when(some, F.col("_pos_min")),
+        "max_spacing": F.when(some, F.col("_pos_max"))})
     success = F.coalesce(F.col("_placed") >= 2, F.lit(False))
     even = F.col("std_deviation") <= EVEN_GAPS * F.col("slice_spacing")
     # Message texts of the spacing check.
@@ -114,29 +166,50 @@ def spacing_statistics(slices: DataFrame, keys: Sequence[str],
             F.lit("Inconsistent spacing detected: std="),
             geo.decimals(F.col("std_deviation")), F.lit("mm, avg="),
             geo.decimals(F.col("slice_spacing")), F.lit("mm"))),
-    ))).drop("_slices", "_placed")
+    ))).drop("_slices", "_placed", *[c for c in figures.columns if c.startswith("_pos_")])
+
+
+def spacing_statistics(slices: DataFrame, keys: Sequence[str],
+                       repeat_note: bool = False) -> DataFrame:
+    """Spacing of every series from its slice positions.
+
+    `spacing_success` needs two readable positions. The note about a slice without
+    orientation is listed once, with the number of such slices in `z_fallbacks`;
+    `repeat_note` lists it once per slice, as long as the series.
+    """
+    figures = series_figures(series_facts(slices, keys), keys, {"_pos": "slice_position"},
+                             *_spacing_figures())
+    return spacing_columns(figures, repeat_note)
+
+
+def _fallback_columns(figures: DataFrame) -> DataFrame:
+    """Fallback spacing from `_located` and the gaps named `_loc`, else from `_first._thick`."""
+    known, std = F.col("_located") >= 2, F.sqrt("_loc_var")
+    return figures.withColumns({
+        "fallback_spacing": F.when(known, F.col("_loc_mean")).otherwise(
+            F.coalesce("_first._thick", F.lit(1.0))),
+        "fallback_method": F.when(known, "slice_location").otherwise("slice_thickness"),
+        "fallback_irregular": F.when(known, std > EVEN_LOCATIONS * F.col("_loc_mean"))
+        .otherwise(F.col("_many"))})
+
+
+def _located(location: str, thickness: str) -> list[Column]:
+    return [geo.parse_number(F.col(location)).alias("_at"),
+            geo.repair_thickness(geo.parse_number(F.col(thickness))).alias("_thick")]
+
+
+def _fallback_figures() -> list[Column]:
+    return [(F.count(F.lit(1)) > 1).alias("_many"), F.count("_at").alias("_located"),
+            F.min(F.struct(*ORDER, "_thick")).alias("_first")]
 
 
 def location_spacing(slices: DataFrame, keys: Sequence[str], location: str = "slice_location",
                      thickness: str = "slice_thickness") -> DataFrame:
     """Spacing from slice locations, else the first thickness, else 1.0, with the method used."""
-    parsed = slices.withColumns({
-        "_at": geo.parse_number(F.col(location)),
-        "_thick": geo.repair_thickness(geo.parse_number(F.col(thickness))),
-    })
-    first = parsed.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_slices"), F.count("_at").alias("_located"),
-        F.min(F.struct(*ORDER, "_thick")).alias("_first"))
-    spread = _spread(gap_cells(parsed, keys, "_at"), keys).select(
-        *keys, F.col("slice_spacing").alias("_mean"), F.col("std_deviation").alias("_std"))
-    known = F.col("_located") >= 2
-    return match_keys(first, spread, keys).select(
-        *keys,
-        F.when(known, F.col("_mean")).otherwise(F.coalesce("_first._thick", F.lit(1.0)))
-        .alias("fallback_spacing"),
-        F.when(known, "slice_location").otherwise("slice_thickness").alias("fallback_method"),
-        F.when(known, F.col("_std") > EVEN_LOCATIONS * F.col("_mean"))
-        .otherwise(F.col("_slices") > 1).alias("fallback_irregular"))
+    facts = durable(slices.select(*keys, *ORDER, *_located(location, thickness)))
+    figures = series_figures(facts, keys, {"_loc": "_at"}, *_fallback_figures())
+    return _fallback_columns(figures).select(
+        *keys, "fallback_spacing", "fallback_method", "fallback_irregular")
 
 
 def sorted_slices(slices: DataFrame, keys: Sequence[str],
@@ -172,11 +245,14 @@ def series_analysis(slices: DataFrame, keys: Sequence[str],
     absent = [c for c in [*ANALYSIS_TEXT, *ANALYSIS_RAW] if c not in slices.columns]
     full = slices.withColumns({c: F.lit("") for c in absent}) if absent else slices
     head = [*study_fields, *ANALYSIS_TEXT, *ANALYSIS_RAW]
-    first = full.groupBy(*keys).agg(
-        F.min(F.struct(*ORDER, *head)).alias("_first"),
-        F.count(F.lit(1)).alias("total_slices"))
-    flat = first.select(*keys, "total_slices", *[F.col(f"_first.{c}").alias(c) for c in head])
-    wide = match_keys(geo.with_geometry(flat), spacing_statistics(full, keys), keys)
+    facts = series_facts(full, keys, [*ORDER, *[c for c in head if c not in keys]])
+    figures = spacing_columns(series_figures(
+        facts, keys, {"_pos": "slice_position"}, *_spacing_figures(),
+        F.min(F.struct(*ORDER, *head)).alias("_head"), F.count(F.lit(1)).alias("total_slices")))
+    spacing = [c for c in figures.columns if c not in keys and c not in ("_head", "total_slices")]
+    wide = geo.with_geometry(figures.select(
+        *keys, "total_slices", *[F.col(f"_head.{c}").alias(c) for c in head if c not in keys],
+        *spacing))
     spacing_found = F.col("spacing").isNotNull() if strict else F.lit(True)
     flags = wide.withColumns({
         "has_orientation": F.col("orientation").isNotNull(),
@@ -249,15 +325,19 @@ def ready_series(slices: DataFrame, analysis: DataFrame, keys: Sequence[str]) ->
 
 def geometry_flags(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per series: whether any slice has each geometry field, and message totals."""
-    parsed = geo.with_geometry(slices)
-    return parsed.groupBy(*keys).agg(
+    return geo.with_geometry(slices).groupBy(*keys).agg(*geometry_figures())
+
+
+def geometry_figures() -> list[Column]:
+    """The columns of `geometry_flags` as aggregates of slices with parsed geometry."""
+    return [
         F.bool_or(F.col("orientation").isNotNull()).alias("has_orientation"),
         F.bool_or(F.col("position").isNotNull()).alias("has_position"),
         F.lit(True).alias("has_pixel_spacing"),
         F.bool_or(F.col("thickness").isNotNull()).alias("has_slice_thickness"),
         F.sum(F.size("geometry_warnings")).alias("validation_warnings_count"),
         F.sum(F.size("geometry_errors")).alias("validation_errors_count"),
-        F.count(F.lit(1)).alias("total_slices"))
+        F.count(F.lit(1)).alias("total_slices")]
 
 
 def geometry_messages(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -281,20 +361,20 @@ def series_affine(slices: DataFrame, keys: Sequence[str],
     """
     full = slices if location in slices.columns else slices.withColumn(location, F.lit(None)
                                                                        .cast("string"))
-    placed = slice_positions(full)
-    spacing = spacing_statistics(full, keys).select(
-        *keys, "spacing_success", "spacing_consistent", "slice_spacing")
-    fallback = location_spacing(full, keys, location)
-    at = F.coalesce(geo.parse_number(F.col(location)), F.lit(0.0))
     head = ["image_orientation_patient", "image_position_patient", "pixel_spacing",
             "slice_thickness"]
-    first = placed.groupBy(*keys).agg(
+    facts = series_facts(full, keys, [*ORDER, *head, *_located(location, "slice_thickness")])
+    figures = series_figures(
+        facts, keys, {"_pos": "slice_position", "_loc": "_at"}, *_spacing_figures(),
+        *_fallback_figures(),
         F.min(F.when(F.col("slice_position").isNotNull(),
-                     F.struct(F.col("slice_position").alias("_at"), *ORDER, *head)))
-        .alias("_placed"),
-        F.min(F.struct(at.alias("_at"), *ORDER, *head)).alias("_located"))
-    wide = match_keys(match_keys(first, spacing, keys), fallback, keys)
-    chosen = F.when(F.col("spacing_success"), F.col("_placed")).otherwise(F.col("_located"))
+                     F.struct(F.col("slice_position").alias("_place"), *ORDER, *head)))
+        .alias("_by_position"),
+        F.min(F.struct(F.coalesce("_at", F.lit(0.0)).alias("_place"), *ORDER, *head))
+        .alias("_by_location"))
+    wide = _fallback_columns(spacing_columns(figures))
+    chosen = F.when(F.col("spacing_success"), F.col("_by_position")).otherwise(
+        F.col("_by_location"))
     flat = wide.withColumn("_head", chosen).select(
         *keys, "spacing_success", "spacing_consistent", "slice_spacing", "fallback_spacing",
         "fallback_irregular", "fallback_method", *[f"_head.{c}" for c in head])

@@ -32,6 +32,15 @@ def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return joined.drop(*[f"_r_{k}" for k in keys])
 
 
+def large_groups(df: DataFrame, keys: Sequence[str],
+                 rows: int | None = None) -> DataFrame | None:
+    """Keys of groups with more than `rows` rows, written out; None if there are none."""
+    sizes = durable(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                    .filter(F.col("_n") > (SECTION_ROWS if rows is None else rows))
+                    .select(*keys))
+    return None if sizes.isEmpty() else sizes
+
+
 def add_sections(df: DataFrame, keys: Sequence[str], position: str,
                  rows: int = SECTION_ROWS) -> DataFrame | None:
     """Number stretches of `position` inside groups larger than `rows`; None if there are none.

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+# A table of more splits per core than this has enough tasks whatever its splits hold.
+SPLITS_A_CORE = 2
 
 
 def read_table(spark: SparkSession, path: str, spread_by: str | None = None) -> DataFrame:
     """Read a Parquet table.
 
-    A small table in one file arrives as one split and would keep all later row-wise
-    work on one core. `spread_by` names a column to spread such a table by; a table of several
-    splits is left as it is.
+    A split without the beginning of a row group holds no rows, so a small table of one row group
+    keeps all later row-wise work on one core however many splits it has. `spread_by` names a
+    column to spread such a table by: one with few splits, of which fewer than half the cores hold
+    rows. They are counted without reading a column. Larger tables are left as they are.
     """
     df = spark.read.parquet(path)
-    if spread_by is None:
+    cores = spark.sparkContext.defaultParallelism
+    if spread_by is None or df.rdd.getNumPartitions() > SPLITS_A_CORE * cores:
         return df
-    if df.rdd.getNumPartitions() > 1:
+    if df.select(F.spark_partition_id()).distinct().count() > cores // 2:
         return df
-    return df.repartition(spark.sparkContext.defaultParallelism, spread_by)
+    return df.repartition(cores, spread_by)

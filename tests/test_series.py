@@ -98,3 +98,35 @@ def test_volume_order_and_flip(spark, one):
     assert [r.image for r in got] == [[-1.0, 1.0], [1.0, 1.0], [3.0, 1.0]]
     image = F.array(F.array(F.lit(1), F.lit(2)), F.array(F.lit(3), F.lit(4)))
     assert one(geo.flip_rows(image)) == [[4, 3], [2, 1]]
+
+
+def test_large_series_give_the_same_figures(spark, monkeypatch):
+    """Series above the row limit take the other way; figures must not differ."""
+    from studyloom.operators import skew
+
+    data = rows([f"[0, 0, {i * i % 7}]" for i in range(40)], study="big",
+                locations=[str(i % 9) if i % 5 else "x" for i in range(40)])
+    data += rows(["[0, 0, 1]"] * 30, study="one_place") + rows(["x"] * 30, study="unreadable")
+    data += rows(["[0, 0, 1]", "[0, 0, 4]"], study="small", locations=["1", "4"])
+    data += rows(["[0, 0, 1]"] * 25, study=None)
+    frame, keys = spark.createDataFrame(data, SCHEMA), ["study", "series_number"]
+
+    def all_figures():
+        return [sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r])
+                       for r in df.collect()) for df in (
+            ops.spacing_statistics(frame, keys), ops.location_spacing(frame, keys),
+            ops.series_affine(frame, keys), ops.series_analysis(frame, keys))]
+
+    ordinary = all_figures()
+    monkeypatch.setattr(skew, "SECTION_ROWS", 8)
+    assert all_figures() == ordinary
+
+
+def test_one_exchange_of_the_records(spark):
+    frame = spark.createDataFrame(rows(["[0, 0, 0]", "[0, 0, 4]"]), SCHEMA)
+    for df in (ops.spacing_statistics(frame, ["study", "series_number"]),
+               ops.series_analysis(frame, ["study", "series_number"]),
+               ops.series_affine(frame, ["study", "series_number"])):
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert plan.count("Exchange") == 1 and plan.count("Scan parquet") == 1, plan
