@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from studyloom.llm.words import kept, slices
 
 #: Words kept per worker; others are encoded again when they come up in a later batch.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 400_000
 #: Bytes of text encoded together: words that repeat there are encoded once.
 TOGETHER = 3 << 20
 END_ID = 0
@@ -29,7 +29,11 @@ _ODD_SPACE = re.compile("[\\t\\r\\x0b\\x0c\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\
 
 
 class WordEncoder:
-    """Ids as bytes (little-endian, 4 bytes each) for one vocabulary file."""
+    """Ids as bytes (little-endian, 4 bytes each) for one vocabulary file.
+
+    A word is kept with the line break before it, if there is one; the first word of a text is
+    looked up as if it began a line, and the break's id is left off.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -40,88 +44,75 @@ class WordEncoder:
         lengths = [len(self.tool.id_to_token(i) or "") for i in range(size)]
         self.lengths = np.array(lengths, dtype=np.int64)  # one sign per byte
         self.added = [t.content for t in self.tool.get_added_tokens_decoder().values()]
-        self.line = self._whole("\n")
-        self.inside: dict[str, bytes] = {}
-        self.opening: dict[str, bytes] = {}
+        self.line = len(self._whole("\n"))
+        self.words: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        ids = self.tool.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(ids, dtype="<u4")
 
     def _whole(self, text: str) -> bytes:
-        ids = self.tool.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return self._ids(text).tobytes()
 
-    def parts(self, text: str) -> list[list[str]] | None:
-        """Words by line, or None if the text must be encoded whole."""
+    def cuttable(self, text: str) -> bool:
+        """True if every space and line break of the text begins a new unit."""
         if "  " in text or text[0] in " \n" or text[-1] in " \n":
-            return None
+            return False
         if "\n" in text and ("\n\n" in text or " \n" in text or "\n " in text):
-            return None
-        lines = text.split("\n")
-        if not "".join(lines).isprintable() and _ODD_SPACE.search(text):
-            return None
-        if any(t in text for t in self.added):
-            return None
-        return [line.split(" ") for line in lines]
+            return False
+        if not text.replace("\n", "").isprintable() and _ODD_SPACE.search(text):
+            return False
+        return not any(t in text for t in self.added)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        waiting, new_inside, new_opening = [], [], []
-        inside, opening = self.inside.get, self.opening.get
+        waiting, unknown = [], []
+        get, line = self.words.get, self.line
         for k, text in enumerate(texts):
             if not text:
                 continue
-            lines = self.parts(text)
-            if lines is None:
+            if not self.cuttable(text):
                 out[k] = self._whole(text)
                 continue
-            got, complete = [], True
-            for words in lines:
-                first = opening(words[0])
-                ids = list(map(inside, words))  # the first word's entry is not used
-                ids[0] = first
-                if None in ids:
-                    complete = False
-                    if first is None:
-                        new_opening.append(words[0])
-                    new_inside += [w for w, x in zip(words[1:], ids[1:]) if x is None]
-                elif complete:
-                    got.append(b"".join(ids))
-            if complete:
-                out[k] = self.line.join(got)
+            words = ("\n" + text.replace("\n", " \n")).split(" ")
+            ids = list(map(get, words))
+            if None in ids:
+                gaps = [i for i, x in enumerate(ids) if x is None]
+                missing = [words[i] for i in gaps]
+                unknown += missing
+                waiting.append((k, ids, gaps, missing))
             else:
-                waiting.append((k, lines))
+                out[k] = b"".join(ids)[line:]
         if waiting:
-            inside_ids = self._learn(self.inside, new_inside, " ")
-            opening_ids = self._learn(self.opening, new_opening, "\n")
-            for k, lines in waiting:
-                got = []
-                for words in lines:
-                    ids = [inside(w) or inside_ids[w] for w in words[1:]]
-                    got.append((opening(words[0]) or opening_ids[words[0]]) + b"".join(ids))
-                out[k] = self.line.join(got)
+            found = self._learn(unknown)
+            for k, ids, gaps, missing in waiting:
+                for i, word in zip(gaps, missing):
+                    ids[i] = found[word]
+                out[k] = b"".join(ids)[line:]
         return out
 
-    def _learn(self, table: dict[str, bytes], unknown: list[str], mark: str) -> dict[str, bytes]:
-        """Ids of words that each follow `mark`, many per call of the library.
+    def _learn(self, unknown: list[str]) -> dict[str, bytes]:
+        """Ids of words, many per call of the library.
 
-        Words that came up more than once are kept; the others only while the table is half empty.
+        Words that came up more than once are kept; the others only while a quarter of the table is empty.
         """
         found: dict[str, bytes] = {}
         times = Counter(unknown)
         words = list(times)
-        step = 20_000
-        for at in range(0, len(words), step):
-            chunk = words[at:at + step]
-            joined = mark + mark.join(chunk)
-            ids = np.array(self.tool.encode(joined, add_special_tokens=False).ids, dtype="<u4")
+        for at in range(0, len(words), 20_000):
+            chunk = words[at:at + 20_000]
+            marked = [w if w[0] == "\n" else " " + w for w in chunk]
+            ids = self._ids("".join(marked))
             ends = np.cumsum(self.lengths[ids])
-            reach = np.cumsum([len(w.encode()) + 1 for w in chunk])
+            reach = np.cumsum([len(w) if w.isascii() else len(w.encode()) for w in marked])
             cut = np.concatenate([[0], np.searchsorted(ends, reach, side="left") + 1])
             if ends[-1] != reach[-1] or (ends[cut[1:] - 1] != reach).any():
                 raise ValueError("a token goes over the end of a word")
-            raw, skip = ids.tobytes(), 4 if mark == "\n" else 0
-            starts, stops = (4 * cut[:-1] + skip).tolist(), (4 * cut[1:]).tolist()
-            found.update(zip(chunk, [raw[a:b] for a, b in zip(starts, stops)]))
+            raw, places = ids.tobytes(), (4 * cut).tolist()
+            found.update(zip(chunk, [raw[a:b] for a, b in zip(places, places[1:])]))
+        table = self.words
         if len(table) < KEPT_WORDS:
-            often = KEPT_WORDS // 2 <= len(table)
+            often = KEPT_WORDS * 3 // 4 <= len(table)
             table.update((w, found[w]) for w, n in times.items()
                          if (n > 1 or not often) and len(w) < 64)
         return found
