@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from studyloom.catalog.fixtures import Tables
 from studyloom.catalog.registry import query
@@ -10,6 +12,8 @@ from studyloom.functions import jsontext, report_fields, text
 from studyloom.functions.staging import computed_once
 from studyloom.operators import reports as ops
 from studyloom.operators.skew import number_rows
+from studyloom.session import ensure_checkpoint_dir
+from studyloom.sources import documents
 
 TRIM = "trim({c}, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))"
 FLAG_SQL = f"""concat_ws(', ', case when coalesce({TRIM.format(c='report_text')}, '') = '' then 'empty' when length({TRIM.format(c='report_text')}) < 50 then 'too_short' end,
@@ -44,6 +48,34 @@ def report_by_source(t: Tables) -> DataFrame:
     return t.reports.rollup("source_processed_dir").agg(F.count(F.lit(1)).alias("reports"))
 
 
+def write_report_maps(reports: DataFrame) -> str:
+    """One JSON map of file path to text per source, as sites deliver them; the folder."""
+    order = Window.partitionBy("source_processed_dir").orderBy("file_path")
+    entry = F.to_json(F.create_map("file_path", "report_text"), {"ignoreNullFields": "false"})
+    lines = reports.select("source_processed_dir", F.concat(
+        F.when(F.lag("file_path").over(order).isNull(), "{").otherwise(","),
+        F.substr(entry, F.lit(2), F.length(entry) - 2),
+        F.when(F.lead("file_path").over(order).isNull(), "}").otherwise("")).alias("value"))
+    folder = f"{ensure_checkpoint_dir(reports.sparkSession)}/maps-{uuid.uuid4().hex}"
+    lines.write.partitionBy("source_processed_dir").text(folder)
+    return folder
+
+
+@query("document_map_scan", "reports", f"""
+select source_processed_dir, file_path, length(report_text) as text_length, md5(report_text) as text_md5, {FLAG_SQL} as need_manual_check from reports
+""")
+def document_map_scan(t: Tables) -> DataFrame:
+    """Reports written as large JSON maps and read back in splits."""
+    folder = write_report_maps(t.reports.withColumn(
+        "source_processed_dir", F.coalesce("source_processed_dir", F.lit(""))))
+    rows = documents.read_document_maps(t.spark, f"{folder}/*")
+    site = F.url_decode(F.regexp_extract("source_json_file", "source_processed_dir=([^/]*)/", 1))
+    return ops.flag_reports(rows).select(
+        site.alias("source_processed_dir"), "file_path",
+        F.length("report_text").alias("text_length"), F.md5("report_text").alias("text_md5"),
+        "need_manual_check")
+
+
 PACKAGE_SQL = f"""{FLAGGED_SQL},
 rows as (select *, row_number() over (order by doc_id) - 1 as position, case when doc_id % 37 = 0 then ' ' else concat('E:', file_path) end as given from flagged),
 files as (select case when doc_id % 4 = 3 then concat('E:', file_path) else concat('D:', file_path) end as path from flagged where doc_id % 4 <> 0),
@@ -56,8 +88,7 @@ package as (select *, case when trim(given) = '' then 'Empty file path' when res
 
 def packaged(t: Tables) -> DataFrame:
     flagged = ops.flag_reports(t.reports)
-    numbered = number_rows(flagged.withColumn("_all", F.lit(0)), "_all", "doc_id", "position",
-                           start=0)
+    numbered = number_rows(flagged, ["doc_id"], "position", start=0)
     rows = numbered.withColumn("file_path", F.when(F.col("doc_id") % 37 == 0, " ").otherwise(
         F.concat(F.lit("E:"), "file_path")))
     drive = F.when(F.col("doc_id") % 4 == 3, "E:").otherwise("D:")

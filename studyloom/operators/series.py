@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from studyloom.functions import geometry as geo, privacy
 from studyloom.functions.staging import computed_once
-from studyloom.operators.skew import large_groups, match_keys, previous_value
+from studyloom.operators.skew import large_groups, match_keys, number_rows, previous_value
 from studyloom.session import durable
 
 ORDER = ("line_no", "file_path")
@@ -414,13 +414,12 @@ def stack_volumes(pixels: DataFrame, keys: Sequence[str], position: str, image:
     """Rescaled slices of each volume in order: keys, place (from 1), position, image.
 
     A volume is as large as its series, so it stays one row per slice, numbered by position. Only
-    keys and positions go through the numbering, not the images; positions of a series must differ.
+    keys and positions go through the numbering, not the images.
     """
     def value(v: str | float) -> Column:
         return F.col(v) if isinstance(v, str) else F.lit(float(v))
 
-    order = Window.partitionBy(*keys).orderBy(position)
-    places = pixels.select(*keys, position, F.row_number().over(order).alias("place"))
-    return pixels.join(places, [*keys, position]).select(
-        *keys, "place", F.col(position).alias("position"),
+    placed = number_rows(pixels, [*keys, position], "place", within=keys)
+    return placed.select(
+        *keys, F.col("place"), F.col(position).alias("position"),
         geo.rescale(F.col(image), value(slope), value(intercept)).alias("image"))

@@ -91,28 +91,45 @@ def previous_value(df: DataFrame, keys: Sequence[str], position: str, alias: str
     )
 
 
-def number_rows(df: DataFrame, group: str, position: str, alias: str, start: int = 1,
-                rows: int = SECTION_ROWS) -> DataFrame:
-    """`start + row_number() - 1` over (group, position) without one global sort task.
+def range_numbers(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct `keys` with the number of rows before them in key order, as `_before`, and with them, as
+    `_n`; nulls come first.
 
-    Counts per section give the offsets; only that small table is ordered as a
-    whole (one row per group, plus one per section of a large group). The input is
-    written out first as it is read for sizes, for offsets and for the rows.
+    Only the keys take part. Equal ones are counted first; what is left is dealt to tasks by ranges
+    of the keys and written once with the task's number, so every later reading sees the same ranges.
+    A running sum inside each range and the totals of the ranges before give the numbers.
     """
-    stored = durable(df)
-    cut = add_sections(stored, [group], position, rows)
-    if cut is None:
-        cut = stored.withColumn("_section", F.lit(None).cast("int"))
-    before = Window.orderBy(group, "_section").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(group, "_section").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
-    )
-    inside = Window.partitionBy(group, "_section").orderBy(position)
-    return (
-        match_keys(cut.withColumn("_rn", F.row_number().over(inside)), offsets,
-                   [group, "_section"])
-        .withColumn(alias, F.col("_offset") + F.col("_rn") + F.lit(start - 1))
-        .drop("_rn", "_offset", "_section")
-    )
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    ranges = durable(counts.repartitionByRange(*keys).withColumn(
+        "_range", F.spark_partition_id()))
+    sizes = ranges.groupBy("_range").agg(F.sum("_n").alias("_size"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+                           .alias("_offset"))  # one row per range
+    inside = Window.partitionBy("_range").orderBy(*keys).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return ranges.withColumn("_sum", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
+        offsets, "_range").select(
+        *keys, "_n", (F.col("_offset") + F.col("_sum")).alias("_before"))
+
+
+def number_rows(df: DataFrame, keys: Sequence[str], alias: str, start: int = 1,
+                within: Sequence[str] = ()) -> DataFrame:
+    """`start + row_number() - 1` over (keys), nulls first, without a task for all of them.
+
+    With `within`, leading keys, numbers start anew for each of their values. Rows with equal keys
+    are numbered in any order among themselves.
+    """
+    keys, within = list(keys), list(within)
+    numbers = durable(range_numbers(df, keys))
+    first = F.lit(0)
+    if within:
+        heads = numbers.groupBy(*within).agg(F.min("_before").alias("_head"))
+        numbers, first = match_keys(numbers, heads, within), F.col("_head")
+    numbers = numbers.withColumn(alias, F.col("_before") - first + F.lit(start))
+    ties = not numbers.where("_n > 1").isEmpty()
+    numbered = match_keys(df, numbers.select(*keys, alias), keys)
+    if not ties:
+        return numbered
+    same = Window.partitionBy(*keys).orderBy(F.lit(0))
+    return numbered.withColumn(alias, F.col(alias) + F.row_number().over(same) - 1)

@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from studyloom.functions import text
 from studyloom.operators import reports
 from studyloom.schemas import require_columns
+from studyloom.session import durable
 from studyloom.sources.files import plain_path
+from studyloom.sources.json_items import read_items
 
 # Where a site keeps its results.
 SUMMARY_FILE = "S2_concatenated_summaries/S2_patient_summary.json"
@@ -23,25 +25,33 @@ SUMMARY_SCHEMA = ("patient_id string, patient_name string, study_date string, "
 REPORT_SCHEMA = "array<struct<file_path:string,report_text:string>>"
 
 
-def _whole_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    targets = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.option("wholetext", "true").text(targets).select(
-        "value", plain_path(F.col("_metadata.file_path")).alias("source_json_file"))
+def _parsed_items(items: DataFrame, value: Column) -> DataFrame:
+    """Items of well-formed files with their parsed `value`, an array; null is malformed.
+
+    A file with one malformed item, or a comma that nothing follows, has no items at all. The parsed
+    items are written out, as the files are known only when all are parsed.
+    """
+    parsed = durable(items.select("file", "kind", "item", value.alias("rows"),
+                                  (text.strip(F.col("value")) == "").alias("blank")))
+    broken = parsed.groupBy("file").agg(
+        F.bool_or(F.col("rows").isNull()).alias("_bad"), F.bool_or("blank").alias("_blank"),
+        F.count(F.lit(1)).alias("_n")).where("_bad or (_blank and _n > 1)").select("file")
+    return parsed.join(broken, "file", "left_anti")
 
 
 def read_document_maps(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(file_path, report_text, source_json_file) from JSON maps or lists of documents.
 
-    Any other shape and broken JSON give no rows.
+    A file is read in splits by many tasks, whatever its size. Any other shape and broken JSON give no
+    rows. A path that a map names twice gives two rows.
     """
-    body = text.strip(F.col("value"))
-    files = _whole_files(spark, paths)
-    as_map = files.filter(body.startswith("{")).select(
-        F.explode(F.from_json("value", "map<string,string>")).alias("file_path", "report_text"),
-        "source_json_file")
-    as_list = files.filter(body.startswith("[")).select(
-        F.inline(F.from_json("value", REPORT_SCHEMA)), "source_json_file")
-    return as_map.unionByName(as_list)
+    items, _ = read_items(spark, paths)
+    entries = F.transform(
+        F.map_entries(F.from_json(F.concat(F.lit("{"), "value", F.lit("}")), "map<string,string>")),
+        lambda e: F.struct(e["key"].alias("file_path"), e["value"].alias("report_text")))
+    listed = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), REPORT_SCHEMA)
+    rows = _parsed_items(items, F.when(F.col("kind") == "{", entries).otherwise(listed))
+    return rows.select(F.inline("rows"), F.col("file").alias("source_json_file"))
 
 
 def read_site_documents(spark: SparkSession, root: str) -> DataFrame:
@@ -55,40 +65,47 @@ def read_site_summaries(spark: SparkSession, paths: str | Sequence[str]) -> Data
     """Study summaries of several sites with `source_folder` and `position` in the site.
 
     `paths` is a root holding site folders, or a list of site folders. A site's summary is one
-    file with a JSON list, or a folder of JSON lines as `stores.write_site_summary` writes it; lines
-    are read in splits, only a list is one row. A file that is no list, or a line that is no
-    object, gives a row with `load_error`.
+    file with a JSON list, or a folder of JSON lines as `stores.write_site_summary` writes it; both
+    are read in splits. `position` orders the rows of a site as they are written: by part, split and
+    row in the split, or by place in the list. A file that is no list, or a line that is no object,
+    gives a row with `load_error`.
     """
     targets = ([f"{paths.rstrip('/')}/*/{SUMMARY_FILE}"] if isinstance(paths, str)
                else [f"{p.rstrip('/')}/{SUMMARY_FILE}" for p in paths])
-    site = F.regexp_extract(F.col("_metadata.file_path"), f"([^/]+)/{SUMMARY_FILE}", 1)
+
+    def site(path: Column) -> Column:
+        return F.regexp_extract(path, f"([^/]+)/{SUMMARY_FILE}", 1).alias("source_folder")
+
+    def place(part: Column, block: Column, row: Column) -> Column:
+        return F.struct(part.alias("part"), block.cast("long").alias("block"),
+                        row.cast("long").alias("row")).alias("position")
+
     record = f"struct<{_inner(SUMMARY_SCHEMA)}>"
-    body = text.strip(F.col("value"))
-
-    def texts(names: str, whole: bool) -> DataFrame:
-        return spark.read.option("wholetext", str(whole).lower()).option(
-            "pathGlobFilter", names).text(targets).select(
-            "value", F.url_decode(site).alias("source_folder"),
-            F.monotonically_increasing_id().alias("position"))
-
-    lists = texts(SUMMARY_FILE.rpartition("/")[2], True)
-    is_list = F.try_parse_json("value").isNotNull() & body.startswith("[")
-    from_lists = lists.filter(is_list).select(
-        "source_folder", F.posexplode(F.from_json("value", f"array<{record}>"))
-        .alias("position", "_r")).withColumn("position", F.col("position").cast("long"))
-    lines = texts("part-*", False).filter(body != "")
-    is_object = F.try_parse_json("value").isNotNull() & body.startswith("{")
+    items, no_lists = read_items(spark, targets, SUMMARY_FILE.rpartition("/")[2])
+    listed = _parsed_items(items, F.when(F.col("kind") == "[", F.from_json(
+        F.concat(F.lit("["), "value", F.lit("]")), f"array<{record}>")))
+    from_lists = listed.select(
+        site(F.col("file")), place(F.lit(""), F.lit(0), F.col("item")),
+        F.explode("rows").alias("_r"))
+    wrong = (items.select("file").distinct().join(listed.select("file").distinct(), "file",
+                                                  "left_anti").unionByName(no_lists))
+    lines = (spark.read.option("pathGlobFilter", "part-*").text(targets)
+             .select("value", site(plain_path(F.col("_metadata.file_path"))),
+                     place(F.col("_metadata.file_name"), F.col("_metadata.file_block_start"),
+                           F.monotonically_increasing_id() % (1 << 33)))
+             .filter(text.strip(F.col("value")) != ""))
+    is_object = (F.try_parse_json("value").isNotNull()
+                 & text.strip(F.col("value")).startswith("{"))
     from_lines = lines.filter(is_object).select(
         "source_folder", "position", F.from_json("value", record).alias("_r"))
     good = from_lists.unionByName(from_lines).select(
         "_r.*", "source_folder", "position", F.lit(None).cast("string").alias("load_error"))
 
     def bad(rows: DataFrame, message: str) -> DataFrame:
-        return rows.select("source_folder", F.lit(-1).cast("long").alias("position"),
-                           F.lit(message).alias("load_error"))
+        return rows.select("source_folder", F.lit(message).alias("load_error"))
 
     return good.unionByName(
-        bad(lists.filter(~is_list), "not a JSON list").unionByName(
+        bad(wrong.select(site(F.col("file"))), "not a JSON list").unionByName(
             bad(lines.filter(~is_object), "not a JSON object")), allowMissingColumns=True)
 
 

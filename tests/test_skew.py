@@ -8,12 +8,32 @@ from studyloom.operators import skew
 def test_number_rows_with_sections_equals_row_number(spark):
     rows = [(f"s{i % 3 if i % 4 else 0}", i) for i in range(500)]
     df = spark.createDataFrame(rows, "g string, p long")
-    got = skew.number_rows(df, "g", "p", "n", start=10001, rows=40)
+    got = skew.number_rows(df, ["g", "p"], "n", start=10001)
     want = df.withColumn("n", 10000 + F.row_number().over(Window.orderBy("g", "p")))
     assert sorted(map(tuple, got.select("g", "p", "n").collect())) == sorted(
         map(tuple, want.collect()))
 
 
+def test_number_rows_with_nulls_ties_and_groups(spark):
+    rows = [(None, 3, "a"), (None, None, "b"), ("x", 1, "c"), ("x", 1, "d"), ("x", 1, "e"),
+            ("x", 9, "f"), ("y", 2, "g")]
+    df = spark.createDataFrame(rows, "g string, p long, text string")
+    whole = sorted((r.n, r.g, r.p) for r in skew.number_rows(df, ["g", "p"], "n").collect())
+    assert whole == [(1, None, None), (2, None, 3), (3, "x", 1), (4, "x", 1), (5, "x", 1),
+                     (6, "x", 9), (7, "y", 2)]
+    inside = sorted((str(r.g), r.n, r.p) for r in skew.number_rows(
+        df, ["g", "p"], "n", start=0, within=["g"]).collect())
+    assert inside == [("None", 0, None), ("None", 1, 3), ("x", 0, 1), ("x", 1, 1), ("x", 2, 1),
+                      ("x", 3, 9), ("y", 0, 2)]
+    assert skew.number_rows(df.limit(0), ["g", "p"], "n").count() == 0
+
+
+def test_numbering_moves_keys_only(spark):
+    df = spark.range(1000).selectExpr("id % 7 as g", "id as p", "repeat('x', 100) as text")
+    plan = skew.range_numbers(df, ["g", "p"])._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan
+
+
 def test_previous_value_with_sections_equals_lag(spark):
     random.seed(1)
     rows = [("hot", float(x)) for x in random.sample(range(100000), 300)]
