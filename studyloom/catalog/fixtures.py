@@ -141,8 +141,9 @@ class Tables:
                 .otherwise(F.array(F.lit("site_a")))
             return self.studies.withColumn("source_folder", F.explode(sites))
         if name == "consolidated":
-            return durable(skew.number_rows(self.both_sites, ["source_folder", "study_no"],
-                                            "unique_number", start=10001))
+            return durable(skew.number_rows(
+                durable(self.both_sites), ["source_folder", "study_no"], "unique_number",
+                start=10001))
         sql, reads = VIEWS[name]
         return self.sql(sql, *reads)
 

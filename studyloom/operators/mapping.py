@@ -123,7 +123,8 @@ def path_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
         F.explode(F.slice(parts, low, max(high - low + 1, 0))).alias("_key"))
     return (prefixes.join(groups, ["_place", "_key"])
             .filter(days_agree(F.col("_new_day"), F.col("_old_day")))
-            .select("new_id", "group_id", "n_old", F.col("_old_day").alias("old_day")))
+            .select("new_id", "group_id", "n_old", F.col("_old_day").alias("old_day"),
+                    F.col("_place").alias("place")))
 
 
 def id_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
@@ -135,7 +136,8 @@ def id_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
         _day(F.col("study_date")).alias("_new_day"), F.explode(ids).alias("_key"))
     return (candidates.join(_groups_of(keyed_old, "id"), ["_place", "_key"])
             .filter(days_agree(F.col("_new_day"), F.col("_old_day")))
-            .select("new_id", "group_id", "n_old", F.col("_old_day").alias("old_day"))
+            .select("new_id", "group_id", "n_old", F.col("_old_day").alias("old_day"),
+                    F.col("_place").alias("place"))
             .distinct())
 
 
@@ -182,8 +184,8 @@ def propagate(edges: DataFrame, new: DataFrame) -> DataFrame:
         .withColumn("visit", F.struct(
             F.lit(3).alias("phase"), F.col("_first").cast("bigint").alias("first_old"),
             F.col("_copy").cast("bigint").alias("new_id")))
-        .select(F.col("_copy").alias("new_id"), "group_id", "n_old", "old_day", "strategy",
-                "visit", F.lit(True).alias("propagated"))
+        .select(F.col("_copy").alias("new_id"), "group_id", "n_old", "old_day", "place",
+                "strategy", "visit", F.lit(True).alias("propagated"))
     )
     return edges.withColumn("propagated", F.lit(False)).unionByName(copies)
 
@@ -194,7 +196,7 @@ class Matches:
 
     new: DataFrame
     old: DataFrame      # with group_id
-    edges: DataFrame    # new_id, group_id, n_old, old_day, strategy, visit, propagated
+    edges: DataFrame    # new_id, group_id, n_old, old_day, place, strategy, visit, propagated
     leaders: DataFrame  # leader new_id of each conflict entry, with its class
 
 
@@ -215,7 +217,8 @@ def match_databases(new: DataFrame, old: DataFrame) -> Matches:
     degrees = news.groupBy("new_id").agg(F.sum("n_old").alias("n_olds"))
     edges = durable(news.join(reach, "group_id").join(degrees, "new_id"))
     crowded = edges.filter(F.col("n_olds") > 1)
-    members = crowded.select(F.col("group_id").alias("clique"), F.col("visit").alias("node"))
+    members = crowded.select(F.col("place").alias("block"), F.col("group_id").alias("clique"),
+                             F.col("visit").alias("node"))
     led = first_come_leaders(members)
     followers = led.filter(F.col("node") != F.col("leader")).select(
         F.col("node.new_id").alias("new_id"))

@@ -91,26 +91,25 @@ def previous_value(df: DataFrame, keys: Sequence[str], position: str, alias: str
     )
 
 
-def range_numbers(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct `keys` with the number of rows before them in key order, as `_before`, and with them, as
-    `_n`; nulls come first.
-
-    Only the keys take part. Equal ones are counted first; what is left is dealt to tasks by ranges
-    of the keys and written once with the task's number, so every later reading sees the same ranges.
-    A running sum inside each range and the totals of the ranges before give the numbers.
-    """
+def _key_ranges(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct `keys` with their rows `_n`, dealt to tasks by ranges of the keys and written once with
+    the task's number `_range`, so that every later reading sees the same ranges."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    ranges = durable(counts.repartitionByRange(*keys).withColumn(
+    return durable(counts.repartitionByRange(*keys).withColumn(
         "_range", F.spark_partition_id()))
+
+
+def _rows_before(ranges: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`_before`, the number of rows with smaller keys: a running sum inside each range and the
+    totals of the ranges before it, one row per range."""
     sizes = ranges.groupBy("_range").agg(F.sum("_n").alias("_size"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0))
-                           .alias("_offset"))  # one row per range
+                           .alias("_offset"))
     inside = Window.partitionBy("_range").orderBy(*keys).rowsBetween(
         Window.unboundedPreceding, -1)
     return ranges.withColumn("_sum", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
-        offsets, "_range").select(
-        *keys, "_n", (F.col("_offset") + F.col("_sum")).alias("_before"))
+        offsets, "_range").select(*keys, (F.col("_offset") + F.col("_sum")).alias("_before"))
 
 
 def number_rows(df: DataFrame, keys: Sequence[str], alias: str, start: int = 1,
@@ -118,18 +117,18 @@ def number_rows(df: DataFrame, keys: Sequence[str], alias: str, start: int = 1,
     """`start + row_number() - 1` over (keys), nulls first, without a task for all of them.
 
     With `within`, leading keys, numbers start anew for each of their values. Rows with equal keys
-    are numbered in any order among themselves.
+    are numbered in any order among themselves. Only the keys take part in the numbering; `df` is
+    read once for them and once for its rows, so an expensive one is written out before.
     """
     keys, within = list(keys), list(within)
-    numbers = durable(range_numbers(df, keys))
-    first = F.lit(0)
+    ranges = _key_ranges(df, keys)
+    numbers, first = _rows_before(ranges, keys), F.lit(0)
     if within:
         heads = numbers.groupBy(*within).agg(F.min("_before").alias("_head"))
         numbers, first = match_keys(numbers, heads, within), F.col("_head")
-    numbers = numbers.withColumn(alias, F.col("_before") - first + F.lit(start))
-    ties = not numbers.where("_n > 1").isEmpty()
-    numbered = match_keys(df, numbers.select(*keys, alias), keys)
-    if not ties:
+    numbers = numbers.select(*keys, (F.col("_before") - first + F.lit(start)).alias(alias))
+    numbered = match_keys(df, numbers, keys)
+    if ranges.where("_n > 1").isEmpty():
         return numbered
     same = Window.partitionBy(*keys).orderBy(F.lit(0))
     return numbered.withColumn(alias, F.col(alias) + F.row_number().over(same) - 1)
