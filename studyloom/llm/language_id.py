@@ -2,9 +2,11 @@
 
 Every language gives each piece of a fixed public vocabulary a probability. A word's probability is
 the sum over all its segmentations into pieces of the product of the piece probabilities, found by a
-forward pass over the word; a text's is the product over its words. Piece probabilities are learned
-by expectation maximisation: a forward and a backward pass give the expected number of uses of
-each piece. All passes run over many distinct words at once.
+forward pass over the word; a text's is the product over its words. All pieces of letters in the
+vocabulary are used and words of any length are scored whole: the pass hands on the sums for as many
+ends as the longest piece has letters, scaled so that nothing is lost to small numbers. Piece
+probabilities are learned by expectation maximisation, one Spark job a round: a forward and a backward
+pass give the expected number of uses of each piece. All passes run over many distinct words at once.
 """
 
 from __future__ import annotations
@@ -19,21 +21,21 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from studyloom.llm.words import drop_kept, kept, mix
+from studyloom.llm.words import drop_kept, kept, mix, slices
 from studyloom.session import durable
 
 MARK = "▁"
-#: Letters of a piece considered, and of a word scored at once; a longer word is scored in stretches.
-PIECE, WORD = 8, 24
-#: The classifier is fitted on at most so many documents of each language, by hash of doc_id, ...
+#: The classifier is fitted on at most so many documents of each language, by hash of doc_id.
 FIT_DOCUMENTS = 500
-#: ... and on at most so many distinct words of these, the most frequent first.
-FIT_WORDS = 60_000
 ROUNDS = 3
 #: A sample of so many documents may be sent to every executor.
 SMALL_SAMPLE = 100_000
 #: Words kept per worker; others are scored again when they come up in a later batch.
 KEPT_WORDS = 250_000
+#: Letters (words times the longest of them) that are passed over together.
+TOGETHER = 400_000
+#: Ends after which sums are scaled.
+SCALED = 8
 UNDECIDED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -52,70 +54,135 @@ def _extend(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return (hashes + codes + np.uint64(1)) * _BASE
 
 
-def piece_vocabulary(path: str) -> np.ndarray:
-    """Sorted hashes of the lower-cased pieces of letters in a public vocabulary file."""
+@dataclass(frozen=True)
+class Vocabulary:
+    """Hashes of the lower-cased pieces of letters, sorted, and the letters of the longest."""
+
+    hashes: np.ndarray
+    longest: int
+    filter: np.ndarray  # one flag per upper 20 bits of a hash
+
+    @property
+    def size(self) -> int:
+        return len(self.hashes)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Number of the piece with each hash, or -1."""
+        out = np.full(hashes.shape, -1, dtype=np.int32)
+        maybe = np.nonzero(self.filter[(hashes >> np.uint64(44)).astype(np.int64)])
+        some = hashes[maybe]
+        at = np.minimum(np.searchsorted(self.hashes, some), max(self.size - 1, 0))
+        out[maybe] = np.where(self.hashes[at] == some, at, -1) if self.size else -1
+        return out
+
+
+def piece_vocabulary(path: str) -> Vocabulary:
+    """The pieces of letters in a public vocabulary file, all of them."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())
               if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
-    kept = sorted(p for p in pieces if 0 < len(p) <= PIECE
-                  and all(c.isalpha() for c in p.removeprefix(MARK)))
+    kept = sorted(p for p in pieces if p and all(c.isalpha() for c in p.removeprefix(MARK)))
     codes, lengths = _codes(kept)
     hashes = np.zeros(len(kept), dtype=np.uint64)
     for t in range(codes.shape[1]):
         live = lengths > t
         hashes[live] = _extend(hashes[live], codes[live, t])
-    return np.unique(mix(hashes))
+    hashes = np.unique(mix(hashes))
+    flags = np.zeros(1 << 20, dtype=bool)
+    flags[(hashes >> np.uint64(44)).astype(np.int64)] = True
+    return Vocabulary(hashes, int(lengths.max(initial=1)), flags)
 
 
 class Lattice:
-    """The pieces of many words: `use[n]` has, by word and end, the piece of n letters or -1.
+    """The pieces of many words: by end and number of letters, the words that have one there.
 
-    A single letter is always a piece; a letter that the vocabulary lacks is the last one.
+    A single letter is always a piece; a letter that the vocabulary lacks is piece `size`.
     """
 
-    def __init__(self, words: list[str], vocabulary: np.ndarray):
+    def __init__(self, words: list[str], vocabulary: Vocabulary):
         codes, self.lengths = _codes(words)
-        self.width = codes.shape[1]
-        self.use = np.full((PIECE + 1, len(words), self.width + 1), -1, dtype=np.int32)
+        self.width, self.longest = codes.shape[1], vocabulary.longest
+        #: at[end]: (letters, words, pieces) of the pieces that end there
+        self.at: list[list[tuple[int, np.ndarray, np.ndarray]]] = [
+            [] for _ in range(self.width + 1)]
         hashes = np.zeros((len(words), self.width), dtype=np.uint64)  # of pieces by their start
-        for n in range(1, min(PIECE, self.width) + 1):
+        for n in range(1, min(self.longest, self.width) + 1):
             starts = self.width - n + 1
             hashes = _extend(hashes[:, :starts], codes[:, n - 1:])
-            mixed = mix(hashes)
-            at = np.minimum(np.searchsorted(vocabulary, mixed), len(vocabulary) - 1)
-            found = np.where(vocabulary[at] == mixed, at, len(vocabulary) if n == 1 else -1)
-            self.use[n, :, n:] = found
-        ends = np.arange(self.width + 1)
-        self.use[:, ends[None, :] > self.lengths[:, None]] = -1
-
-    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Sums over all segmentations up to each end, for piece probabilities p (pieces,)."""
-        p = np.append(p, 0.0)  # the last one answers for -1
-        alpha = np.zeros((len(self.lengths), self.width + 1))
-        alpha[:, 0] = 1.0
+            found = vocabulary.find(mix(hashes))
+            if n == 1:
+                found[found < 0] = vocabulary.size
+            found[np.arange(n, self.width + 1)[None, :] > self.lengths[:, None]] = -1
+            start, word = np.nonzero(found.T >= 0)
+            cuts = np.searchsorted(start, np.arange(starts + 1))
+            piece = found[word, start]
+            for k in range(starts):
+                if cuts[k] < cuts[k + 1]:
+                    part = slice(cuts[k], cuts[k + 1])
+                    self.at[k + n].append((n, word[part], piece[part]))
+
+    def _scale(self, sums: np.ndarray, scales: np.ndarray, first: int, last: int,
+               whole: slice) -> None:
+        """Divide the sums at ends first..last, which later steps use, by their largest."""
+        top = sums[:, first:last + 1].max(axis=1)
+        top[top <= 0] = 1.0
+        sums[:, first:last + 1] /= top[:, None]
+        scales[:, whole] += np.log(top)[:, None]
+
+    def forward(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sums over all segmentations up to each end, for probabilities p (pieces x models).
+
+        Returns the sums (words x ends x models), the logarithms of the factors taken out of them,
+        and the logarithm of each word's probability (words x models).
+        """
+        n_words, models = len(self.lengths), p.shape[1]
+        sums = np.zeros((n_words, self.width + 1, models))
+        scales = np.zeros((n_words, self.width + 1, models))
+        sums[:, 0] = 1.0
         for end in range(1, self.width + 1):
-            for n in range(1, min(PIECE, end) + 1):
-                alpha[:, end] += alpha[:, end - n] * p[self.use[n, :, end]]
-        return alpha, alpha[np.arange(len(self.lengths)), self.lengths]
+            for n, word, piece in self.at[end]:
+                sums[word, end] += sums[word, end - n] * p[piece]
+            if end % SCALED == 0 and end < self.width:
+                first = max(0, end - self.longest + 1)
+                self._scale(sums, scales, first, end, slice(first, None))
+        rows = np.arange(n_words)
+        total = (np.log(np.maximum(sums[rows, self.lengths], 1e-300))
+                 + scales[rows, self.lengths])
+        return sums, scales, total
 
     def expected(self, p: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Expected uses of every piece over words that occur `counts` times."""
-        alpha, total = self.forward(p)
-        full = np.append(p, 0.0)
-        beta = np.zeros_like(alpha)
+        p = p.reshape(-1, 1)
+        alpha, before, total = self.forward(p)
+        beta, after = np.zeros_like(alpha), np.zeros_like(before)
         beta[np.arange(len(self.lengths)), self.lengths] = 1.0
+        uses = np.zeros(len(p))
         for end in range(self.width, 0, -1):
-            for n in range(1, min(PIECE, end) + 1):
-                beta[:, end - n] += full[self.use[n, :, end]] * beta[:, end]
-        uses = np.zeros(len(full))
-        weight = counts / np.maximum(total, 1e-300)
-        for n in range(1, PIECE + 1):
-            for end in range(n, self.width + 1):
-                piece = self.use[n, :, end]
-                np.add.at(uses, piece, weight * alpha[:, end - n] * full[piece] * beta[:, end])
-        return uses[:-1]
+            for n, word, piece in self.at[end]:
+                step = p[piece] * beta[word, end]
+                scale = np.exp(before[word, end - n] + after[word, end] - total[word])
+                share = alpha[word, end - n] * step * scale * counts[word][:, None]
+                np.add.at(uses, piece, share[:, 0])
+                beta[word, end - n] += step
+            if end % SCALED == 0:
+                first = max(0, end - self.longest)
+                self._scale(beta, after, first, end - 1, slice(None, end))
+        return uses
+
+
+def lattices(words: list[str], vocabulary: Vocabulary) -> Iterator[tuple[np.ndarray, Lattice]]:
+    """Lattices over the marked words, those of like length together, with their numbers."""
+    sizes = np.array([len(w) + 1 for w in words], dtype=np.int64)
+    order = np.argsort(sizes, kind="stable")
+    at = 0
+    while at < len(order):
+        fits = np.arange(1, len(order) - at + 1) * sizes[order[at:]] <= TOGETHER
+        to = at + max(1, int(fits.argmin()) if not fits.all() else len(fits))
+        chunk = order[at:to]
+        yield chunk, Lattice([MARK + words[i] for i in chunk.tolist()], vocabulary)
+        at = to
 
 
 def letters_of(text: str) -> list[str]:
@@ -125,40 +192,79 @@ def letters_of(text: str) -> list[str]:
         w for w in words if w.isalpha() or any(map(str.isalpha, w))]
 
 
-def stretches(word: str) -> list[str]:
-    """A word with its mark, cut into stretches of bounded length."""
-    marked = MARK + word
-    return [marked[at:at + WORD] for at in range(0, len(marked), WORD)]
-
-
 @dataclass
 class Model:
     languages: list[str]
-    vocabulary: np.ndarray
+    vocabulary: Vocabulary
     pieces: np.ndarray  # languages x (vocabulary + 1)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log probabilities, words x languages."""
-        parts = [(k, s) for k, w in enumerate(words) for s in stretches(w)]
-        owner = np.array([k for k, _ in parts], dtype=np.int64)
         out = np.zeros((len(words), len(self.languages)))
-        by_length = np.argsort([len(s) for _, s in parts], kind="stable")
-        for at in range(0, len(parts), 20_000):
-            chunk = by_length[at:at + 20_000]
-            lattice = Lattice([parts[i][1] for i in chunk.tolist()], self.vocabulary)
-            for k in range(len(self.languages)):
-                total = lattice.forward(self.pieces[k])[1]
-                np.add.at(out[:, k], owner[chunk], np.log(np.maximum(total, 1e-300)))
+        p = np.ascontiguousarray(self.pieces.T)
+        for chunk, lattice in lattices(words, self.vocabulary):
+            out[chunk] = lattice.forward(p)[2]
         return out
 
 
+def _word_counts(sample: DataFrame) -> DataFrame:
+    """(lang, word, n) over all texts of `sample` (lang, text)."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
+        for batch in batches:
+            for part in slices(batch):
+                words: Counter = Counter()
+                for lang, text in zip(part.column("lang").to_pylist(),
+                                      part.column("text").to_pylist()):
+                    words.update((lang, w) for w in letters_of(text))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([k[0] for k in words], pa.string()),
+                    pa.array([k[1] for k in words], pa.string()),
+                    pa.array(list(words.values()), pa.int64())], names=["lang", "word", "n"])
+
+    return sample.mapInArrow(count, "lang string, word string, n long").groupBy(
+        "lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _expected_uses(counts: DataFrame, vocabulary: Vocabulary,
+                   pieces: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """One round over all words: expected uses of every piece, by language."""
+
+    def uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
+        for batch in batches:
+            langs = np.array(batch.column("lang").to_pylist(), dtype=object)
+            words = batch.column("word").to_pylist()
+            times = batch.column("n").to_numpy().astype(np.float64)
+            for lang in sorted(set(langs.tolist())):
+                own = np.flatnonzero(langs == lang)
+                total = np.zeros(vocabulary.size + 1)
+                for chunk, lattice in lattices([words[i] for i in own.tolist()], vocabulary):
+                    total += lattice.expected(pieces[lang], times[own[chunk]])
+                used = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)),
+                    pa.array(total[used])], names=["lang", "piece", "uses"])
+
+    rows = counts.mapInArrow(uses, "lang string, piece int, uses double").groupBy(
+        "lang", "piece").agg(F.sum("uses").alias("uses")).toArrow()  # as large as the model
+    langs = np.array(rows.column("lang").to_pylist(), dtype=object)
+    number, value = rows.column("piece").to_numpy(), rows.column("uses").to_numpy()
+    out = {lang: np.zeros(vocabulary.size + 1) for lang in pieces}
+    for lang, total in out.items():
+        own = langs == lang
+        total[number[own]] = value[own]
+    return out
+
+
 def fit(docs: DataFrame, vocabulary_path: str, per_language: int = FIT_DOCUMENTS,
-        most_words: int = FIT_WORDS, rounds: int = ROUNDS) -> Model:
+        rounds: int = ROUNDS) -> Model:
     """Learn piece probabilities from `docs` (doc_id, text, lang).
 
-    Uses at most `per_language` doc_ids of each non-null lang, those with the smallest hash,
-    and their most frequent `most_words` distinct words. Rows without a doc_id are not used.
-    Without labelled text the model has no language.
+    Uses at most `per_language` doc_ids of each non-null lang, those with the smallest hash, with
+    all their words. Rows without a doc_id are not used. Without labelled text the model has no
+    language.
     """
     order = Window.partitionBy("_lid_lang").orderBy("_lid_hash", "_lid_id")
     labelled = docs.dropna(subset=["doc_id", "lang", "text"]).select(
@@ -173,38 +279,16 @@ def fit(docs: DataFrame, vocabulary_path: str, per_language: int = FIT_DOCUMENTS
         (labelled["_lid_id"] == chosen["_lid_id"])
         & (labelled["_lid_lang"] == chosen["_lid_lang"]), "left_semi").select(
         F.col("_lid_lang").alias("lang"), "text")
-
-    def count(key: tuple, table: pa.Table) -> pa.Table:
-        drop_kept()
-        words = Counter()
-        for text in table.column("text").to_pylist():
-            words.update(letters_of(text))
-        top = sorted(words.items(), key=lambda x: (-x[1], x[0]))[:most_words]
-        return pa.table({"lang": pa.array([key[0].as_py()] * len(top), pa.string()),
-                         "word": pa.array([w for w, _ in top], pa.string()),
-                         "n": pa.array([n for _, n in top], pa.int64())})
-
-    counts = sample.select("lang", "text").groupBy("lang").applyInArrow(
-        count, "lang string, word string, n long").toPandas()
+    counts = durable(_word_counts(sample))
     vocabulary = piece_vocabulary(vocabulary_path)
-    languages = sorted(counts["lang"].unique())
-    pieces = []
-    for lang in languages:
-        rows = counts[counts["lang"] == lang].sort_values(["n", "word"], ascending=[False, True])
-        parts = Counter()
-        for word, n in zip(rows["word"], rows["n"]):
-            for s in stretches(word):
-                parts[s] += int(n)
-        by_length = sorted(parts, key=len)
-        chunks = [(Lattice(by_length[at:at + 5000], vocabulary),
-                   np.array([parts[w] for w in by_length[at:at + 5000]], dtype=np.float64))
-                  for at in range(0, len(by_length), 5000)]
-        p = np.full(len(vocabulary) + 1, 1.0 / (len(vocabulary) + 1))
-        for _ in range(rounds):
-            uses = sum(lattice.expected(p, n) for lattice, n in chunks)
-            p = (uses + 0.05) / (uses.sum() + 0.05 * len(uses))
-        pieces.append(p)
-    return Model(languages, vocabulary, np.array(pieces).reshape(len(languages), len(vocabulary) + 1))
+    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    n = vocabulary.size + 1
+    pieces = {lang: np.full(n, 1.0 / n) for lang in languages}
+    for _ in range(rounds if languages else 0):
+        uses = _expected_uses(counts, vocabulary, pieces)
+        pieces = {lang: (u + 0.05) / (u.sum() + 0.05 * n) for lang, u in uses.items()}
+    return Model(languages, vocabulary,
+                 np.array([pieces[k] for k in languages]).reshape(len(languages), n))
 
 
 class Scorer:
@@ -292,7 +376,9 @@ def held_out(doc_id: Column) -> Column:
 def identify(docs: DataFrame, vocabulary_path: str, **limits: int) -> DataFrame:
     """Per row: doc_id, held_out, lang_pred, score; fitted on rows that are not held out.
 
-    Needs doc_id, text and lang; other columns are ignored. A null doc_id counts as not held out.
+    Needs doc_id, text and lang; other columns are ignored. A null doc_id counts as not held out. A
+    null text, or one without a letter, is `und` with score 0; equal rows give equal rows; texts and
+    words of any length are scored whole; an empty table gives no rows.
     """
     model = fit(docs.filter(~held_out(F.col("doc_id"))), vocabulary_path, **limits)
     return predict(docs, model, F.col("doc_id").cast("long").alias("doc_id"),
@@ -301,7 +387,11 @@ def identify(docs: DataFrame, vocabulary_path: str, **limits: int) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, vocabulary_path: str, least: float = 0.5) -> DataFrame:
-    """Rows of `docs` with letters whose language is found with a score of `least` or more."""
+    """Rows of `docs` with letters whose language is found with a score of `least` or more.
+
+    Null and empty texts, and texts without a letter, go. Rows are judged one by one, so repeated
+    ones stay or go together; all columns stay as they are; an empty table gives no rows.
+    """
     model = fit(docs.filter(~held_out(F.col("doc_id"))), vocabulary_path)
     found = predict(docs, model, *[F.col(c) for c in docs.columns])
     return found.filter((F.col("_lid_pred") != UNDECIDED) & (F.col("_lid_score") >= least)).select(

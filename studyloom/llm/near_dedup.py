@@ -10,10 +10,10 @@
    group with a band value of its own, a large home is cut by hash. Two blocks meet if they share a band value, and
    only nodes that do take part. A task holds two blocks at most, whatever the size of a group of
    copies, and a node's full set travels once per block it meets.
-4. Where blocks meet, registers give collision-corrected estimates; pairs that the estimate
-   leaves open are confirmed on full sets, best first, but not if links found there connect them
-   already. So at most one link per node comes out, and no pair that could change a component is
-   skipped.
+4. Where blocks meet, registers give collision-corrected estimates, which order the pairs; every pair
+   whose sizes allow the similarity is confirmed on full sets, best first, but not if links found there
+   connect them already. So at most one link per node comes out, and no pair that could change a
+   component is skipped, whatever its estimate.
 5. Components of the links.
 """
 
@@ -37,7 +37,7 @@ BUCKETS = 1 << BUCKET_BITS
 EMPTY = 0xFFFF
 #: Chance that two unequal smallest hashes of a bucket get the same register.
 COLLISION = 2.0 ** -MANTISSA_BITS / 3
-#: Standard deviations below the threshold at which an estimate still leaves a pair open.
+#: Standard deviations below the threshold down to which pairs are taken best first.
 DOUBT = 5.0
 BLOCK_NODES, BLOCK_SHINGLES = 2048, 1_500_000
 #: A table of ids below this size may be sent to every executor.
@@ -110,44 +110,65 @@ def full_sets(docs: DataFrame, nodes: DataFrame, size: int = SHINGLE) -> DataFra
 
 def _block_links(nodes: list[int], sets: list[np.ndarray], side: np.ndarray,
                  threshold: int) -> list[tuple[int, int]]:
-    """Links that connect the nodes of two meeting blocks (or of one, if all are of one side)."""
+    """Links that connect the nodes of two meeting blocks (or of one, if all are of one side).
+
+    Pairs with a promising estimate come first, best first; then every other pair whose sizes allow
+    the similarity and that is not connected yet is checked on full sets, one node against many.
+    """
     n = len(nodes)
     signs = np.array([registers(s) for s in sets])
     lengths = np.array([len(s) for s in sets])
     one_block = bool((side == side[0]).all())
+
+    def allowed(i: int) -> np.ndarray:
+        """Later nodes that node i is to be compared with and whose size fits."""
+        fits = np.minimum(lengths[i + 1:], lengths[i]) * 100 >= threshold * np.maximum(
+            lengths[i + 1:], lengths[i])
+        return fits if one_block else fits & (side[i + 1:] != side[i])
+
     left, right, guess = [], [], []
     for i in range(n - 1):
         estimate, used = estimates(signs[i], signs[i + 1:])
-        open_ = estimate >= threshold / 100 - DOUBT * np.sqrt(0.1875 / used)
-        short = np.minimum(lengths[i + 1:], lengths[i]) * 100
-        open_ &= short >= threshold * np.maximum(lengths[i + 1:], lengths[i])
-        if not one_block:
-            open_ &= side[i + 1:] != side[i]
-        found = np.flatnonzero(open_)
+        likely = estimate >= threshold / 100 - DOUBT * np.sqrt(0.1875 / used)
+        found = np.flatnonzero(likely & allowed(i))
         left.append(np.full(len(found), i))
         right.append(found + i + 1)
         guess.append(estimate[found])
-    if not left:
-        return []
-    left, right, guess = map(np.concatenate, (left, right, guess))
-    root = list(range(n))
-
-    def top(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+    group = np.arange(n)
     links = []
-    for k in np.argsort(-guess, kind="stable").tolist():
-        i, j = int(left[k]), int(right[k])
-        a, b = top(i), top(j)
-        if a == b:
+
+    def similar(i: int, j: np.ndarray | int, both: np.ndarray | int) -> np.ndarray | bool:
+        return 100 * both >= threshold * (lengths[i] + lengths[j] - both)
+
+    def link(i: int, j: int) -> None:
+        group[group == group[j]] = group[i]
+        links.append((nodes[i], nodes[j]))
+
+    if left:
+        left, right, guess = map(np.concatenate, (left, right, guess))
+        for k in np.argsort(-guess, kind="stable").tolist():
+            i, j = int(left[k]), int(right[k])
+            if group[i] != group[j] and similar(
+                    i, j, len(np.intersect1d(sets[i], sets[j], assume_unique=True))):
+                link(i, j)
+    if (group == group[0]).all():
+        return links
+    every, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(lengths)
+    ids = [ids[e - k:e] for e, k in zip(ends.tolist(), lengths.tolist())]
+    present = np.zeros(len(every), dtype=bool)
+    for i in range(n - 1):
+        rest = np.flatnonzero(allowed(i) & (group[i + 1:] != group[i])) + i + 1
+        if not len(rest):
             continue
-        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-        if 100 * both >= threshold * (len(sets[i]) + len(sets[j]) - both):
-            root[max(a, b)] = min(a, b)
-            links.append((nodes[i], nodes[j]))
+        present[ids[i]] = True
+        starts = np.concatenate([[0], np.cumsum(lengths[rest])[:-1]])
+        both = np.add.reduceat(
+            present[np.concatenate([ids[j] for j in rest])].astype(np.int64), starts)
+        present[ids[i]] = False
+        for j in rest[similar(i, rest, both)].tolist():
+            if group[i] != group[j]:
+                link(i, j)
     return links
 
 

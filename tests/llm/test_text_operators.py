@@ -358,3 +358,33 @@ def test_empty_tables(no_docs, spark):
     assert near_duplicates(no_docs).count() == 0
     assert remove_repeats(no_docs).count() == 0
     assert mix(no_docs, [1, 2]).count() == 0
+
+
+def test_no_pair_is_lost_after_the_bands():
+    """Pairs just above the threshold, thousands of them: all are linked, below it none."""
+    from studyloom.llm.near_dedup import _block_links
+
+    rng = np.random.default_rng(4)
+    nodes, sets, want = [], [], set()
+    for k in range(2500):
+        n = int(rng.integers(4, 400))
+        # largest similarity below or least one from 75 % to 80 %, by shared shingles
+        both = int(rng.integers(-(-3 * n // 4), max(-(-3 * n // 4), 4 * n // 5) + 1)) - (k % 5 == 0)
+        every = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+        if len(every) < n:
+            continue
+        one = (n - both) // 2
+        pair = np.sort(every[:both + one]), np.sort(np.concatenate([every[:both], every[both + one:]]))
+        if not min(map(len, pair)):
+            continue
+        sets += pair
+        nodes += [2 * k, 2 * k + 1]
+        if 100 * both >= 75 * n:
+            want.add((2 * k, 2 * k + 1))
+    got = set()
+    for at in range(0, len(nodes), 200):
+        side = np.arange(len(nodes[at:at + 200])) % 2
+        got |= set(_block_links(nodes[at:at + 200], sets[at:at + 200], side, 75))
+        assert set(_block_links(nodes[at:at + 200], sets[at:at + 200], side * 0, 75)) == {
+            p for p in want if p[0] in nodes[at:at + 200]}
+    assert {tuple(sorted(p)) for p in got} == want and len(want) > 1500

@@ -185,28 +185,65 @@ def test_language_without_labels(spark, no_docs):
     assert identify(no_docs, PIECES).count() == 0
 
 
+def letter_pieces():
+    """Lower-cased pieces of letters, read from the file alone."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    pieces = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())
+              if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))}
+    return sorted(p for p in pieces if p and all(c.isalpha() for c in p.removeprefix("▁")))
+
+
 def test_forward_pass_sums_all_segmentations():
-    from studyloom.llm.language_id import Lattice, piece_vocabulary
-
-    vocabulary = piece_vocabulary(PIECES)
-    words = ["▁the", "▁ab中", "a", "▁tion"]
-    lattice = Lattice(words, vocabulary)
-    p = np.random.default_rng(1).random(len(vocabulary) + 1) / 10
-    _, total = lattice.forward(p)
-    for k, word in enumerate(words):
-        def ways(end):
-            return 1.0 if not end else sum(
-                ways(end - n) * p[lattice.use[n, k, end]] for n in range(1, min(8, end) + 1)
-                if lattice.use[n, k, end] >= 0)
-        assert total[k] == pytest.approx(ways(len(word)))
-    counts = np.array([3.0, 1.0, 2.0, 1.0])
-    uses, step = lattice.expected(p, counts), 1e-6
-    # expected uses are p times the slope of the log likelihood
-    for piece in np.flatnonzero(uses)[:6]:
-        q = p.copy()
-        q[piece] += step
-        slope = (counts * np.log(lattice.forward(q)[1] / total)).sum() / step
-        assert uses[piece] == pytest.approx(p[piece] * slope, rel=1e-3)
+    """Against sums that know only the vocabulary file and the probabilities, in exact fractions."""
+    from fractions import Fraction
+    from studyloom.llm import language_id as lid
+
+    vocabulary, pieces = lid.piece_vocabulary(PIECES), letter_pieces()
+    assert vocabulary.size == len(pieces) and vocabulary.longest == max(map(len, pieces)) == 16
+    number = {}
+    for piece in pieces:
+        h = np.zeros(1, np.uint64)
+        for sign in piece:
+            h = lid._extend(h, np.array([ord(sign)], np.uint64))
+        number[piece] = int(np.searchsorted(vocabulary.hashes, lid.mix(h)[0]))
+    assert sorted(number.values()) == list(range(len(pieces)))
+    p = np.random.default_rng(1).random((len(pieces) + 1, 2)) / 100
+    longest = next(x for x in pieces if len(x) == 16)
+    words = ["the", "ab中", "a", "tion", longest.removeprefix("▁"), "中" * 40,
+             "donaudampfschifffahrtselektrizitätenhauptbetriebswerkbauunterb", "q" * 500]
+    models = lid.Model(["x", "y"], vocabulary, p.T)
+    got = models.word_scores(words)
+    for model in range(2):
+        for k, word in enumerate(words):
+            marked = "▁" + word
+            sums = [Fraction(1)]
+            for end in range(1, len(marked) + 1):
+                total = Fraction(0)
+                for start in range(max(0, end - 16), end):
+                    piece = marked[start:end]
+                    if piece in number or len(piece) == 1:
+                        total += sums[start] * Fraction(float(p[number.get(piece, -1), model]))
+                sums.append(total)
+            want = math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+            assert got[k, model] == pytest.approx(want, rel=1e-9), word
+    counts = np.array([3.0, 1, 2, 1, 2, 1, 4, 1])
+    for order in (words, words[::-1]):
+        chunks = list(lid.lattices(order, vocabulary))
+        times = counts if order is words else counts[::-1]
+        uses = sum(lattice.expected(p[:, 0], times[chunk]) for chunk, lattice in chunks)
+
+        def likelihood(q):
+            return sum((times[c] * lat.forward(q.reshape(-1, 1))[2][:, 0]).sum() for c, lat in chunks)
+
+        # expected uses are p times the slope of the log likelihood
+        for piece in np.argsort(-uses)[:8]:
+            up, down = p[:, 0].copy(), p[:, 0].copy()
+            up[piece] *= 1 + 1e-5
+            down[piece] *= 1 - 1e-5
+            slope = (likelihood(up) - likelihood(down)) / 2e-5
+            assert uses[piece] == pytest.approx(slope, rel=1e-4)
 
 
 def brute_scores(rows, order, alpha, leave_out):
