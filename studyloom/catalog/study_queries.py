@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from studyloom.catalog.fixtures import Tables
 from studyloom.catalog.registry import query
 from studyloom.functions import jsontext, text
 from studyloom.operators import studies as ops
+from studyloom.plans import runs
+from studyloom.session import ensure_checkpoint_dir
 
 RECORD = ["file_path", "patient_name", "patient_id", "patient_age", "study_date",
           "study_modality", "station_name", "institution_name", "series_number",
@@ -135,7 +139,7 @@ def filter_reasons(t: Tables) -> DataFrame:
                               F.array_join("filter_results", "; ").alias("filter_results"))
 
 
-@query("filter_stats", "slices", f"""with {FILTERED_SQL[1:]}
+FILTER_STATS_SQL = f"""with {FILTERED_SQL[1:]}
 select count(*) as total_files_found, count_if(skip)::bigint as files_skipped, count_if(not skip)::bigint as files_processed,
  count_if(not skip and enough and complete)::bigint as files_passed_filters,
  count_if(not skip and not (enough and complete))::bigint as files_failed_filters,
@@ -143,11 +147,35 @@ select count(*) as total_files_found, count_if(skip)::bigint as files_skipped, c
  sum(after_dedup) filter (where not skip)::bigint as total_records_after_dedup,
  coalesce(sum(after_dedup) filter (where not skip and enough and complete), 0)::bigint as total_records_final
 from (select *, starts_with(source_file, '1992') as skip from filtered) x
-""")
+"""
+
+
+@query("filter_stats", "slices", FILTER_STATS_SQL)
 def filter_stats(t: Tables) -> DataFrame:
     return ops.filter_statistics(filtered(t), skipped=F.col("source_file").startswith("1992"))
 
 
+@query("observed_filter_run", "slices", FILTER_STATS_SQL)
+def observed_filter_run(t: Tables) -> DataFrame:
+    """The totals that a run collects while it writes its details."""
+    folder = f"{ensure_checkpoint_dir(t.spark)}/run-{uuid.uuid4().hex}"
+    figures = runs.write_filter_run(filtered(t), folder, {"min_files": str(MIN_FILES)},
+                                    skipped=F.col("source_file").startswith("1992"))
+    return t.spark.read.json(f"{folder}/document").select(
+        *[f"summary.{name}" for name in figures if name != "seconds"])
+
+
+@query("filter_run_details", "slices", f"""with {FILTERED_SQL[1:]}
+select source_file, case when skip then 'SKIPPED' when enough and complete then 'PASSED' else 'FAILED' end as status, case when not skip then original_records end as original_records,
+ case when not skip then after_dedup end as after_dedup, case when not skip and enough and complete then after_dedup end as final_records,
+ case when not skip and enough and complete then concat('S3_processForStore_', source_file) end as output_file
+from (select *, starts_with(source_file, '1992') as skip from filtered) x
+""")
+def filter_run_details(t: Tables) -> DataFrame:
+    return runs.file_details(filtered(t), F.col("source_file").startswith("1992")).drop(
+        "filter_results", "error")
+
+
 @query("filtered_store", "slices", f"""with {FILTERED_SQL[1:]}
 select d.* from deduped d join filtered f using (source_file) where enough and complete
 """)

@@ -234,11 +234,12 @@ def extraction_successes(extracted: DataFrame, path: str = "file_path") -> DataF
         path, "file_name", "parent_directory", "text_length", "extraction_data")
 
 
-def extraction_statistics(extracted: DataFrame, skipped: Column | None = None) -> DataFrame:
+def extraction_figures(skipped: Column | None = None) -> list[Column]:
+    """Totals of an extraction run as aggregates of `extract_reports`."""
     skip = skipped if skipped is not None else F.lit(False)
     good = ~skip & F.col("extraction_successful")
     processed = F.count_if(~skip)
-    return extracted.agg(
+    return [
         F.count(F.lit(1)).alias("total_documents"),
         processed.alias("processed_documents"),
         F.count_if(good).alias("successful_extractions"),
@@ -246,4 +247,8 @@ def extraction_statistics(extracted: DataFrame, skipped: Column | None = None) -
         F.count_if(skip).alias("skipped_documents"),
         F.count_if(good & (F.col("extraction_data.number_of_studies") == 0))
         .alias("empty_documents"),
-        (F.count_if(good) / F.greatest(processed, F.lit(1)) * 100).alias("success_rate"))
+        (F.count_if(good) / F.greatest(processed, F.lit(1)) * 100).alias("success_rate")]
+
+
+def extraction_statistics(extracted: DataFrame, skipped: Column | None = None) -> DataFrame:
+    return extracted.agg(*extraction_figures(skipped))
