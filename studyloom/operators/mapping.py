@@ -17,6 +17,8 @@ from studyloom.operators.leaders import first_come_leaders
 from studyloom.operators.skew import match_keys
 from studyloom.session import durable
 
+# Columns of the old database that may be absent.
+OPTIONAL_OLD = ["dir_to_root", "id_from_ct", "id_hospital", "old_date"]
 NEW_IDS = ["ID_fromCT", "DONOTPUBLISH_ID_fromCT", "patient_id"]
 
 
@@ -103,7 +105,12 @@ def old_groups(old: DataFrame) -> DataFrame:
 
 def _groups_of(keyed: DataFrame, kind: str) -> DataFrame:
     first = keyed.filter((F.col("_kind") == kind) & (F.col("group_id") == F.col("old_id")))
-    return first.select("_place", "_key", F.col("_day").alias("_old_day"), "group_id", "n_old")
+    return first.select("_place", "_key", F.col("_day").alias("old_day"), "group_id", "n_old",
+                        F.col("_place").alias("place"))
+
+
+# Columns of an edge between a new row and an old group.
+EDGE = ["new_id", "group_id", "n_old", "old_day", "new_day", "place"]
 
 
 def path_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
@@ -119,12 +126,11 @@ def path_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
     parts = text.path_ancestors(text.normal_path(F.col("dicom_folder_path")))
     prefixes = new.select(
         "new_id", text.strip(F.col("hospital")).alias("_place"),
-        _day(F.col("study_date")).alias("_new_day"),
+        _day(F.col("study_date")).alias("new_day"),
         F.explode(F.slice(parts, low, max(high - low + 1, 0))).alias("_key"))
     return (prefixes.join(groups, ["_place", "_key"])
-            .filter(days_agree(F.col("_new_day"), F.col("_old_day")))
-            .select("new_id", "group_id", "n_old", F.col("_old_day").alias("old_day"),
-                    F.col("_place").alias("place")))
+            .filter(days_agree(F.col("new_day"), F.col("old_day")))
+            .select(*EDGE))
 
 
 def id_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
@@ -133,11 +139,10 @@ def id_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
     ids = F.array_distinct(F.array_compact(F.array(*[text.strip(F.col(c)) for c in present])))
     candidates = new.select(
         "new_id", text.strip(F.col("hospital")).alias("_place"),
-        _day(F.col("study_date")).alias("_new_day"), F.explode(ids).alias("_key"))
+        _day(F.col("study_date")).alias("new_day"), F.explode(ids).alias("_key"))
     return (candidates.join(_groups_of(keyed_old, "id"), ["_place", "_key"])
-            .filter(days_agree(F.col("_new_day"), F.col("_old_day")))
-            .select("new_id", "group_id", "n_old", F.col("_old_day").alias("old_day"),
-                    F.col("_place").alias("place"))
+            .filter(days_agree(F.col("new_day"), F.col("old_day")))
+            .select(*EDGE)
             .distinct())
 
 
@@ -149,7 +154,7 @@ def match_edges(new: DataFrame, keyed_old: DataFrame) -> DataFrame:
     """
     by_path = path_edges(new, keyed_old).withColumn("strategy", F.lit("path"))
     by_id = id_edges(new, keyed_old).withColumn("strategy", F.lit("id"))
-    edges = durable(by_path.unionByName(by_id))
+    edges = durable(by_path.unionByName(by_id).select(*EDGE, "strategy"))
     phase = F.when(F.col("strategy") == "path", F.struct(
         F.lit(1).alias("phase"), F.lit(0).cast("bigint").alias("first_old"),
         F.col("new_id").cast("bigint").alias("new_id"))).otherwise(F.struct(
@@ -171,7 +176,7 @@ def propagate(edges: DataFrame, new: DataFrame) -> DataFrame:
     group = F.when(state == "first_occurrence", F.col("unique_number").cast("string")).when(
         state == "duplicate", F.col("is_duplicate_first_occurrence_un"))
     matched = edges.select("new_id").distinct().withColumn("_matched", F.lit(True))
-    rows = new.select("new_id", group.alias("_group")).filter(
+    rows = new.select("new_id", group.alias("_group"), _day(F.col("study_date")).alias("_day")).filter(
         F.col("_group").isNotNull()).join(matched, "new_id", "left")
     sources = rows.groupBy("_group").agg(
         F.min("new_id").alias("_first"),
@@ -179,15 +184,17 @@ def propagate(edges: DataFrame, new: DataFrame) -> DataFrame:
         F.col("_source").isNotNull())
     copies = (
         rows.filter(F.col("_matched").isNull()).join(sources, "_group")
-        .select(F.col("new_id").alias("_copy"), "_first", "_source")
+        .select(F.col("new_id").alias("_copy"), F.col("_day").alias("_copy_day"), "_first",
+                "_source")
         .join(edges.withColumnRenamed("new_id", "_source"), "_source")
         .withColumn("visit", F.struct(
             F.lit(3).alias("phase"), F.col("_first").cast("bigint").alias("first_old"),
             F.col("_copy").cast("bigint").alias("new_id")))
-        .select(F.col("_copy").alias("new_id"), "group_id", "n_old", "old_day", "place",
-                "strategy", "visit", F.lit(True).alias("propagated"))
+        .withColumns({"new_id": F.col("_copy"), "new_day": F.col("_copy_day")})
+        .select(*EDGE, "strategy", "visit", F.lit(True).alias("propagated"))
     )
-    return edges.withColumn("propagated", F.lit(False)).unionByName(copies)
+    return edges.select(*EDGE, "strategy", "visit", F.lit(False).alias("propagated")).unionByName(
+        copies)
 
 
 @dataclass
@@ -196,39 +203,42 @@ class Matches:
 
     new: DataFrame
     old: DataFrame      # with group_id
-    edges: DataFrame    # new_id, group_id, n_old, old_day, place, strategy, visit, propagated
-    leaders: DataFrame  # leader new_id of each conflict entry, with its class
+    #: EDGE, strategy, visit, propagated, n_new and n_olds (degrees of group and new row), and the
+    #: conflict entry that leads the group, if any: entry (a new_id) and its match_class
+    edges: DataFrame
 
 
 def match_databases(new: DataFrame, old: DataFrame) -> Matches:
     """Match, propagate and find the conflict entries.
 
     A new row with several old ones opens an entry, unless an earlier entry reached
-    it; an entry takes all new rows its old rows lead to.
+    it; an entry takes all new rows its old rows lead to. Entries share no old group, so the entry
+    is a property of the group. Optional old columns that are absent are null.
     """
-    keyed = durable(old_groups(old))
+    absent = {c: F.lit(None).cast("string") for c in OPTIONAL_OLD if c not in old.columns}
+    keyed = durable(old_groups(old.withColumns(absent) if absent else old))
     edges = match_edges(new, keyed)
     if "is_duplicate" in new.columns:
         edges = propagate(edges, new)
     else:
-        edges = edges.withColumn("propagated", F.lit(False))
+        edges = edges.select(*EDGE, "strategy", "visit", F.lit(False).alias("propagated"))
     news = durable(edges)
     reach = news.groupBy("group_id").agg(F.count(F.lit(1)).alias("n_new"))
     degrees = news.groupBy("new_id").agg(F.sum("n_old").alias("n_olds"))
     edges = durable(news.join(reach, "group_id").join(degrees, "new_id"))
     crowded = edges.filter(F.col("n_olds") > 1)
-    members = crowded.select(F.col("place").alias("block"), F.col("group_id").alias("clique"),
-                             F.col("visit").alias("node"))
-    led = first_come_leaders(members)
+    led = first_come_leaders(crowded.select(
+        F.col("place").alias("block"), F.col("group_id").alias("clique"),
+        F.col("visit").alias("node")))
     followers = led.filter(F.col("node") != F.col("leader")).select(
         F.col("node.new_id").alias("new_id"))
-    leaders = (
-        crowded.join(followers, "new_id", "left_anti")
-        .groupBy("new_id").agg(F.max("n_new").alias("_reach"))
-        .select("new_id", F.when(F.col("_reach") == 1, "many_to_one").otherwise("many_to_many")
-                .alias("match_class"))
-    )
-    return Matches(new, keyed, edges, durable(leaders))
+    leading = crowded.join(followers, "new_id", "left_anti")
+    classes = leading.groupBy("new_id").agg(F.max("n_new").alias("_reach")).select(
+        F.col("new_id"), F.when(F.col("_reach") == 1, "many_to_one").otherwise("many_to_many")
+        .alias("match_class"))
+    entries = leading.select("new_id", "group_id").join(classes, "new_id").select(
+        "group_id", F.col("new_id").alias("entry"), "match_class")
+    return Matches(new, keyed, durable(edges.join(entries, "group_id", "left")))
 
 
 def conflict_members(m: Matches) -> DataFrame:
@@ -243,13 +253,13 @@ def conflict_members(m: Matches) -> DataFrame:
     shared = many.select(F.lit("one_to_many").alias("match_class"),
                          F.col("old_id").alias("entry"), F.lit("new").alias("side"),
                          F.col("new_id").alias("member"))
-    led = m.edges.join(m.leaders, "new_id").select(
-        "match_class", F.col("new_id").alias("entry"), "group_id")
-    led_old = expand_edges(led, m.old).select(
-        "match_class", "entry", F.lit("old").alias("side"), F.col("old_id").alias("member"))
-    led_new = led.join(m.edges.select("group_id", "new_id"), "group_id").select(
-        "match_class", "entry", F.lit("new").alias("side"), F.col("new_id").alias("member")) \
-        .distinct()
+    led = m.edges.filter(F.col("entry").isNotNull())
+    led_old = expand_edges(
+        led.filter(F.col("new_id") == F.col("entry")).select("match_class", "entry", "group_id"),
+        m.old).select("match_class", "entry", F.lit("old").alias("side"),
+                      F.col("old_id").alias("member"))
+    led_new = led.select("match_class", "entry", F.lit("new").alias("side"),
+                         F.col("new_id").alias("member")).distinct()
     pairs = expand_edges(single, m.old)
     single_old = pairs.select("match_class", "entry", F.lit("old").alias("side"),
                               F.col("old_id").alias("member"))
@@ -259,30 +269,39 @@ def conflict_members(m: Matches) -> DataFrame:
             .unionByName(led_old).unionByName(led_new))
 
 
+# Bits of what applies to a matched new row, strongest colour first.
+RED, YELLOW, CYAN, GREEN = 1, 2, 4, 8
+COLOURS = {RED: "red", YELLOW: "yellow", CYAN: "cyan", GREEN: "dark_green"}
+
+
+def _edge_bits() -> Column:
+    """Which colours an edge calls for: a led group, a shared old row, a propagated match, other dates."""
+    other_day = (F.col("new_day").isNotNull() & (F.col("old_day") != "")
+                 & (F.col("old_day") != F.col("new_day")))
+    bits = {RED: F.col("entry").isNotNull(), YELLOW: F.col("n_new") > 1,
+            CYAN: F.col("propagated"), GREEN: other_day}
+    mask = F.lit(0)
+    for bit, applies in bits.items():
+        mask = mask.bitwiseOR(F.when(applies, bit).otherwise(0))
+    return mask
+
+
+def _colour(mask: Column) -> Column:
+    named = F.lit(None).cast("string")
+    for bit in sorted(COLOURS, reverse=True):
+        named = F.when(mask.bitwiseAND(bit) > 0, COLOURS[bit]).otherwise(named)
+    return named
+
+
 def date_mismatches(m: Matches) -> DataFrame:
     """Matched new rows where the date of a matched old row differs."""
-    dated = m.new.select("new_id", _day(F.col("study_date")).alias("_new_day")).filter(
-        F.col("_new_day").isNotNull())
-    return (
-        m.edges.join(dated, "new_id")
-        .filter((F.col("old_day") != "") & (F.col("old_day") != F.col("_new_day")))
-        .select("new_id").distinct()
-    )
+    return m.edges.filter(_edge_bits().bitwiseAND(GREEN) > 0).select("new_id").distinct()
 
 
 def highlights(m: Matches) -> DataFrame:
     """(new_id, highlight) of matched new rows, the strongest colour that applies."""
-    red = (m.edges.join(m.leaders, "new_id").select("group_id").distinct()
-           .join(m.edges.select("group_id", "new_id"), "group_id").select("new_id").distinct()
-           .withColumn("_red", F.lit(True)))
-    flags = m.edges.groupBy("new_id").agg(
-        F.bool_or(F.col("n_new") > 1).alias("_yellow"),
-        F.bool_or("propagated").alias("_cyan"))
-    wrong = date_mismatches(m).withColumn("_green", F.lit(True))
-    colour = (F.when(F.col("_red"), "red").when(F.col("_yellow"), "yellow")
-              .when(F.col("_cyan"), "cyan").when(F.col("_green"), "dark_green"))
-    return (flags.join(red, "new_id", "left").join(wrong, "new_id", "left")
-            .select("new_id", colour.alias("highlight")))
+    return m.edges.groupBy("new_id").agg(F.bit_or(_edge_bits()).alias("_mask")).select(
+        "new_id", _colour(F.col("_mask")).alias("highlight"))
 
 
 BACKWARD = {
@@ -300,43 +319,38 @@ def merged_table(m: Matches) -> DataFrame:
     Clean and 1-to-many matches carry the old columns; conflicting new rows stay
     unmerged; old rows in conflicts are only in the conflict members.
     """
-    back = m.old.select(F.col("old_id").alias("_old"), F.col("hospital").alias("_old_hospital"),
-                        *[F.col(c).alias(a) for c, a in BACKWARD.items()])
-    colours = highlights(m)
-    new = m.new.join(colours, "new_id", "left")
-
-    def section(number: int, name: str) -> dict[str, Column]:
-        return {"section_no": F.lit(number), "section": F.lit(name)}
-
-    clean = m.edges.filter((F.col("n_olds") == 1) & (F.col("n_new") == 1)).select(
-        "new_id", "group_id").withColumns(section(1, "one_to_one"))
-    shared = m.edges.filter(F.col("n_new") > 1).select("new_id", "group_id").withColumns(
-        section(2, "one_to_many"))
-    with_old = (
-        expand_edges(clean.unionByName(shared), m.old)
-        .join(back, F.col("old_id") == F.col("_old"))
-        .drop("old_id", "group_id", "_old", "_old_hospital").join(new, "new_id")
-    )
-    led = m.edges.join(m.leaders, "new_id").select(
-        F.col("new_id").alias("entry"), "match_class", "group_id")
-    reached = (led.join(m.edges.select("group_id", "new_id"), "group_id")
-               .select("entry", "match_class", "new_id").distinct())
-    conflicts = reached.select(
-        "new_id", F.when(F.col("match_class") == "many_to_one", 3).otherwise(4)
-        .alias("section_no"), F.col("match_class").alias("section")).join(new, "new_id")
-    untouched = new.join(m.edges.select("new_id").distinct(), "new_id", "left_anti").withColumns(
-        section(5, "unmatched_new"))
-    used = (m.edges.filter((F.col("n_new") > 1) | (F.col("n_olds") == 1)).select("group_id")
-            .unionByName(led.select("group_id")).distinct())
-    free = m.old.select("old_id", "group_id").join(used, "group_id", "left_anti").select(
-        F.col("old_id").alias("_free"))
-    only_old = (free.join(back, F.col("_free") == F.col("_old"))
-                .withColumnRenamed("_old_hospital", "hospital").drop("_free", "_old")
-                .withColumns(section(6, "unmatched_old")))
-    merged = with_old
-    for part in (conflicts, untouched, only_old):
-        merged = merged.unionByName(part, allowMissingColumns=True)
-    return merged
+    kinds = "struct<section_no:int,section:string,group_id:bigint>"
+
+    def section(number: int | Column, name: str | Column, group: Column) -> Column:
+        return F.struct(
+            (number if isinstance(number, Column) else F.lit(number)).cast("int")
+            .alias("section_no"), (name if isinstance(name, Column) else F.lit(name))
+            .alias("section"), group.cast("bigint").alias("group_id")).cast(kinds)
+
+    group, alone = F.col("group_id"), F.lit(None).cast("bigint")
+    merged = F.when(F.col("n_new") > 1, section(2, "one_to_many", group)).when(
+        F.col("n_olds") == 1, section(1, "one_to_one", group))
+    led = F.when(F.col("entry").isNotNull(), F.struct(F.col("entry"), section(
+        F.when(F.col("match_class") == "many_to_one", 3).otherwise(4), F.col("match_class"), alone)
+        .alias("place")))
+    # everything about a new row in one aggregate: colour, old groups to merge, conflict entries
+    facts = m.edges.groupBy("new_id").agg(
+        F.bit_or(_edge_bits()).alias("_mask"), F.collect_list(merged).alias("_merged"),
+        F.collect_set(led).alias("_led"))
+    facts = facts.select("new_id", _colour(F.col("_mask")).alias("highlight"), F.concat(
+        F.col("_merged"), F.transform("_led", lambda x: x["place"])).alias("_places"))
+    untouched = F.array(section(5, "unmatched_new", alone))
+    placed = m.new.join(facts, "new_id", "left").withColumn(
+        "_place", F.explode(F.coalesce("_places", untouched))).select(
+        *m.new.columns, "highlight", "_place.*")
+    back = m.old.select("group_id", *[F.col(c).alias(a) for c, a in BACKWARD.items()])
+    new_rows = placed.join(back, "group_id", "left").drop("group_id")
+    used = m.edges.filter((F.col("n_new") > 1) | (F.col("n_olds") == 1)
+                          | F.col("entry").isNotNull()).select("group_id").distinct()
+    only_old = m.old.join(used, "group_id", "left_anti").select(
+        "hospital", *[F.col(c).alias(a) for c, a in BACKWARD.items()],
+        F.lit(6).alias("section_no"), F.lit("unmatched_old").alias("section"))
+    return new_rows.unionByName(only_old, allowMissingColumns=True)
 
 
 def highlight_counts(merged: DataFrame) -> DataFrame:

@@ -151,3 +151,14 @@ def test_conflict_log_has_one_shape_for_all_sizes(spark, n):
     counts = {r.match_class: r.entries for r in ops.match_class_counts(m).collect()}
     assert counts == {"one_to_many": 1}
     assert ops.highlight_counts(ops.merged_table(m)).filter(F.col("highlight") == "yellow").first().rows == n
+
+
+def test_optional_old_columns_may_be_absent(spark):
+    new = [(1, "H", "/d/p", "P1", "20200101", 1, "unique", ""), (2, "H", None, "P2", None, 2, "unique", "")]
+    old = spark.createDataFrame([(500, "H", "P1"), (501, "H", "P3")],
+                                "old_id long, hospital string, id_from_ct string")
+    m = ops.match_databases(spark.createDataFrame(new, NEW), old)
+    got = sorted((r.section_no, r.new_id or 0, r.backward_CT_No_Final or 0)
+                 for r in ops.merged_table(m).collect())
+    assert got == [(1, 1, 500), (5, 2, 0), (6, 0, 501)]
+    assert ops.merged_table(m).filter("backward_date is not null").isEmpty()
