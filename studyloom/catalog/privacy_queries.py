@@ -61,11 +61,12 @@ def age_jitter(t: Tables) -> DataFrame:
 
 @query("reident_map", "slices", f"""with {HEADS}
 select hash_id, patient_id as original_patient_id, patient_name as original_patient_name, study_date as original_study_date, {MOVED_DATE} as shifted_study_date, {DAYS} as date_shift_days, {YEARS} as age_jitter_years,
- series_number, institution_name as institution from heads
+ series_number, institution_name as institution, concat('site_', series_number) as source_folder from heads
 """)
 def reident_map(t: Tables) -> DataFrame:
-    return ops.reidentification_table(ops.series_heads(t.slices, ["study_no", "series_number"]),
-                                      SALT)
+    slices = t.slices.withColumn("source_folder", F.concat(F.lit("site_"), "series_number"))
+    return ops.reidentification_table(
+        ops.series_heads(slices, ["study_no", "series_number"]), SALT).drop("created_timestamp")
 
 
 @query("metadata_split", "slices", f"""with {HEADS}

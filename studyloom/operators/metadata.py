@@ -86,8 +86,8 @@ def with_protected_document(heads: DataFrame, salt: str, key: str | Column) -> D
         .alias("patient_information"),
         F.struct("study_modality", "institution_name", "station_name", "series_number",
                  *[_field(heads, c).alias(c) for c in (
-                     "study_description", "study_body_part", "study_protocol",
-                     "study_comments")]).alias("study_information"),
+                     "study_time", "study_series_description", "study_description",
+                     "study_body_part", "study_protocol", "study_comments")]).alias("study_information"),
         F.struct(*PUBLIC_SPATIAL, "image_type").alias("technical_parameters"),
         _validation(heads).alias("geometry_analysis"),
         jsontext.drop_empty_fields(record).alias("additional_fields"),
@@ -103,10 +103,13 @@ def series_files(slices: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def reidentification_table(heads: DataFrame, salt: str) -> DataFrame:
-    """Hash to original and shifted values; belongs in a restricted place."""
+    """Hash to original and shifted values, with the series' source and the time of writing; belongs in
+    a restricted place."""
     return with_shifts(heads, salt).select(
         "hash_id", F.col("patient_id").alias("original_patient_id"),
         F.col("patient_name").alias("original_patient_name"),
         F.col("study_date").alias("original_study_date"), "shifted_study_date",
         "date_shift_days", "age_jitter_years", "series_number",
-        F.col("institution_name").alias("institution"))
+        F.col("institution_name").alias("institution"),
+        _field(heads, "source_folder").alias("source_folder"),
+        F.current_timestamp().alias("created_timestamp"))

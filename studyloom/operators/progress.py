@@ -160,11 +160,16 @@ def studies_to_archive(studies: DataFrame, ledger: DataFrame, archives: DataFram
                        key: str = "study") -> DataFrame:
     """Studies whose archive is not done: completed in the ledger, present and readable.
 
-    `archives(study, readable)` lists the archives there are; failures are tried again.
+    `archives(study, readable)` lists the archives there are, one row per part, and may name the
+    number of parts a study should have in `parts`: one unreadable or missing part undoes the study.
+    Failures are tried again.
     """
     completed = latest(ledger, ["key"]).filter(F.col("status").isin(DONE)).select(
         F.col("key").alias(key))
-    present = archives.filter("readable").select(key)
+    whole = F.bool_and(F.coalesce("readable", F.lit(False)))
+    if "parts" in archives.columns:
+        whole = whole & (F.count(F.lit(1)) >= F.coalesce(F.max("parts"), F.lit(1)))
+    present = archives.groupBy(key).agg(whole.alias("_whole")).filter("_whole").select(key)
     return studies.join(completed.join(present, key, "left_semi"), key, "left_anti")
 
 

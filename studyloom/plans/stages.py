@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from studyloom.functions import labels
+from studyloom.functions import labels, text
 from studyloom.operators import consolidate, mapping, reports, series, studies
 from studyloom.schemas import SLICE_FIELDS
 from studyloom.session import durable
@@ -31,7 +31,7 @@ def index_and_filter(spark: SparkSession, folder: str | Sequence[str], min_files
     """Record files of one or several locations to study summary and to the studies that pass.
 
     A study is (source_folder, source_file). The parsed records are written once; everything
-    after groups by study.
+    after groups by study. The summary names the project of each study's location.
     """
     study = files.STUDY_KEY
     locations = [folder] if isinstance(folder, str) else list(folder)
@@ -39,7 +39,9 @@ def index_and_filter(spark: SparkSession, folder: str | Sequence[str], min_files
         files.read_records(spark, each, skip=skip) for each in locations]))
     records = files.good_records(raw)
     counts = durable(reduce(DataFrame.unionByName, [
-        files.line_counts(spark, each, skip) for each in locations]))
+        files.line_counts(spark, each, skip).withColumn(
+            "project_name", text.project_name(F.lit(each), F.lit(i)))
+        for i, each in enumerate(locations, 1)]))
     first = studies.study_summary(records, study, order=["line_no"]).drop("ct_objects_count")
     summary = counts.join(first, study, "left")
     per_study = counts.select(*study).join(

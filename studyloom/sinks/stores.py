@@ -20,9 +20,18 @@ def with_bucket(df: DataFrame, study: str, buckets: int) -> DataFrame:
 
 
 def append_store(slices: DataFrame, path: str, study: str = "source_file",
-                 buckets: int = 64) -> None:
-    with_bucket(slices, study, buckets).write.mode("append").partitionBy("study_bucket") \
-        .parquet(path)
+                 buckets: int = 64, batch: str | None = None) -> None:
+    """Add slices to a store with a folder per bucket of studies.
+
+    With a `batch` name the rows are that batch's own, so a repeated run replaces what it wrote before
+    instead of doubling it; without one they are added as they are.
+    """
+    named = with_bucket(slices, study, buckets)
+    if batch is None:
+        named.write.mode("append").partitionBy("study_bucket").parquet(path)
+        return
+    (named.withColumn("batch", F.lit(batch)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch", "study_bucket").parquet(path))
 
 
 def overwrite_batch(df: DataFrame, path: str, batch: str, partition: str = "batch") -> None:

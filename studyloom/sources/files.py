@@ -29,6 +29,27 @@ SKIP_FILES = [
     "S2_ALL_PATIENTS_inCT.xlsx",
 ]
 
+# The skip lists of the filter stage and of the study archives.
+FILTER_SKIP_FILES = [
+    "ALL_PATIENTS_inCT.json",
+    "ALL_PATIENTS_inCT.jsonl",
+    "summary.jsonl",
+    "CONCAT_ALL.jsonl",
+    "processed_files.jsonl",
+    "temp.jsonl",
+    "backup.jsonl",
+    "test.jsonl",
+    "S3_processForStore.json",
+]
+ARCHIVE_SKIP_FILES = [
+    ".DS_Store",
+    "Thumbs.db",
+    "desktop.ini",
+    ".gitkeep",
+    "README.md",
+    "log.txt",
+]
+
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 

@@ -89,6 +89,17 @@ def test_archives_are_done_when_noted_present_and_readable(spark):
     assert got == {"b", "c", "d"}
 
 
+def test_one_bad_or_missing_part_undoes_an_archive(spark):
+    studies = spark.createDataFrame([(x,) for x in "abc"], "study string")
+    ledger = spark.createDataFrame([(x, "ok", 1) for x in "abc"],
+                                   "key string, status string, ts int")
+    archives = spark.createDataFrame(
+        [("a", True, 2), ("a", True, 2), ("b", True, 2), ("b", False, 2), ("c", True, 2)],
+        "study string, readable boolean, parts int")
+    got = {r.study for r in progress.studies_to_archive(studies, ledger, archives).collect()}
+    assert got == {"b", "c"}
+
+
 def test_series_are_done_by_ledger_or_output_files(spark):
     tracker = spark.createDataFrame([("h1",), ("h2",), ("h3",), ("h4",)], "hash_id string")
     ledger = spark.createDataFrame([("h1", "ok"), ("Er_h2", "failed")],

@@ -118,6 +118,7 @@ def test_equal_file_names_are_different_studies(spark, tmp_path):
         assert {(r.source_folder.rpartition("/")[2], r.passed)
                 for r in done.filters.collect()} == {("a", False), ("b", True)}
         assert {r.patient_id for r in done.kept.collect()} == {"P2"}
+    assert {r.project_name.rpartition("_._")[2] for r in done.summary.collect()} == {"a", "b"}
 
 
 def test_index_and_filter_end_to_end(spark, site):
@@ -279,6 +280,10 @@ def test_stores_documents_and_chunks(spark, tmp_path):
     stores.append_store(df, str(tmp_path / "store"), buckets=4)
     stores.append_store(df, str(tmp_path / "store"), buckets=4)
     assert spark.read.parquet(str(tmp_path / "store")).count() == 4
+    for _ in range(2):
+        stores.append_store(df, str(tmp_path / "batches"), buckets=4, batch="run1")
+    stores.append_store(df, str(tmp_path / "batches"), buckets=4, batch="run2")
+    assert spark.read.parquet(str(tmp_path / "batches")).count() == 4
     for _ in range(2):
         stores.write_filtered_store(df, str(tmp_path / "kept"), buckets=4)
     kept = spark.read.parquet(str(tmp_path / "kept"))
