@@ -12,7 +12,7 @@ from studyloom.functions import jsontext, report_fields, text
 from studyloom.functions.staging import computed_once
 from studyloom.operators import reports as ops
 from studyloom.operators.skew import number_rows
-from studyloom.session import ensure_checkpoint_dir
+from studyloom.session import ensure_checkpoint_dir, own
 from studyloom.sources import documents
 
 TRIM = "trim({c}, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13)))"
@@ -56,7 +56,8 @@ def write_report_maps(reports: DataFrame) -> str:
         F.when(F.lag("file_path").over(order).isNull(), "{").otherwise(","),
         F.substr(entry, F.lit(2), F.length(entry) - 2),
         F.when(F.lead("file_path").over(order).isNull(), "}").otherwise("")).alias("value"))
-    folder = f"{ensure_checkpoint_dir(reports.sparkSession)}/maps-{uuid.uuid4().hex}"
+    spark = reports.sparkSession
+    folder = own(spark, f"{ensure_checkpoint_dir(spark)}/maps-{uuid.uuid4().hex}")
     lines.write.partitionBy("source_processed_dir").text(folder)
     return folder
 

@@ -11,7 +11,7 @@ from studyloom.catalog.registry import query
 from studyloom.functions import jsontext, text
 from studyloom.operators import studies as ops
 from studyloom.plans import runs
-from studyloom.session import ensure_checkpoint_dir
+from studyloom.session import ensure_checkpoint_dir, own
 
 RECORD = ["file_path", "patient_name", "patient_id", "patient_age", "study_date",
           "study_modality", "station_name", "institution_name", "series_number",
@@ -158,7 +158,7 @@ def filter_stats(t: Tables) -> DataFrame:
 @query("observed_filter_run", "slices", FILTER_STATS_SQL)
 def observed_filter_run(t: Tables) -> DataFrame:
     """The totals that a run collects while it writes its details."""
-    folder = f"{ensure_checkpoint_dir(t.spark)}/run-{uuid.uuid4().hex}"
+    folder = own(t.spark, f"{ensure_checkpoint_dir(t.spark)}/run-{uuid.uuid4().hex}")
     figures = runs.write_filter_run(filtered(t), folder, {"min_files": str(MIN_FILES)},
                                     skipped=F.col("source_file").startswith("1992"))
     return t.spark.read.json(f"{folder}/document").select(

@@ -42,16 +42,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-# Tables written by `durable`, per session.
+# Folders below the checkpoint folder and catalog tables to give up, per session.
 _WRITTEN: dict[str, list[str]] = {}
+_TABLES: dict[str, list[str]] = {}
+
+
+def own(spark: SparkSession, path: str, table: str | None = None) -> str:
+    """Have `release` delete a folder, and drop a catalog table, that only this session uses."""
+    session = spark.sparkContext.applicationId
+    if session not in _WRITTEN:
+        _WRITTEN[session] = []
+        atexit.register(_release_at_exit, spark)
+    _WRITTEN[session].append(path)
+    if table is not None:
+        _TABLES.setdefault(session, []).append(table)
+    return path
 
 
 def release(spark: SparkSession) -> int:
-    """Delete the tables that `durable` has written in this session; their number.
+    """Delete what `durable` has written in this session and what it owns; the number of folders.
 
     Runs by itself when the driver ends; a long-lived session calls it once its results are
     written. Data frames that still read such a table cannot be used afterwards.
     """
+    for name in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"drop table if exists {name}")
     paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
     for name in paths:
         path = spark._jvm.org.apache.hadoop.fs.Path(name)
@@ -88,12 +103,7 @@ def durable(df: DataFrame) -> DataFrame:
     it is written.
     """
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    session = spark.sparkContext.applicationId
-    if session not in _WRITTEN:
-        _WRITTEN[session] = []
-        atexit.register(_release_at_exit, spark)
-    _WRITTEN[session].append(path)
+    path = own(spark, f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}")
     with _shuffle_files_removed(spark):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -55,3 +55,13 @@ def test_release_deletes_what_durable_wrote(spark):
     folder = Path(kept.inputFiles()[0].removeprefix("file://")).parent
     assert folder.exists() and session.release(spark) == 1
     assert not folder.exists() and session.release(spark) == 0
+
+
+def test_release_drops_owned_tables(spark, tmp_path):
+    from studyloom import session
+
+    session.release(spark)
+    path = session.own(spark, str(tmp_path / "owned"), "owned_numbers")
+    spark.range(3).write.option("path", path).saveAsTable("owned_numbers")
+    assert session.release(spark) == 1
+    assert not spark.catalog.tableExists("owned_numbers") and not (tmp_path / "owned").exists()
