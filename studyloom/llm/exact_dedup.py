@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from studyloom.session import durable, ensure_checkpoint_dir
+from studyloom.session import durable, ensure_checkpoint_dir, own
 
 
 def normalised(text: Column) -> Column:
@@ -33,7 +33,7 @@ class DigestIndex:
     """Digests seen so far and the document kept for each: (digest, keep_id).
 
     `table` names an existing or new catalog table; without it a new one is made below
-    `spark.checkpoint.dir`. `buckets` is fixed when the table is made.
+    `spark.checkpoint.dir` and goes with `session.release`. `buckets` is fixed when the table is made.
     """
 
     def __init__(self, spark: SparkSession, table: str | None = None, buckets: int | None = None,
@@ -42,6 +42,8 @@ class DigestIndex:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.table = table or f"digest_index_{uuid.uuid4().hex}"
         self.path = path or f"{ensure_checkpoint_dir(spark)}/{self.table}"
+        if table is None:
+            own(spark, self.path, self.table)
 
     def exists(self) -> bool:
         return self.spark.catalog.tableExists(self.table)
@@ -70,8 +72,9 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
     Of equal new texts the row with the largest doc_id stays; a null doc_id is the smallest. Of
     rows with equal text and doc_id one stays. A text that the index already holds stays out
-    and keep_id is the indexed document. Null text counts as empty. An empty batch gives no
-    rows and leaves an empty index.
+    and keep_id is the indexed document. Null text counts as empty; texts of any length are digested
+    whole. An empty batch gives no rows and leaves an empty index. A batch that was appended before keeps
+    nothing when it is given again, so a failed run starts again from the index it began with.
     """
     rows = durable(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), text_digest(F.col("text")).alias("digest"),
@@ -97,15 +100,20 @@ def deduplicate(docs: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def keep_distinct(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The rows of `docs` that `deduplicate` keeps, all columns."""
-    kept = durable(deduplicate(docs, index).filter("kept").select(
-        F.col("doc_id").alias("_exact_id"), F.col("text_sha256").alias("_exact_kept")))
+    """The rows of `docs` that `deduplicate` keeps, all columns; nulls, repeated rows, long texts and
+    empty tables as there.
+
+    The few that go are taken out by an anti-join, so the texts need not be shuffled.
+    """
+    decided = durable(deduplicate(docs, index).groupBy(
+        F.col("doc_id").alias("_exact_id"), F.col("text_sha256").alias("_exact_sha")).agg(
+        F.bool_or("kept").alias("_exact_kept"), F.count(F.lit(1)).alias("_exact_rows")))
+    gone = decided.filter(~F.col("_exact_kept")).select("_exact_id", "_exact_sha")
     marked = docs.withColumn("_exact_digest", text_digest(F.col("text")))
     staying = marked.join(
-        kept, marked["doc_id"].cast("long").eqNullSafe(F.col("_exact_id"))
-        & (F.col("_exact_digest") == F.col("_exact_kept")), "left_semi")
-    repeated = (docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1)
-                .count())
-    if repeated:  # rows equal in doc_id and text: the join keeps all of them
+        gone, marked["doc_id"].cast("long").eqNullSafe(F.col("_exact_id"))
+        & (F.col("_exact_digest") == F.col("_exact_sha")), "left_anti")
+    if not decided.where("_exact_kept and _exact_rows > 1").isEmpty():
+        # rows equal in doc_id and text: one of them stays
         staying = staying.dropDuplicates(["doc_id", "_exact_digest"])
     return staying.drop("_exact_digest")

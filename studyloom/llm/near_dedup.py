@@ -277,7 +277,11 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, size: int = SHINGLE) -
 
 
 def keep_one_of_each(docs: DataFrame, threshold: int = 75) -> DataFrame:
-    """The rows of `docs` without those that `near_duplicates` does not keep."""
+    """The rows of `docs` without those that `near_duplicates` does not keep.
+
+    Rows of one doc_id stay or go together; rows without a doc_id, and null or empty texts, stay; all
+    columns stay as they are; an empty table gives no rows. Texts are compared whole.
+    """
     dropped = near_duplicates(docs, threshold).filter("not kept").select(
         F.col("doc_id").alias("_near_dropped")).distinct()
     return docs.join(dropped, docs["doc_id"].cast("long") == dropped["_near_dropped"], "left_anti")

@@ -122,7 +122,12 @@ def pack(encoded: DataFrame, size: int = LENGTH, linear: float = LINEAR,
 
 def pack_texts(docs: DataFrame, vocabulary: str, size: int = LENGTH, linear: float = LINEAR,
                quadratic: float = QUADRATIC, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """`pack` for the ids of texts (doc_id, text), encoded by the same task. Null text: the end id."""
+    """`pack` for the ids of texts (doc_id, text), encoded by the same task.
+
+    A null or empty text has the end id alone, so each row gives a piece; a null doc_id stays null;
+    equal rows are documents of their own; an empty table gives no rows; other columns are ignored.
+    Texts are encoded whole, and one of any length is cut into whole sequences and a rest.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _pack_stream(encode_batches(batches, vocabulary), size, linear, quadratic,
                             block_tokens)

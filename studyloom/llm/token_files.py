@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from studyloom.llm.encoding import encode_batches
-from studyloom.session import ensure_checkpoint_dir
+from studyloom.session import ensure_checkpoint_dir, own
 
 SHARD_IDS = 1_000_000
 SAMPLE = 256
@@ -98,10 +98,13 @@ def write_store(docs: DataFrame, vocabulary: str, path: str | None = None,
     """Encode `docs` (doc_id, text) into a store below `path`, ascending by doc_id; its path.
 
     Rows without a doc_id come first, equal doc_ids follow each other by text. Null text is empty
-    and has the end id alone. Documents are sorted as texts and encoded after that, so the range
-    sampling does not encode anything.
+    and has the end id alone; repeated rows are stored as often as they are there; an empty table
+    gives a store without shards; other columns are ignored. A text of any length is encoded whole and
+    lies in one shard. Documents are sorted as texts and encoded after that, so the range sampling does
+    not encode anything. Without `path` the store goes with `session.release`.
     """
-    path = path or f"{ensure_checkpoint_dir(docs.sparkSession)}/tokens-{uuid.uuid4().hex}"
+    spark = docs.sparkSession
+    path = path or own(spark, f"{ensure_checkpoint_dir(spark)}/tokens-{uuid.uuid4().hex}")
     names = ["part", "shard", "n_ids", "width", "doc_ids", "ends", "ids"]
     types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(),
              pa.binary()]
@@ -174,7 +177,10 @@ def read_store(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def document_digests(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of a store: doc_id, start, n_tokens, ids_crc32."""
+    """Per document of a store: doc_id, start, n_tokens, ids_crc32; no rows for an empty store.
+
+    Null doc_ids and repeated documents are given as they were stored.
+    """
     documents, starts = read_store(spark, path)
     narrow = documents.select("part", "shard", "doc_id", "begin", "n_tokens",
                               F.crc32("ids").alias("ids_crc32"))
