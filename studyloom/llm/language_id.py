@@ -36,6 +36,9 @@ KEPT_WORDS = 250_000
 TOGETHER = 400_000
 #: Ends after which sums are scaled.
 SCALED = 8
+#: Letters from which on a word is passed over alone, in stretches that hand on the sums of the last
+#: ends; the fit counts the pieces of such a word by stretches.
+LONG = 4096
 UNDECIDED = "und"
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -202,10 +205,43 @@ class Model:
         """Log probabilities, words x languages."""
         out = np.zeros((len(words), len(self.languages)))
         p = np.ascontiguousarray(self.pieces.T)
-        for chunk, lattice in lattices(words, self.vocabulary):
-            out[chunk] = lattice.forward(p)[2]
+        usual = np.array([k for k, w in enumerate(words) if len(w) < LONG], dtype=np.int64)
+        for chunk, lattice in lattices([words[k] for k in usual.tolist()], self.vocabulary):
+            out[usual[chunk]] = lattice.forward(p)[2]
+        for k, word in enumerate(words):
+            if len(word) >= LONG:
+                out[k] = self.long_score(word, p)
         return out
 
+    def long_score(self, word: str, p: np.ndarray) -> np.ndarray:
+        """Log probabilities of one long word: stretch by stretch, with the last sums carried on."""
+        codes, longest = _codes([MARK + word])[0][0], self.vocabulary.longest
+        last = [np.ones(p.shape[1])]  # sums up to the last ends, the newest at the end
+        scale = np.zeros(p.shape[1])
+        for first in range(0, len(codes), LONG):
+            begin, end = max(0, first - longest + 1), min(len(codes), first + LONG)
+            hashes = np.zeros(end - begin, dtype=np.uint64)
+            found = []
+            for n in range(1, min(longest, end - begin) + 1):
+                hashes = _extend(hashes[:end - begin - n + 1], codes[begin + n - 1:end])
+                pieces = self.vocabulary.find(mix(hashes))
+                if n == 1:
+                    pieces[pieces < 0] = self.vocabulary.size
+                found.append(pieces.tolist())
+            for to in range(first + 1, end + 1):
+                total = np.zeros(p.shape[1])
+                for n in range(1, min(len(last), len(found)) + 1):
+                    piece = found[n - 1][to - n - begin] if to - n >= begin else -1
+                    if piece >= 0:
+                        total += last[-n] * p[piece]
+                last.append(total)
+                del last[:-longest]
+                if to % SCALED == 0:
+                    top = np.maximum(np.max(last, axis=0), 1e-300)
+                    last = [x / top for x in last]
+                    scale += np.log(top)
+        return np.log(np.maximum(last[-1], 1e-300)) + scale
+
 
 def _word_counts(sample: DataFrame) -> DataFrame:
     """(lang, word, n) over all texts of `sample` (lang, text)."""
@@ -217,7 +253,8 @@ def _word_counts(sample: DataFrame) -> DataFrame:
                 words: Counter = Counter()
                 for lang, text in zip(part.column("lang").to_pylist(),
                                       part.column("text").to_pylist()):
-                    words.update((lang, w) for w in letters_of(text))
+                    words.update((lang, w[at:at + LONG]) for w in letters_of(text)
+                                 for at in range(0, len(w), LONG))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([k[0] for k in words], pa.string()),
                     pa.array([k[1] for k in words], pa.string()),

@@ -228,6 +228,12 @@ def test_forward_pass_sums_all_segmentations():
                 sums.append(total)
             want = math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
             assert got[k, model] == pytest.approx(want, rel=1e-9), word
+    for word in (*words, "x" * 5000, "donaudampfschifffahrt" * 300):  # in stretches and at once
+        whole = next(lid.lattices([word], vocabulary))[1].forward(p)[2][0]
+        for stretch in (16, 50, 4096):
+            lid.LONG, before = stretch, lid.LONG
+            assert models.long_score(word, p) == pytest.approx(whole, rel=1e-9)
+            lid.LONG = before
     counts = np.array([3.0, 1, 2, 1, 2, 1, 4, 1])
     for order in (words, words[::-1]):
         chunks = list(lid.lattices(order, vocabulary))
