@@ -109,11 +109,14 @@ def keep_distinct(docs: DataFrame, index: DigestIndex) -> DataFrame:
         F.col("doc_id").alias("_exact_id"), F.col("text_sha256").alias("_exact_sha")).agg(
         F.bool_or("kept").alias("_exact_kept"), F.count(F.lit(1)).alias("_exact_rows")))
     gone = decided.filter(~F.col("_exact_kept")).select("_exact_id", "_exact_sha")
-    marked = docs.withColumn("_exact_digest", text_digest(F.col("text")))
+    name = "_exact_digest"
+    while name in docs.columns:
+        name += "_"
+    marked = docs.withColumn(name, text_digest(F.col("text")))
     staying = marked.join(
-        gone, marked["doc_id"].cast("long").eqNullSafe(F.col("_exact_id"))
-        & (F.col("_exact_digest") == F.col("_exact_sha")), "left_anti")
+        gone, marked["doc_id"].cast("long").eqNullSafe(gone["_exact_id"])
+        & (marked[name] == gone["_exact_sha"]), "left_anti")
     if not decided.where("_exact_kept and _exact_rows > 1").isEmpty():
         # rows equal in doc_id and text: one of them stays
-        staying = staying.dropDuplicates(["doc_id", "_exact_digest"])
-    return staying.drop("_exact_digest")
+        staying = staying.dropDuplicates(["doc_id", name])
+    return staying.drop(name)

@@ -317,10 +317,14 @@ def mix_whole(docs: DataFrame, weights: list[float], share: float = 1.5, most: f
             choose, "_mix_row long, _mix_text long, copies int")
         .unionByName(sizes.filter("size = 0").select(*keys, F.lit(1).alias("copies")).distinct())
         .filter("copies > 0"))
-    keyed = docs.select("*", *_row_keys(docs, seed))
-    return (keyed.join(taken, keys)
-            .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-            .select(*docs.columns))
+    mark = "_mix"
+    while any(c.startswith(mark) for c in docs.columns):  # names that no column of docs has
+        mark += "_"
+    row, text = _row_keys(docs, seed)
+    keyed = docs.select("*", row.alias(f"{mark}_1"), text.alias(f"{mark}_2"))
+    copies = taken.select(F.col(keys[0]).alias(f"{mark}_1"), F.col(keys[1]).alias(f"{mark}_2"),
+                          F.explode(F.sequence(F.lit(1), F.col("copies"))).alias(f"{mark}_3"))
+    return keyed.join(copies, [f"{mark}_1", f"{mark}_2"]).select(*docs.columns)
 
 
 def repeat_rows(docs: DataFrame, taken: DataFrame, copies: Column | None = None) -> DataFrame:
