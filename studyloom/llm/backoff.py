@@ -2,16 +2,16 @@
 
 1. Documents are gathered into blocks of bounded size, their words as numbers of a block vocabulary.
 2. Each block lists its distinct n-grams of every order with counts. A 64-bit hash deals them to
-   buckets, so many that a bucket's count table fits into a task; inside a bucket an n-gram is the
-   lower 48 bits of its hash, sorted and compressed. A frequent n-gram is one entry per
-   block, however often it occurs.
+   buckets, so many that a bucket's count table fits into a task; inside a bucket the whole hashes are
+   sorted and kept as compressed differences. A frequent n-gram is one entry per block, however often
+   it occurs.
 3. A bucket joins the lists: it sums the counts per n-gram and answers each block with the totals of
    the n-grams it listed, in their order.
 4. A block joins its answers to its exploded n-grams, takes off what the document itself
    contributed, backs off where nothing is left, and sums per document.
 
-Two different n-grams of a bucket get the same 48 bits with a chance of about 0.03 per bucket of
-four million n-grams.
+N-grams are told apart by 64 bits of hash. There are at least as many tasks as buckets, so that what
+a task reads does not grow with the corpus.
 """
 
 from __future__ import annotations
@@ -31,7 +31,6 @@ ORDER, ALPHA = 3, 0.4
 UNSEEN = 0.5
 BLOCK_WORDS = 1_000_000
 BUCKET_NGRAMS = 2_000_000
-_LOW = np.uint64((1 << 48) - 1)
 
 
 def _packed(values: np.ndarray, width: int) -> bytes:
@@ -93,38 +92,28 @@ def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
 
 
 class _Grams:
-    """The n-grams of one order in a block, dealt to buckets.
+    """The n-grams of one order in a block, dealt to buckets by the leading bits of their hash.
 
-    `at` has the place of each one's last word; `which` its number among the distinct n-grams,
-    which are ordered by bucket and then by their lower 48 bits.
+    `at` has the place of each one's last word; `which` its number among the distinct n-grams in
+    order of their hash, and so of their bucket. `low` is the hash less the bucket's first one.
     """
 
     def __init__(self, hashes: np.ndarray, starts: np.ndarray, order: int, buckets: int):
         every = window_hashes(hashes, order)
         whole = starts[order - 1:] >= order - 1  # words since the document's first
         self.at = np.flatnonzero(whole) + order - 1
-        h = every[whole]
-        bucket = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        low = h & _LOW
-        if buckets <= 1 << 16:
-            key = bucket << np.uint64(48) | low
-            distinct, self.which = np.unique(key, return_inverse=True)
-            self.bucket = (distinct >> np.uint64(48)).astype(np.int64)
-            self.low = (distinct & _LOW).astype(np.int64)
-        else:
-            sort = np.lexsort((low, bucket))
-            b, v = bucket[sort], low[sort]
-            new = np.concatenate([[True], (b[1:] != b[:-1]) | (v[1:] != v[:-1])])[:len(sort)]
-            self.which = np.empty(len(sort), dtype=np.int64)
-            self.which[sort] = np.cumsum(new) - 1
-            self.bucket, self.low = b[new].astype(np.int64), v[new].astype(np.int64)
+        distinct, self.which = np.unique(every[whole], return_inverse=True)
+        half, number = np.uint64(32), np.uint64(buckets)
+        self.bucket = ((distinct >> half) * number) >> half
+        self.low = distinct - (((self.bucket << half) // number) << half)
 
     def lists(self) -> Iterator[tuple[int, bytes, bytes]]:
         counts = np.bincount(self.which, minlength=len(self.low))
         edge = np.flatnonzero(np.concatenate([[1], np.diff(self.bucket)])) if len(
             self.bucket) else np.empty(0, int)
         for a, b in zip(edge, [*edge[1:], len(self.low)]):
-            yield (int(self.bucket[a]), _packed(self.low[a:b], 6),
+            steps = np.diff(self.low[a:b], prepend=np.uint64(0))
+            yield (int(self.bucket[a]), _packed(steps, _width(steps)),
                    _packed(counts[a:b], _width(counts[a:b])))
 
 
@@ -160,7 +149,7 @@ def _totals(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
                             names=["bucket", "level", "block", "keys", "counts"])
 
     def answer(group: list[dict]) -> pa.RecordBatch:
-        keys = [_unpacked(r["keys"]) for r in group]
+        keys = [np.cumsum(_unpacked(r["keys"])) for r in group]
         table, where = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.bincount(where, weights=np.concatenate(
             [_unpacked(r["counts"]) for r in group]), minlength=len(table)).astype(np.int64)
@@ -186,10 +175,9 @@ def _totals(blocks: DataFrame, order: int, buckets: int) -> DataFrame:
         if group:
             yield answer(group)
 
-    count = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (blocks.mapInArrow(explode, "bucket long, level int, block long, keys binary, "
                                        "counts binary")
-            .repartition(count, "bucket").sortWithinPartitions("bucket", "level", "block")
+            .repartition(buckets, "bucket").sortWithinPartitions("bucket", "level", "block")
             .mapInArrow(join, "block long, level int, bucket long, totals binary"))
 
 
@@ -280,6 +268,6 @@ def score_documents(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA,
         if current is not None:
             yield finish(current, found)
 
-    return (tokens.unionByName(answers).repartition(count, "block")
+    return (tokens.unionByName(answers).repartition(buckets, "block")
             .sortWithinPartitions("block", "level", "bucket")
             .mapInArrow(score, "doc_id long, n_words long, n_backed_off long, log_score double"))
