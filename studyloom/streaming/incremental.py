@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -68,11 +68,13 @@ def run_pending(work: DataFrame, ledger_path: str, job: str, key: str,
     return results
 
 
-def latest_results(results: DataFrame, key: str, batch: str = "batch") -> DataFrame:
+def latest_results(results: DataFrame, key: str | Sequence[str],
+                   batch: str = "batch") -> DataFrame:
     """One row per key over all runs: that of the last run."""
-    rest = [c for c in results.columns if c not in (key, batch)]
-    last = results.groupBy(key).agg(F.max_by(F.struct(*rest), batch).alias("_last"))
-    return last.select(key, *[F.col(f"_last.{c}").alias(c) for c in rest])
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in results.columns if c not in (*keys, batch)]
+    last = results.groupBy(*keys).agg(F.max_by(F.struct(*rest), batch).alias("_last"))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
 def new_files(spark: SparkSession, root: str, glob: str | None = None,
