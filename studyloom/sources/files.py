@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
@@ -50,6 +51,9 @@ ARCHIVE_SKIP_FILES = [
     "log.txt",
 ]
 
+# Bytes of a file that are in memory at a time.
+_RANGE = 8 << 20
+
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -215,16 +219,56 @@ def normalise_tags(tagged: DataFrame, tags: str = "tags", path: str = "file_path
     return tagged.select(*columns)
 
 
+def _checksums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """MD5 of local files, read range by range; an unreadable one gets an error instead."""
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            digest, error = hashlib.md5(), None
+            try:
+                with open(row.path, "rb") as file:
+                    while part := file.read(_RANGE):
+                        digest.update(part)
+            except OSError as problem:
+                error = str(problem)
+            yield pd.DataFrame([(row.path, row.size, row.mtime,
+                                 None if error else digest.hexdigest(), error)],
+                               columns=["path", "size", "mtime", "checksum", "error"])
+
+
+def _mounted(spark: SparkSession, root: str) -> bool:
+    """Whether `root` is a plain path of the machines, not one of a store."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getUri().getScheme() == "file"
+
+
+def file_checksums(found: DataFrame, mounted: bool) -> DataFrame:
+    """`found(path, length, modificationTime, content)` of the `binaryFile` source to path, size,
+    mtime, MD5 and error.
+
+    Files on a mounted path are read in ranges, at any size. Stores that only Spark opens give
+    the whole content as one value, which ends at 2 GiB.
+    """
+    named = found.select(plain_path(F.col("path")).alias("path"), F.col("length").alias("size"),
+                         F.col("modificationTime").alias("mtime"), "content")
+    if mounted:
+        return named.drop("content").mapInPandas(
+            _checksums, "path string, size bigint, mtime timestamp, checksum string, error string")
+    return named.select("path", "size", "mtime", F.md5("content").alias("checksum"),
+                        F.lit(None).cast("string").alias("error"))
+
+
 def archive_inventory(spark: SparkSession, root: str, integrity: bool = False) -> DataFrame:
-    """Zip archives with target folder, size, time and (only if asked for) MD5."""
+    """Zip archives with target folder, size, time, (only if asked for) MD5, and the error that
+    kept an archive from being read for it."""
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.zip").load(root))
-    path = plain_path(F.col("path"))
-    checksum = F.md5("content") if integrity else F.lit("")
-    return found.select(
-        path.alias("path"), F.regexp_replace(path, r"\.zip$", "").alias("extract_path"),
-        F.col("length").alias("size"), F.col("modificationTime").alias("mtime"),
-        checksum.alias("checksum"))
+    named = file_checksums(found, _mounted(spark, root)) if integrity else found.select(
+        plain_path(F.col("path")).alias("path"), F.col("length").alias("size"),
+        F.col("modificationTime").alias("mtime"), F.lit("").alias("checksum"),
+        F.lit(None).cast("string").alias("error"))
+    return named.select("path", F.regexp_replace("path", r"\.zip$", "").alias("extract_path"),
+                        "size", "mtime", "checksum", "error")
 
 
 def disc_image_inventory(spark: SparkSession, root: str) -> DataFrame:

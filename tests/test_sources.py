@@ -1,7 +1,9 @@
+import hashlib
 import io
 import json
 import zipfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -320,3 +322,22 @@ def test_study_archives_in_parts(spark, tmp_path):
     counts = file_ops.existence_counts(slices, listing, ["source_file"]).filter(
         "source_file = 'one.jsonl'").first()
     assert (counts.existing, counts.missing) == (2, 1)
+
+
+def test_checksums_read_files_of_any_size_in_ranges(spark, tmp_path):
+    big, small = tmp_path / "big.zip", tmp_path / "small.zip"
+    with big.open("wb") as file:
+        file.truncate(3 << 30)
+    small.write_bytes(b"some bytes")
+    inventory = files.archive_inventory(spark, str(tmp_path), integrity=True)
+    got = {r.path.rsplit("/", 1)[1]: r for r in inventory.collect()}
+    big.unlink()
+    zeros = hashlib.md5()
+    for _ in range(3 << 7):
+        zeros.update(bytes(8 << 20))
+    assert got["big.zip"].checksum == zeros.hexdigest() and got["big.zip"].size == 3 << 30
+    assert got["small.zip"].checksum == hashlib.md5(b"some bytes").hexdigest()
+    assert got["small.zip"].error is None and got["small.zip"].extract_path.endswith("/small")
+    gone = pd.DataFrame([("/gone.zip", 1, None)], columns=["path", "size", "mtime"])
+    (row,) = next(files._checksums(iter([gone]))).itertuples()
+    assert row.checksum is None and "No such file" in row.error
