@@ -64,7 +64,12 @@ def _blocks(docs: DataFrame, block_words: int) -> DataFrame:
 
     def row(block: int, ids: list, counts: list, hashes: list) -> pa.RecordBatch:
         all_hashes = np.concatenate(hashes) if hashes else np.empty(0, np.uint64)
-        vocabulary, numbers = np.unique(all_hashes, return_inverse=True)
+        vocabulary, numbers, uses = np.unique(all_hashes, return_inverse=True, return_counts=True)
+        # frequent words get small numbers, which take less room
+        order = np.argsort(-uses, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        vocabulary, numbers = vocabulary[order], rank[numbers]
         values = [block, ids, np.concatenate(counts), len(numbers),
                   _packed(vocabulary, 8), _packed(numbers, _width(numbers))]
         return pa.RecordBatch.from_arrays(
