@@ -69,7 +69,7 @@ merged as (
 
 
 def matched(t: Tables) -> ops.Matches:
-    marked = consolidate.mark_duplicates(t.consolidated).select(
+    marked = consolidate.mark_duplicates(t.consolidated, direct=True).select(
         F.col("unique_number").alias("new_id"), "unique_number", "is_duplicate",
         "is_duplicate_first_occurrence_un")
     return ops.match_databases(t.new_db.join(marked, "new_id"), t.old_db)
