@@ -45,7 +45,11 @@ deduped as (
 
 
 def deduped(t: Tables) -> DataFrame:
-    return ops.exact_dedup(doubled(t), "source_file", RECORD)
+    return ops.exact_dedup(doubled(t), "source_file", RECORD, tasks=t.tasks())
+
+
+def keyed(t: Tables) -> DataFrame:
+    return ops.gathered(ops.with_study_key(t.slices), "source_file", t.tasks())
 
 
 @query("study_summary", "slices", f"""
@@ -57,7 +61,7 @@ select patient_id, patient_name, study_date, patient_age, study_modality, instit
 from ranked where rn = 1
 """)
 def study_summary(t: Tables) -> DataFrame:
-    return ops.study_summary(ops.with_study_key(t.slices), fields=SUMMARY)
+    return ops.study_summary(keyed(t), fields=SUMMARY)
 
 
 @query("summary_totals", "slices", f"""
@@ -65,7 +69,7 @@ with counts as (select {KEY_SQL} as source_file, count(*) as n from slices group
 select count(*) as total_records, sum(n)::bigint as total_ct_objects, round(avg(n), 6) as mean_ct_objects from counts
 """)
 def summary_totals(t: Tables) -> DataFrame:
-    summary = ops.study_summary(ops.with_study_key(t.slices), fields=SUMMARY)
+    summary = ops.study_summary(keyed(t), fields=SUMMARY)
     return ops.summary_totals(summary).withColumn(
         "mean_ct_objects", F.round("mean_ct_objects", 6))
 
@@ -83,7 +87,7 @@ select source_file, original_records, after_dedup,
 from a join b using (source_file)
 """)
 def dedup_counts(t: Tables) -> DataFrame:
-    return ops.dedup_counts(doubled(t), "source_file", RECORD)
+    return ops.dedup_counts(doubled(t), "source_file", RECORD, tasks=t.tasks())
 
 
 @query("canonical_record", "slices", """
@@ -99,7 +103,10 @@ def canonical_record(t: Tables) -> DataFrame:
 
 
 def filtered(t: Tables) -> DataFrame:
-    counts = ops.dedup_counts(doubled(t), "source_file", RECORD)
+    return with_filters(ops.dedup_counts(doubled(t), "source_file", RECORD, tasks=t.tasks()))
+
+
+def with_filters(counts: DataFrame) -> DataFrame:
     long_name = ops.StudyFilter(~F.col("source_file").contains("Unknown"),
                                 F.when(F.col("source_file").contains("Unknown"),
                                        F.lit("Failed: missing header value"))
@@ -180,8 +187,8 @@ def filter_run_details(t: Tables) -> DataFrame:
 select d.* from deduped d join filtered f using (source_file) where enough and complete
 """)
 def filtered_store(t: Tables) -> DataFrame:
-    passed = filtered(t).filter("passed")
-    return ops.filtered_slices(deduped(t), passed, "source_file")
+    counted = ops.dedup_with_counts(doubled(t), "source_file", RECORD, tasks=t.tasks())
+    return with_filters(counted).filter("passed").select("source_file", *RECORD, "line_no")
 
 
 @query("study_name_sanitise", "", r"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from studyloom.functions import text
 from studyloom.operators.skew import match_keys
@@ -23,25 +23,46 @@ def key_columns(study: str | Sequence[str]) -> list[str]:
     return [study] if isinstance(study, str) else list(study)
 
 
+def gathered(slices: DataFrame, study: str | Sequence[str], tasks: int | None) -> DataFrame:
+    """Slices with each study in one of `tasks` tasks, for inputs that outgrow the session's number of
+    shuffle partitions; what is grouped by study then needs no further exchange."""
+    return slices if tasks is None else slices.repartition(tasks, *key_columns(study))
+
+
 def exact_dedup(slices: DataFrame, study: str | Sequence[str], record: Sequence[str],
-                order: str = "line_no") -> DataFrame:
+                order: str = "line_no", tasks: int | None = None) -> DataFrame:
     """One row per distinct record of a study, keeping the earliest position.
 
-    The aggregation combines copies before the shuffle, so a record repeated many
+    Without `tasks` the aggregation combines copies before the shuffle, so a record repeated many
     times costs one row per map task.
     """
     by = key_columns(study)
     keys = [*by, *[c for c in record if c not in by]]
-    return slices.groupBy(*keys).agg(F.min(order).alias(order))
+    return gathered(slices, study, tasks).groupBy(*keys).agg(F.min(order).alias(order))
+
+
+def dedup_with_counts(slices: DataFrame, study: str | Sequence[str], record: Sequence[str],
+                      order: str = "line_no", tasks: int | None = None) -> DataFrame:
+    """`exact_dedup` with the study's `original_records` and `after_dedup` on every row, from one
+    exchange of the records."""
+    by = key_columns(study)
+    keys = [*by, *[c for c in record if c not in by]]
+    whole = Window.partitionBy(*by)
+    return (
+        slices.repartition(*([] if tasks is None else [tasks]), *by)
+        .groupBy(*keys).agg(F.min(order).alias(order), F.count(F.lit(1)).alias("_copies"))
+        .withColumns({"original_records": F.sum("_copies").over(whole),
+                      "after_dedup": F.count(F.lit(1)).over(whole)}).drop("_copies")
+    )
 
 
-def dedup_counts(slices: DataFrame, study: str | Sequence[str],
-                 record: Sequence[str]) -> DataFrame:
+def dedup_counts(slices: DataFrame, study: str | Sequence[str], record: Sequence[str],
+                 tasks: int | None = None) -> DataFrame:
     """Records per study before and after exact dedup, with the reason text."""
     by = key_columns(study)
     keys = [*by, *[c for c in record if c not in by]]
     counts = (
-        slices.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
+        gathered(slices, study, tasks).groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies"))
         .groupBy(*by).agg(F.sum("_copies").alias("original_records"),
                           F.count(F.lit(1)).alias("after_dedup"))
     )
