@@ -8,9 +8,9 @@ ROWS = [("s1", "a", 3), ("s1", "a", 1), ("s1", "b", 2), ("s2", None, 5), ("s2",
 def test_dedup_with_counts_keeps_first_positions_and_counts_from_one_exchange(spark):
     slices = spark.createDataFrame(ROWS, "study string, value string, line_no long")
     kept = ops.dedup_with_counts(slices, "study", ["value"], tasks=3)
+    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
     assert sorted(map(tuple, kept.collect()), key=str) == [
         ("s1", "a", 1, 3, 2), ("s1", "b", 2, 3, 2), ("s2", None, 4, 2, 1)]
-    assert kept._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
 def test_dedup_and_counts_are_the_same_in_a_given_number_of_tasks(spark):
