@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from studyloom.functions.staging import computed_once
 from studyloom.functions.text import strip
 
 ONE_NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
 NUMBER = f"^{ONE_NUMBER}$"
-NUMBERS = f"^{ONE_NUMBER}(,{ONE_NUMBER})*$"
 
 
 def parse_number(c: Column) -> Column:
@@ -19,11 +19,11 @@ def parse_number(c: Column) -> Column:
 
 def parse_vector(c: Column, size: int) -> Column:
     """First `size` numbers of a `[a, b, ...]` text; null if one entry is bad or too few."""
-    listed = F.regexp_replace(F.replace(F.btrim(c, F.lit("[]")), F.lit(" "), F.lit("")),
-                              ",+", ",")
-    entries = F.btrim(listed, F.lit(","))
-    numbers = F.split(entries, ",").try_cast("array<double>")
-    return F.when(entries.rlike(NUMBERS) & (F.size(numbers) >= size), F.slice(numbers, 1, size))
+    entries = F.btrim(F.replace(F.btrim(c, F.lit("[]")), F.lit(" "), F.lit("")), F.lit(","))
+    # the pattern counts the entries, so that they are only cut and converted where they are returned
+    enough = entries.rlike(f"^{ONE_NUMBER}(,+{ONE_NUMBER}){{{size - 1},}}$")
+    listed = F.split(F.regexp_replace(entries, ",+", ","), ",")
+    return F.when(enough, F.slice(listed.try_cast("array<double>"), 1, size))
 
 
 def parse_orientation(c: Column) -> Column:
@@ -34,16 +34,24 @@ def parse_position(c: Column) -> Column:
     return parse_vector(c, 3)
 
 
-def parse_spacing(c: Column) -> Column:
-    """Row and column spacing; the first separator present splits, one value is square."""
-    parts = (
+def spacing_parts(c: Column) -> Column:
+    """Texts of the row and column spacing; the first separator present splits, one value is square."""
+    return (
         F.when(c.contains("\\\\"), F.split(c, r"\\\\"))
         .when(c.contains("\\"), F.split(c, r"\\"))
         .when(c.contains("/"), F.split(c, "/"))
         .when(c.contains(","), F.split(c, ","))
         .otherwise(F.array(c, c))
     )
-    row, column = parse_number(F.get(parts, 0)), parse_number(F.get(parts, 1))
+
+
+def parse_spacing(c: Column) -> Column:
+    """Row and column spacing, null if one of them is unreadable."""
+    parts = spacing_parts(c)
+    return both_spacings(parse_number(F.get(parts, 0)), parse_number(F.get(parts, 1)))
+
+
+def both_spacings(row: Column, column: Column) -> Column:
     return F.when(row.isNotNull() & column.isNotNull(), F.array(row, column))
 
 
@@ -56,20 +64,30 @@ def decimals(c: Column, places: int = 3) -> Column:
     return F.when(c.isNotNull(), F.format_string(f"%.{places}f", F.bround(c, places)))
 
 
-def dot(a: Column, b: Column) -> Column:
+# A vector of three: an array column, or its three components.
+Vector = Column | list[Column]
+
+
+def at(v: Vector, i: int) -> Column:
+    return v[i] if isinstance(v, list) else F.get(v, i)
+
+
+def directions(orientation: Column) -> tuple[list[Column], list[Column]]:
+    """Components of the row and the column vector of an orientation."""
+    numbers = [F.get(orientation, i) for i in range(6)]
+    return numbers[:3], numbers[3:]
+
+
+def dot(a: Vector, b: Vector) -> Column:
     """Scalar product of two vectors of three."""
-    return (F.get(a, 0) * F.get(b, 0) + F.get(a, 1) * F.get(b, 1)
-            + F.get(a, 2) * F.get(b, 2))
+    return at(a, 0) * at(b, 0) + at(a, 1) * at(b, 1) + at(a, 2) * at(b, 2)
 
 
-def norm(a: Column) -> Column:
+def norm(a: Vector) -> Column:
     return F.sqrt(dot(a, a))
 
 
-def cross(a: Column, b: Column) -> Column:
-    def at(v: Column, i: int) -> Column:
-        return F.get(v, i)
-
+def cross(a: Vector, b: Vector) -> Column:
     return F.array(
         at(a, 1) * at(b, 2) - at(a, 2) * at(b, 1),
         at(a, 2) * at(b, 0) - at(a, 0) * at(b, 2),
@@ -79,8 +97,7 @@ def cross(a: Column, b: Column) -> Column:
 
 def slice_direction(orientation: Column) -> Column:
     """Normal of the slice plane, null without orientation."""
-    return F.when(orientation.isNotNull(),
-                  cross(F.slice(orientation, 1, 3), F.slice(orientation, 4, 3)))
+    return F.when(orientation.isNotNull(), cross(*directions(orientation)))
 
 
 def slice_position(position: Column, direction: Column) -> Column:
@@ -98,19 +115,6 @@ def messages(*found: Column) -> Column:
     return F.filter(F.array(*found), lambda m: m.isNotNull())
 
 
-def geometry_columns(prefix: str = "") -> dict[str, Column]:
-    """Parsed geometry of the raw text columns of a slice record."""
-    raw = {n: F.col(prefix + n) for n in (
-        "image_orientation_patient", "image_position_patient", "pixel_spacing",
-        "slice_thickness")}
-    return {
-        "orientation": parse_orientation(raw["image_orientation_patient"]),
-        "position": parse_position(raw["image_position_patient"]),
-        "spacing": parse_spacing(raw["pixel_spacing"]),
-        "raw_thickness": parse_number(raw["slice_thickness"]),
-    }
-
-
 def with_geometry(df, prefix: str = "", location: str | None = None):
     """Add parsed geometry and its validation.
 
@@ -118,10 +122,18 @@ def with_geometry(df, prefix: str = "", location: str | None = None):
     (1.0 where unreadable), direction, geometry_warnings, geometry_errors,
     geometry_valid, and slice_location_mm if `location` names that field.
     """
-    parsed = df.withColumns(geometry_columns(prefix))
+    # each text is parsed once, in steps small enough to be compiled
+    parts = computed_once(
+        df, orientation=parse_orientation(F.col(f"{prefix}image_orientation_patient")),
+        position=parse_position(F.col(f"{prefix}image_position_patient")),
+        _parts=spacing_parts(F.col(f"{prefix}pixel_spacing")))
+    parsed = computed_once(
+        parts, _row=parse_number(F.get("_parts", 0)), _column=parse_number(F.get("_parts", 1)),
+        raw_thickness=parse_number(F.col(f"{prefix}slice_thickness"))).withColumn(
+        "spacing", both_spacings(F.col("_row"), F.col("_column"))).drop("_parts", "_row", "_column")
     if location is not None:
         parsed = parsed.withColumn("slice_location_mm", parse_number(F.col(location)))
-    row, column = F.slice("orientation", 1, 3), F.slice("orientation", 4, 3)
+    row, column = directions(F.col("orientation"))
     row_mm, column_mm = F.get("spacing", 0), F.get("spacing", 1)
     thickness = repair_thickness(F.col("raw_thickness"))
     # Tolerances and message texts of the geometry check.
@@ -157,11 +169,11 @@ def with_geometry(df, prefix: str = "", location: str | None = None):
 def affine_matrix(orientation: Column, position: Column, row_spacing: Column,
                   col_spacing: Column, slice_spacing: Column) -> Column:
     """4x4 matrix from voxel to patient space with x and y mirrored; identity if incomplete."""
-    row, column = F.slice(orientation, 1, 3), F.slice(orientation, 4, 3)
+    row, column = directions(orientation)
     normal = cross(row, column)
     origin = [-F.get(position, 0), -F.get(position, 1), F.get(position, 2)]
     lines = [
-        F.array(-F.get(row, i) * row_spacing, -F.get(column, i) * col_spacing,
+        F.array(-row[i] * row_spacing, -column[i] * col_spacing,
                 F.get(normal, i) * slice_spacing, origin[i])
         for i in range(3)
     ]
