@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -129,8 +130,20 @@ texts as (select doc_id, trim(coalesce(string_agg(page_text, concat(chr(10), chr
   sum(kept)::bigint as kept_tokens, count(*) as page_count, case when sum(kept) > 0 then sum(total) / sum(kept) else 0.0 end as confidence from pages group by 1)"""
 
 
+# Documents per task where these would fill more tasks than the session's shuffle partitions.
+TASK_DOCUMENTS = 2_500
+
+
+def spread_documents(t: Tables) -> DataFrame:
+    """Documents by doc_id in tasks whose rows do not grow with the input."""
+    least = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, ceil(t.documents.count() / TASK_DOCUMENTS))
+    return t.documents.select("doc_id", "text").repartition(tasks, "doc_id")
+
+
 def assembled(t: Tables) -> DataFrame:
-    words = t.documents.select("doc_id", F.posexplode(F.split("text", " ")).alias("p", "token"))
+    # whole texts are exchanged, not their tokens: what follows is grouped within a document
+    words = spread_documents(t).select("doc_id", F.posexplode(F.split("text", " ")).alias("p", "token"))
     seq = F.col("p") + 1
     tokens = words.select("doc_id", (F.floor(seq / 200)).alias("page"), seq.alias("seq"), "token",
                           ((seq * 37 % 100) / 100).alias("confidence"))
