@@ -8,6 +8,7 @@ from studyloom.catalog.consolidate_queries import STARS_SQL
 from studyloom.catalog.fixtures import Tables
 from studyloom.catalog.registry import query
 from studyloom.operators import consolidate, mapping as ops
+from studyloom.session import durable
 
 NORM = ("lower(trim(replace(regexp_replace(trim({c}), '^[A-Za-z]:', ''), chr(92), '/'), '/'))")
 
@@ -69,10 +70,9 @@ merged as (
 
 
 def matched(t: Tables) -> ops.Matches:
-    marked = consolidate.mark_duplicates(t.consolidated, direct=True).select(
-        F.col("unique_number").alias("new_id"), "unique_number", "is_duplicate",
-        "is_duplicate_first_occurrence_un")
-    return ops.match_databases(t.new_db.join(marked, "new_id"), t.old_db)
+    # written once: the matching and what is made from it read the new rows several times
+    marked = durable(t.new_db_of(consolidate.mark_duplicates(t.consolidated, direct=True)))
+    return ops.match_databases(marked, t.old_db)
 
 
 @query("propagated_matches", "consolidated new_db old_db", f"""with {DUP_SQL}
