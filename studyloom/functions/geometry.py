@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from studyloom.functions.staging import computed_once
-from studyloom.functions.text import strip
+from studyloom.functions.text import WHITESPACE
 
-ONE_NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
-NUMBER = f"^{ONE_NUMBER}$"
+ONE_NUMBER = r"[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
+# The conversion to double ignores the white space around a number itself.
+NUMBER = f"^[{WHITESPACE}]*{ONE_NUMBER}[{WHITESPACE}]*$"
 
 
 def parse_number(c: Column) -> Column:
     """Number in a text field; null for null, blank, the missing-value word or bad text."""
-    trimmed = strip(c)
-    return F.when(trimmed.rlike(NUMBER), trimmed.try_cast("double"))
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
 
 
 def parse_vector(c: Column, size: int) -> Column:
     """First `size` numbers of a `[a, b, ...]` text; null if one entry is bad or too few."""
+    # the usual form is cut as it is; a text without a comma is no vector
+    usual = c.rlike(rf"^\[{ONE_NUMBER}(?:, ?{ONE_NUMBER}){{{size - 1}}}\]\z")
+    inner = F.substr(c, F.lit(2), F.length(c) - 2)
     entries = F.btrim(F.replace(F.btrim(c, F.lit("[]")), F.lit(" "), F.lit("")), F.lit(","))
     # the pattern counts the entries, so that they are only cut and converted where they are returned
-    enough = entries.rlike(f"^{ONE_NUMBER}(,+{ONE_NUMBER}){{{size - 1},}}$")
+    enough = entries.rlike(f"^{ONE_NUMBER}(?:,+{ONE_NUMBER}){{{size - 1},}}$")
     listed = F.split(F.regexp_replace(entries, ",+", ","), ",")
-    return F.when(enough, F.slice(listed.try_cast("array<double>"), 1, size))
+    return F.when(usual, F.split(inner, ",").try_cast("array<double>")).when(
+        c.contains(","), F.when(enough, F.slice(listed.try_cast("array<double>"), 1, size)))
 
 
 def parse_orientation(c: Column) -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from studyloom.functions import geometry as geo, privacy
 from studyloom.functions.staging import computed_once
-from studyloom.operators.skew import large_groups, match_keys, number_rows, previous_value
+from studyloom.operators.skew import (
+    large_groups, match_keys, number_rows, previous_value, spread_groups)
 from studyloom.session import durable
 
 ORDER = ("line_no", "file_path")
@@ -106,7 +107,7 @@ def series_figures(facts: DataFrame, keys: Sequence[str], positions: dict[str, s
     """
     large = large_groups(facts, keys)
     ordinary = facts if large is None else _matching(facts, large, keys, "left_anti")
-    gaps, found = ordinary, []
+    gaps, found = spread_groups(ordinary, keys), []
     for name, position in positions.items():
         before = F.lag(position).over(Window.partitionBy(*keys).orderBy(position))
         gaps = gaps.withColumn(f"_gap_{name}", F.abs(F.col(position) - before))
@@ -193,21 +194,19 @@ def _fallback_columns(figures: DataFrame) -> DataFrame:
         .otherwise(F.col("_many"))})
 
 
-def _located(location: str, thickness: str) -> list[Column]:
-    return [geo.parse_number(F.col(location)).alias("_at"),
-            geo.repair_thickness(geo.parse_number(F.col(thickness))).alias("_thick")]
-
-
-def _fallback_figures() -> list[Column]:
-    return [(F.count(F.lit(1)) > 1).alias("_many"), F.count("_at").alias("_located"),
-            F.min(F.struct(*ORDER, "_thick")).alias("_first")]
+def _thickness(thickness: str) -> Column:
+    return geo.repair_thickness(geo.parse_number(F.col(thickness)))
 
 
 def location_spacing(slices: DataFrame, keys: Sequence[str], location: str = "slice_location",
                      thickness: str = "slice_thickness") -> DataFrame:
     """Spacing from slice locations, else the first thickness, else 1.0, with the method used."""
-    facts = durable(slices.select(*keys, *ORDER, *_located(location, thickness)))
-    figures = series_figures(facts, keys, {"_loc": "_at"}, *_fallback_figures())
+    facts = durable(slices.select(
+        *keys, *ORDER, geo.parse_number(F.col(location)).alias("_at"),
+        _thickness(thickness).alias("_thick")))
+    figures = series_figures(
+        facts, keys, {"_loc": "_at"}, (F.count(F.lit(1)) > 1).alias("_many"),
+        F.count("_at").alias("_located"), F.min(F.struct(*ORDER, "_thick")).alias("_first"))
     return _fallback_columns(figures).select(
         *keys, "fallback_spacing", "fallback_method", "fallback_irregular")
 
@@ -359,22 +358,30 @@ def series_affine(slices: DataFrame, keys: Sequence[str],
 
     Slice spacing comes from positions, else locations, else thickness.
     """
-    full = slices if location in slices.columns else slices.withColumn(location, F.lit(None)
-                                                                       .cast("string"))
     head = ["image_orientation_patient", "image_position_patient", "pixel_spacing",
             "slice_thickness"]
-    facts = series_facts(full, keys, [*ORDER, *head, *_located(location, "slice_thickness")])
-    figures = series_figures(
-        facts, keys, {"_pos": "slice_position", "_loc": "_at"}, *_spacing_figures(),
-        *_fallback_figures(),
-        F.min(F.when(F.col("slice_position").isNotNull(),
-                     F.struct(F.col("slice_position").alias("_place"), *ORDER, *head)))
-        .alias("_by_position"),
-        F.min(F.struct(F.coalesce("_at", F.lit(0.0)).alias("_place"), *ORDER, *head))
-        .alias("_by_location"))
-    wide = _fallback_columns(spacing_columns(figures))
-    chosen = F.when(F.col("spacing_success"), F.col("_by_position")).otherwise(
-        F.col("_by_location"))
+    figures = [*_spacing_figures(), (F.count(F.lit(1)) > 1).alias("_many"),
+               F.min("_head").alias("_earliest"),
+               F.min(F.when(F.col("slice_position").isNotNull(),
+                            F.struct("slice_position", "_head"))).alias("_by_position")]
+    more, positions = [F.struct(*ORDER, *head).alias("_head")], {"_pos": "slice_position"}
+    if location in slices.columns:
+        more.append(geo.parse_number(F.col(location)).alias("_at"))
+        positions["_loc"] = "_at"
+        figures += [F.count("_at").alias("_located"),
+                    F.min(F.struct(F.coalesce("_at", F.lit(0.0)).alias("_place"), "_head"))
+                    .alias("_by_location")]
+    facts = series_facts(slices, keys, more)
+    wide = series_figures(facts, keys, positions, *figures)
+    if location not in slices.columns:  # all slices are at one place, so the earliest comes first
+        wide = wide.withColumns({
+            "_located": F.lit(0), "_loc_mean": F.lit(None).cast("double"),
+            "_loc_var": F.lit(None).cast("double"), "_by_location": F.struct(
+                F.col("_earliest").alias("_head"))})
+    wide = _fallback_columns(spacing_columns(wide.withColumn("_first", F.struct(
+        _thickness("_earliest.slice_thickness").alias("_thick")))))
+    chosen = F.when(F.col("spacing_success"), F.col("_by_position._head")).otherwise(
+        F.col("_by_location._head"))
     flat = wide.withColumn("_head", chosen).select(
         *keys, "spacing_success", "spacing_consistent", "slice_spacing", "fallback_spacing",
         "fallback_irregular", "fallback_method", *[f"_head.{c}" for c in head])

@@ -15,6 +15,10 @@ from studyloom.session import durable
 
 # Rows of one group that a single task may sort.
 SECTION_ROWS = 1_000_000
+# Rows a task orders on average where these would fill more tasks than the session's shuffle partitions.
+TASK_ROWS = 250_000
+# Sums of group sizes in which a group that holds more rows than a limit is looked for.
+SIZE_SUMS = 65_536
 # Most stretches one group is cut into.
 MOST_SECTIONS = 5_000
 
@@ -34,13 +38,33 @@ def match_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
 def large_groups(df: DataFrame, keys: Sequence[str],
                  rows: int | None = None) -> DataFrame | None:
-    """Keys of groups with more than `rows` rows, written out; None if there are none."""
-    sizes = durable(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                    .filter(F.col("_n") > (SECTION_ROWS if rows is None else rows))
-                    .select(*keys))
+    """Keys of groups with more than `rows` rows, written out; None if there are none.
+
+    Rows are first counted by a hash of the keys into few sums, as a group is never larger than its
+    sum; only the groups of sums above the limit are counted one by one.
+    """
+    most = SECTION_ROWS if rows is None else rows
+    hashed = df.select(*keys, F.pmod(F.hash(*keys), F.lit(SIZE_SUMS)).alias("_sum"))
+    full = (hashed.groupBy("_sum").agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") > most).select("_sum"))
+    if full.isEmpty():
+        return None
+    sizes = durable(hashed.join(full, "_sum", "left_semi").groupBy(*keys)
+                    .agg(F.count(F.lit(1)).alias("_n"))
+                    .filter(F.col("_n") > most).select(*keys))
     return None if sizes.isEmpty() else sizes
 
 
+def spread_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df`, a stored table, with groups dealt to so many tasks that the rows of one do not grow with the
+    table; unchanged if the session's shuffle partitions are enough. Rows are counted without
+    reading a column."""
+    tasks = ceil(df.count() / TASK_ROWS)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(tasks, *keys)
+
+
 def add_sections(df: DataFrame, keys: Sequence[str], position: str,
                  rows: int = SECTION_ROWS) -> DataFrame | None:
     """Number stretches of `position` inside groups larger than `rows`; None if there are none.
