@@ -119,13 +119,15 @@ def messages(*found: Column) -> Column:
     return F.filter(F.array(*found), lambda m: m.isNotNull())
 
 
-def with_geometry(df, prefix: str = "", location: str | None = None):
+def with_geometry(df, prefix: str = "", location: str | None = None, joined: bool = False):
     """Add parsed geometry and its validation.
 
     Columns: orientation, position, spacing, thickness, row_spacing, col_spacing
-    (1.0 where unreadable), direction, geometry_warnings, geometry_errors,
-    geometry_valid, and slice_location_mm if `location` names that field.
+    (1.0 where unreadable), direction, geometry_warnings, geometry_errors (arrays, or texts
+    separated by `; ` if `joined`), geometry_valid, and slice_location_mm if `location` names
+    that field.
     """
+    listed = (lambda *found: F.concat_ws("; ", *found)) if joined else messages
     # each text is parsed once, in steps small enough to be compiled
     parts = computed_once(
         df, orientation=parse_orientation(F.col(f"{prefix}image_orientation_patient")),
@@ -149,7 +151,7 @@ def with_geometry(df, prefix: str = "", location: str | None = None):
         "row_spacing": F.coalesce(row_mm, F.lit(1.0)),
         "col_spacing": F.coalesce(column_mm, F.lit(1.0)),
         "direction": slice_direction(F.col("orientation")),
-        "geometry_warnings": messages(
+        "geometry_warnings": listed(
             F.when(not_unit, "Direction cosines are not unit vectors"),
             F.when(skewed, "Row and column vectors are not orthogonal"),
             F.when(odd_spacing, F.concat(F.lit("Unusual pixel spacing: "),
@@ -162,7 +164,7 @@ def with_geometry(df, prefix: str = "", location: str | None = None):
             F.when(~thickness.between(0.1, 50.0), F.concat(
                 F.lit("Unusual slice thickness: "), decimals(thickness), F.lit("mm"))),
         ),
-        "geometry_errors": messages(
+        "geometry_errors": listed(
             F.when(F.col("orientation").isNull(), "Failed to parse ImageOrientationPatient"),
             F.when(F.col("position").isNull(), "Failed to parse ImagePositionPatient"),
         ),

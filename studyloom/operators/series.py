@@ -241,17 +241,20 @@ def series_analysis(slices: DataFrame, keys: Sequence[str],
     An unreadable pixel spacing is replaced by 1.0, so `has_pixel_spacing` is always
     true unless `strict` asks for the real value.
     """
-    absent = [c for c in [*ANALYSIS_TEXT, *ANALYSIS_RAW] if c not in slices.columns]
-    full = slices.withColumns({c: F.lit("") for c in absent}) if absent else slices
     head = [*study_fields, *ANALYSIS_TEXT, *ANALYSIS_RAW]
-    facts = series_facts(full, keys, [*ORDER, *[c for c in head if c not in keys]])
+    absent = [c for c in [*ANALYSIS_TEXT, *ANALYSIS_RAW] if c not in slices.columns]
+    empty = {c: F.lit("") for c in absent}
+    # what a series takes from its first slice travels as one value, without columns known to be empty
+    carried = [c for c in head if c not in keys and c not in absent]
+    facts = series_facts(slices.withColumns(empty) if absent else slices, keys,
+                         [F.struct(*ORDER, *carried).alias("_head")])
     figures = spacing_columns(series_figures(
         facts, keys, {"_pos": "slice_position"}, *_spacing_figures(),
-        F.min(F.struct(*ORDER, *head)).alias("_head"), F.count(F.lit(1)).alias("total_slices")))
+        F.min("_head").alias("_head"), F.count(F.lit(1)).alias("total_slices")))
     spacing = [c for c in figures.columns if c not in keys and c not in ("_head", "total_slices")]
     wide = geo.with_geometry(figures.select(
-        *keys, "total_slices", *[F.col(f"_head.{c}").alias(c) for c in head if c not in keys],
-        *spacing))
+        *keys, "total_slices", *[F.col(f"_head.{c}").alias(c) for c in carried],
+        *[c.alias(name) for name, c in empty.items()], *spacing), joined=True)
     spacing_found = F.col("spacing").isNotNull() if strict else F.lit(True)
     flags = wide.withColumns({
         "has_orientation": F.col("orientation").isNotNull(),
@@ -272,8 +275,7 @@ def series_analysis(slices: DataFrame, keys: Sequence[str],
             geo.decimals(F.col("row_spacing")), F.lit("x"), geo.decimals(F.col("col_spacing"))))
         .otherwise(F.lit("")).alias("parsed_pixel_spacing"),
         "geometry_valid",
-        F.array_join("geometry_errors", "; ").alias("geometry_errors"),
-        F.array_join("geometry_warnings", "; ").alias("geometry_warnings"),
+        "geometry_errors", "geometry_warnings",
         F.col("spacing_success").alias("ipp_spacing_success"),
         F.when(F.col("spacing_success"), geo.decimals(F.col("slice_spacing")))
         .otherwise(F.lit("")).alias("ipp_calculated_spacing"),

@@ -50,6 +50,13 @@ def test_affine_takes_the_thickness_of_the_slice_it_uses(spark):
     assert ops.series_affine(spark.createDataFrame(data, SCHEMA), KEYS).first().used_spacing == 5.0
 
 
+def test_analysis_exchanges_the_first_slice_as_one_value(spark):
+    df = ops.series_analysis(slices(spark), KEYS)
+    scan = re.findall(r"Relation \[([^\]]*)\] parquet", plan(df))
+    assert len(scan) == 1 and scan[0].count(",") == 4  # the keys, two facts and the first slice
+    assert "lambda" not in plan(df.select("geometry_errors", "geometry_warnings"))
+
+
 def test_large_groups_are_counted_one_by_one_only_in_full_sums(spark, monkeypatch):
     df = spark.createDataFrame([("a",)] * 9 + [("b",)] * 3 + [(None,)] * 7 + [("c",)] * 4, "k string")
     for sums in (1, 2, 65_536):
