@@ -1,10 +1,13 @@
 """Near duplicates by HyperMinHash registers, banding, estimates and a check on full sets.
 
 1. A text's shingle hashes fall into 128 buckets. A bucket keeps, of its smallest hash, the
-   number of leading zeros and ten bits of mantissa, 16 bits in all. Four registers make a band, so
-   32 longs are both the signature and its band values.
+   number of leading zeros and ten bits of mantissa, 16 bits in all. Four registers make a band, 32
+   bands a signature. Sets too small for 128 buckets are hashed anew in several rounds of fewer buckets
+   each, so that bands have no empty registers to agree by: else two small texts with one line in
+   common, or none, would share bands, and their number grows with the square of the table.
 2. Texts with equal shingle sets become one node. Nodes that share a band value, and whose set sizes
-   allow the similarity (the same or neighbouring size class), are candidates. A
+   allow the similarity (the same or neighbouring size class), are candidates. The larger class of
+   a pair says how many rounds there are; a node has bands for its own class and for the next. A
    pair of similarity 0.75 shares none of 32 bands with a chance of 5 in a million.
 3. Candidates are dealt to blocks of bounded size: a node's home is the smallest node of the largest
    group with a band value of its own, a large home is cut by hash. Two blocks meet if they share a band value, and
@@ -28,13 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from studyloom.llm.components import components
-from studyloom.llm.words import drop_kept, shingle_sets, slices
+from studyloom.llm.words import drop_kept, mix, shingle_sets, slices
 from studyloom.session import durable
 
 SHINGLE = 5
 BUCKET_BITS, MANTISSA_BITS, BAND = 7, 10, 4
 BUCKETS = 1 << BUCKET_BITS
+BANDS = BUCKETS // BAND
 EMPTY = 0xFFFF
+_NO_BAND = np.uint64((1 << 64) - 1)
+_BANDS = np.arange(BANDS, dtype=np.uint64)
+_ROUND = np.uint64(0xD1342543DE82EF95)
+#: Least shingles per bucket, on average, where sets are hashed in rounds.
+FILL = 3
 #: Chance that two unequal smallest hashes of a bucket get the same register.
 COLLISION = 2.0 ** -MANTISSA_BITS / 3
 #: Standard deviations below the threshold down to which pairs are taken best first.
@@ -68,24 +77,59 @@ def estimates(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return (share - COLLISION) / (1 - COLLISION), used
 
 
-def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """Per row: doc_id, n_shingles, set_digest (128 bits, hex), bands (32 longs, null if empty)."""
+def size_class(n: int, threshold: int) -> int:
+    """Sets of a similarity of the threshold have the same size class or neighbours."""
+    return math.floor(math.log(n) / math.log(1.0001 * 100 / threshold))
+
+
+def rounds(size: int, threshold: int) -> int:
+    """How many times sets of a size class are hashed: 1, 2, 4, ... 128; 128 buckets in all."""
+    least = math.exp(size * math.log(1.0001 * 100 / threshold))
+    return BUCKETS >> min(BUCKET_BITS, max(0, math.floor(math.log2(max(least / FILL, 1)))))
+
+
+def in_rounds(shingles: np.ndarray, times: int) -> np.ndarray:
+    """Hashes for `registers`: those of round r fall into the r-th of `times` parts of the buckets."""
+    if times == 1 or not len(shingles):
+        return shingles
+    number = np.arange(times, dtype=np.uint64)[:, None]
+    again = mix(shingles[None, :] + (number + np.uint64(1)) * _ROUND)
+    part = np.uint64(times.bit_length() - 1)
+    return np.sort((number << (np.uint64(64) - part) | again >> part).ravel())
+
+
+def bands(shingles: np.ndarray, threshold: int) -> tuple[int, np.ndarray]:
+    """Size class and band hashes, -1 for a band of empty registers. The first 32 hold for the class
+    itself and, if there are no more, for the next class; else the other 32 do."""
+    size = size_class(len(shingles), threshold)
+    parts = []
+    for times in dict.fromkeys((rounds(size, threshold), rounds(size + 1, threshold))):
+        # the registers of a band come from different rounds
+        value = registers(in_rounds(shingles, times)).reshape(times, -1).T.ravel().view(np.uint64)
+        parts.append(np.where(value == _NO_BAND, _NO_BAND, mix(
+            value ^ mix(_BANDS + np.uint64(times << 16)))))
+    return size, np.concatenate(parts).view(np.int64)
+
+
+def signatures(docs: DataFrame, threshold: int = 75, size: int = SHINGLE) -> DataFrame:
+    """Per row: doc_id, n_shingles, set_digest (128 bits, hex), size_class, bands (null if empty)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drop_kept()
         for batch in batches:
             for part in slices(batch):
                 sets = shingle_sets(part.column("text"), size)
-                bands = [registers(s).view(np.int64) if len(s) else None for s in sets]
+                signed = [bands(s, threshold) if len(s) else (None, None) for s in sets]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest()
                               if len(s) else None for s in sets], pa.string()),
-                    pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_digest", "bands"])
+                    pa.array([c for c, _ in signed], pa.int32()),
+                    pa.array([b for _, b in signed], pa.list_(pa.int64()))],
+                    names=["doc_id", "n_shingles", "set_digest", "size_class", "bands"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        sign, "doc_id long, n_shingles long, set_digest string, bands array<long>")
+        sign, "doc_id long, n_shingles long, set_digest string, size_class int, bands array<long>")
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -197,22 +241,29 @@ def _meetings(candidates: DataFrame, sizes: DataFrame) -> DataFrame:
         (F.col("block") <= F.col("other")).cast("int").alias("side"))
 
 
-def near_links(docs: DataFrame, signed: DataFrame, threshold: int = 75,
-               size: int = SHINGLE) -> DataFrame:
-    """Links (a, b) between documents with different shingle sets that connect every component."""
+def band_groups(signed: DataFrame) -> DataFrame:
+    """(key, node, n_shingles): which nodes share a band value and fit in size, with those of a key
+    that have no other node yet."""
     reps = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_digest").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"),
-        F.first("bands").alias("bands"))
-    members = reps.select("node", "n_shingles", F.posexplode("bands").alias("band", "value")) \
-        .filter("value <> -1")  # a band of empty registers
-    shared = members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        F.first("size_class").alias("size_class"), F.first("bands").alias("bands"))
+    own, later = F.col("size_class"), F.col("size_class") + 1
+    members = reps.select("node", "n_shingles", "size_class", F.size("bands").alias("bands"),
+                          F.posexplode("bands").alias("at", "group")) \
+        .filter("group <> -1")  # a band of empty registers
+    shared = members.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     # similar sets have similar sizes: their size classes are the same or neighbours
-    step = math.log(1.0001 * 100 / threshold)
-    size_class = F.floor(F.log(F.col("n_shingles").cast("double")) / step)
-    sized = members.join(shared.select("band", "value"), ["band", "value"]).select(
-        F.xxhash64("band", "value").alias("group"), "node", "n_shingles",
-        F.explode(F.array(size_class, size_class + 1)).alias("class"))
-    sized = durable(sized.select(F.xxhash64("group", "class").alias("key"), "node", "n_shingles"))
+    classes = F.when(F.col("bands") == BANDS, F.array(own, later)).when(
+        F.col("at") < BANDS, F.array(own)).otherwise(F.array(later))
+    sized = members.join(shared.select("group"), "group").select(
+        "group", "node", "n_shingles", F.explode(classes).alias("class"))
+    return sized.select(F.xxhash64("group", "class").alias("key"), "node", "n_shingles")
+
+
+def near_links(docs: DataFrame, signed: DataFrame, threshold: int = 75,
+               size: int = SHINGLE) -> DataFrame:
+    """Links (a, b) between documents with different shingle sets that connect every component."""
+    sized = durable(band_groups(signed))
     groups_of = sized.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).filter("n > 1")
     candidates = durable(sized.join(groups_of, "key"))
@@ -263,7 +314,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 75, size: int = SHINGLE) -
     of one doc_id are one document. A row without a doc_id is linked with nothing, has a null
     component_id and is kept. An empty table gives no rows; other columns are ignored.
     """
-    signed = durable(signatures(docs, size))
+    signed = durable(signatures(docs, threshold, size))
     links = durable(near_links(docs, signed, threshold, size))
     copies = signed.filter("n_shingles > 0 and doc_id is not null").groupBy("set_digest").agg(
         F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n"))

@@ -388,3 +388,43 @@ def test_no_pair_is_lost_after_the_bands():
         assert set(_block_links(nodes[at:at + 200], sets[at:at + 200], side * 0, 75)) == {
             p for p in want if p[0] in nodes[at:at + 200]}
     assert {tuple(sorted(p)) for p in got} == want and len(want) > 1500
+
+
+def test_texts_with_one_common_line_do_not_meet_by_chance(spark):
+    """Small texts, half of them with the same license line: the share of those in bands with others
+    does not grow. It was 54 % of 500 and 75 % of 2000 where bands had empty registers to agree by."""
+    from pyspark.sql import functions as F
+
+    from studyloom.llm.near_dedup import band_groups, signatures
+
+    rng = np.random.default_rng(8)
+    line = " ".join(f"license{k}" for k in range(12))
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 40)) + (f" {line}" if i % 2 else ""))
+            for i in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def share(n):
+        shared = band_groups(signatures(docs.filter(f"doc_id < {n}"))).groupBy("key").agg(
+            F.collect_set("node").alias("nodes")).filter("size(nodes) > 1")
+        return shared.select(F.explode("nodes").alias("node")).distinct().count() / n
+
+    assert share(500) < 0.1 and share(2000) < 0.1
+
+
+def test_similar_small_texts_share_a_band_whatever_their_rounds():
+    """Pairs of similarity 0.75 agree in a band as often as four free registers do: 0.75 ** 4."""
+    from studyloom.llm.near_dedup import BANDS, bands, rounds, size_class
+
+    rng = np.random.default_rng(9)
+    assert [rounds(size_class(n, 75), 75) for n in (1, 600, 20000)] == [128, 1, 1]
+    for n in (4, 12, 20, 44, 100, 200, 380):
+        agree, pairs = 0, 600
+        for _ in range(pairs):
+            every, both = rng.integers(0, 1 << 64, n, dtype=np.uint64), 3 * n // 4
+            cut = int(rng.integers(both, n + 1))
+            (c, one), (d, two) = sorted((bands(np.sort(every[:cut]), 75), bands(
+                np.sort(np.concatenate([every[:both], every[cut:]])), 75)), key=lambda x: x[0])
+            assert d - c <= 1  # their class is the later one
+            one = one[:BANDS] if c == d else one[-BANDS:]
+            agree += ((one == two[:BANDS]) & (one != -1)).sum()
+        assert abs(agree / pairs / BANDS - 0.75 ** 4) < 0.03
